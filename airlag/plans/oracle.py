@@ -232,4 +232,74 @@ CORE = {
     ),
     "ml_features": over_silver("SELECT * FROM features", FEATURES),
 }
-ORACLE: dict[str, str] = {**CORE}
+
+EARLY = f"""
+early AS (
+  SELECT * REPLACE (greatest(arr_delay - 5, -60.0::DOUBLE) AS arr_delay)
+  FROM silver WHERE year <= 1996
+), fresh AS (
+  SELECT * FROM silver WHERE year >= 1995
+), merged AS (
+  SELECT {SILVER_COLUMNS} FROM fresh
+  UNION ALL
+  SELECT {SILVER_COLUMNS} FROM early e WHERE NOT EXISTS (
+    SELECT 1 FROM fresh f
+    WHERE f.flight_date = e.flight_date AND f.airline = e.airline
+      AND f.flight_number = e.flight_number AND f.origin = e.origin AND f.dest = e.dest)
+)"""
+
+LAYOUT_A = (
+    "FlightDate, Year, Month, DayOfWeek, Cancelled, Diverted, IATA_Code_Marketing_Airline, "
+    "Flight_Number_Marketing_Airline, Origin, Dest, CRSDepTime, DepDelay, CRSArrTime, "
+    "ArrDelay, Distance, l_orderkey, l_linenumber, l_partkey, l_suppkey"
+)
+# CSV holds no 32-bit numbers: whole ones come back as 64-bit.
+FROM_CSV = over_flights(
+    f"SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) "
+    f"FROM (SELECT {LAYOUT_A} FROM flights)"
+)
+
+TABLES = {
+    "table_scan": over_silver("SELECT * FROM merged", EARLY),
+    "silver_partitioned": over_silver("SELECT * FROM silver"),
+    "gold_write": over_silver("SELECT * FROM airline_mart", AIRLINE),
+    "append_schema_merge": over_flights(
+        "SELECT *, CAST(0 AS BIGINT) AS batch_id FROM "
+        "(SELECT * EXCLUDE (Diverted) FROM flights WHERE Year <= 1995) "
+        "UNION ALL BY NAME "
+        "SELECT *, CAST(1 AS BIGINT) AS batch_id FROM flights WHERE Year > 1995"
+    ),
+    "merge_upsert": over_silver("SELECT * FROM merged", EARLY),
+    "time_travel": over_silver("SELECT * FROM early", EARLY),
+    "time_travel_sample": over_silver(
+        "SELECT * FROM early ORDER BY flight_date, airline, flight_number, origin, dest LIMIT 5",
+        EARLY,
+    ),
+    "compact": over_silver("SELECT * FROM silver"),
+    "zorder_layout": over_silver("SELECT * FROM silver"),
+    "expired_versions": over_flights(
+        ", log AS (SELECT 'silver' AS \"table\", Year * 12 + Month AS version, "
+        "count(*) AS rows, CAST(max(FlightDate) AS TIMESTAMP) AS committed_at "
+        "FROM flights GROUP BY Year, Month) "
+        "SELECT * FROM log WHERE version < (SELECT max(version) FROM log) "
+        "AND committed_at < (SELECT max(committed_at) FROM log) - INTERVAL 168 HOUR"
+    ),
+    "table_summary": over_silver(
+        "SELECT 'bronze' AS \"table\", TRUE AS \"exists\", count(*) AS rows, "
+        "CAST(0 AS BIGINT) AS version FROM flights "
+        "UNION ALL SELECT 'silver', TRUE, count(*), 1 FROM merged "
+        "UNION ALL SELECT 'gold_ml_features', FALSE, 0, NULL",
+        EARLY,
+    ),
+}
+
+FILES = {
+    "bronze_scan": FROM_CSV,
+    "bronze_stream": FROM_CSV,
+    "bronze_skip_empty": over_flights(
+        "SELECT Year, count(*) AS rows FROM flights GROUP BY Year"
+    ),
+    "csv_sink": CORE["top_airlines"],
+}
+
+ORACLE: dict[str, str] = {**CORE, **TABLES, **FILES}

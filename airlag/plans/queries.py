@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airlag.config import BUSINESS_KEY
+from airlag.config import BUSINESS_KEY, CLUSTER_BY, PARTITIONS, RETENTION_HOURS
 from airlag.operators import clean as C
 from airlag.operators import features, marts
-from airlag.sources.flights import LINE_ORDER, arrival_order, flights, to_layout_b
+from airlag.plans.stages import time_travel_sample
+from airlag.session import materialize, scratch_dir
+from airlag.sources import tables
+from airlag.sources.bronze import ingest_csv, inspect_all
+from airlag.sources.csv_files import read_csv, with_source_file, write_report_csv
+from airlag.sources.flights import LAYOUT_A, LINE_ORDER, arrival_order, flights, to_layout_b
+from airlag.sources.tables import AppendTable, SnapshotTable
+from airlag.streaming.bronze_stream import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,4 +103,210 @@ CORE: dict[str, Query] = {
     "ml_features": _on_silver(features.ml_features),
 }
 
-QUERIES: dict[str, Query] = {**CORE}
+
+def _after(year: int, df: DataFrame) -> DataFrame:
+    return df.where(F.col("year") >= year)
+
+
+def _until(year: int, df: DataFrame) -> DataFrame:
+    return df.where(F.col("year") <= year)
+
+
+def early_report(df: DataFrame) -> DataFrame:
+    """Silver as first reported: delays were estimated five minutes lower."""
+    lower = F.greatest(F.col("arr_delay") - 5, F.lit(-60.0))
+    return _until(1996, df).withColumn("arr_delay", lower)
+
+
+def merged_table(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+    """Version 0: early reports up to 1996; version 1: all from 1995 merged in."""
+    rows = materialize(silver(spark, sf_dir))
+    table = SnapshotTable(spark, scratch_dir(spark))
+    table.write(early_report(rows), PARTITIONS)
+    table.merge(_after(1995, rows), BUSINESS_KEY, PARTITIONS)
+    return table
+
+
+def silver_table(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+    table = SnapshotTable(spark, scratch_dir(spark))
+    table.write(silver(spark, sf_dir), PARTITIONS)
+    return table
+
+
+def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merged_table(spark, sf_dir).read()
+
+
+def time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merged_table(spark, sf_dir).previous()
+
+
+def partition_pruned_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.month_mean(silver_table(spark, sf_dir).read(), 1995, 1)
+
+
+def small_files_table(spark: SparkSession, sf_dir: str) -> SnapshotTable:
+    """Silver arriving in two halves of the day, so that a month has two folders."""
+    rows = materialize(silver(spark, sf_dir))
+    table = SnapshotTable(spark, scratch_dir(spark))
+    table.write(rows.where("hour < 12"), PARTITIONS)
+    table.merge(rows.where("hour >= 12"), BUSINESS_KEY, PARTITIONS)
+    return table
+
+
+def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = small_files_table(spark, sf_dir)
+    table.compact(PARTITIONS)
+    return table.read()
+
+
+def zorder_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = silver_table(spark, sf_dir)
+    table.cluster(CLUSTER_BY, PARTITIONS, spread_by=BUSINESS_KEY, bits=5)
+    return table.read()
+
+
+def gold_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airline mart, overwritten once; the newest version is read back."""
+    rows = materialize(silver(spark, sf_dir))
+    table = SnapshotTable(spark, scratch_dir(spark))
+    table.write(marts.airline_delay(_until(1996, rows)))
+    table.write(marts.airline_delay(rows))
+    return table.read()
+
+
+def append_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries: the first without ``Diverted`` and with whole distances."""
+    raw = flights(spark, sf_dir)
+    table = AppendTable(spark, scratch_dir(spark))
+    first = raw.where(F.col("Year") <= 1995).drop("Diverted")
+    table.append(first.withColumn("Distance", F.col("Distance").cast("bigint")))
+    table.append(raw.where(F.col("Year") > 1995))
+    return table.read()
+
+
+def expired_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log with one version per month of flights; now is the last shipment."""
+    raw = flights(spark, sf_dir)
+    log = raw.groupBy("Year", "Month").agg(
+        F.max("FlightDate").cast("timestamp_ntz").alias("committed_at"),
+        F.count(F.lit(1)).alias("rows"),
+    ).select(
+        F.lit("silver").alias("table"),
+        (F.col("Year") * 12 + F.col("Month")).alias("version"),
+        "rows",
+        "committed_at",
+    )
+    log = materialize(log)
+    now = log.select(F.max("committed_at")).scalar()
+    return tables.expired_versions(log, now, RETENTION_HOURS)
+
+
+def table_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = AppendTable(spark, scratch_dir(spark))
+    bronze.append(flights(spark, sf_dir))
+    return tables.table_summary(
+        spark,
+        {
+            "bronze": bronze,
+            "silver": merged_table(spark, sf_dir),
+            "gold_ml_features": SnapshotTable(spark, scratch_dir(spark)),
+        },
+    )
+
+
+TABLES: dict[str, Query] = {
+    "table_scan": lambda spark, sf_dir: merged_table(spark, sf_dir).read(),
+    "silver_partitioned": lambda spark, sf_dir: silver_table(spark, sf_dir).read(),
+    "partition_pruned_mean": partition_pruned_mean,
+    "gold_write": gold_write,
+    "append_schema_merge": append_schema_merge,
+    "merge_upsert": merge_upsert,
+    "time_travel": time_travel,
+    "time_travel_sample": lambda spark, sf_dir: time_travel_sample(time_travel(spark, sf_dir)),
+    "compact": compact,
+    "zorder_layout": zorder_layout,
+    "expired_versions": expired_versions,
+    "table_summary": table_summary,
+}
+
+
+def csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The flights as CSV files, by year."""
+    folder = scratch_dir(spark)
+    _write_csv(flights(spark, sf_dir).repartitionByRange("Year"), folder)
+    return folder
+
+
+def _write_csv(df: DataFrame, folder: str) -> None:
+    (
+        df.write.mode("append")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
+
+
+def bronze_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per listed input file."""
+    folder = csv_folder(spark, sf_dir)
+    files = inspect_all(spark, folder)
+    rows = with_source_file(read_csv(spark, files[0].schema, [f.path for f in files]))
+    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def bronze_table(spark: SparkSession, folder: str) -> DataFrame:
+    table = AppendTable(spark, scratch_dir(spark))
+    ingest_csv(spark, folder, table)
+    return table.read()
+
+
+def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_table(spark, csv_folder(spark, sf_dir)).select(*LAYOUT_A, *LINE_ORDER)
+
+
+def bronze_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and flights per source file, with one load time per file."""
+    return (
+        bronze_table(spark, csv_folder(spark, sf_dir))
+        .groupBy("batch_id", "source_file", "ingestion_timestamp")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def bronze_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights per year after loading a folder that also has a header-only file."""
+    folder = csv_folder(spark, sf_dir)
+    _write_csv(flights(spark, sf_dir).where(F.lit(False)), folder)
+    return bronze_table(spark, folder).groupBy("Year").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = csv_folder(spark, sf_dir)
+    schema = inspect_all(spark, folder)[0].schema
+    table = AppendTable(spark, scratch_dir(spark))
+    checkpoint = scratch_dir(spark)
+    ingest_stream(spark, folder, schema, table, checkpoint)
+    ingest_stream(spark, folder, schema, table, checkpoint)
+    return table.read().select(*LAYOUT_A, *LINE_ORDER)
+
+
+def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten worst airline months, written as one CSV file and read back."""
+    report = CORE["top_airlines"](spark, sf_dir)
+    path = scratch_dir(spark)
+    write_report_csv(report, path, rows=10)
+    return read_csv(spark, report.schema, [path])
+
+
+FILES: dict[str, Query] = {
+    "bronze_files": bronze_files,
+    "bronze_scan": bronze_scan,
+    "bronze_provenance": bronze_provenance,
+    "bronze_skip_empty": bronze_skip_empty,
+    "bronze_stream": bronze_stream,
+    "csv_sink": csv_sink,
+}
+
+QUERIES: dict[str, Query] = {**CORE, **TABLES, **FILES}
