@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +61,3 @@ def fill(df: DataFrame, fills: DataFrame, columns: Sequence[str]) -> DataFrame:
 def known_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for name in names if name in df.columns]
 
-
-def any_null(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])

@@ -302,4 +302,171 @@ FILES = {
     "csv_sink": CORE["top_airlines"],
 }
 
-ORACLE: dict[str, str] = {**CORE, **TABLES, **FILES}
+FEATURE_NAMES = (
+    "flight_date, year, month, airline, origin, dest, route, distance, hour, day_of_week, "
+    "season, dep_delay, arr_delay, is_delayed, origin_day_flights, dest_day_flights, "
+    "airline_day_flights, route_day_flights, origin_hour_flights, route_hour_flights"
+).split(", ")
+TEXT = ", ".join(f"CAST({c} AS VARCHAR)" for c in FEATURE_NAMES)
+HASH = f"md5(concat_ws('|', '42', {TEXT}))"
+ALL = ", ".join(FEATURE_NAMES)
+
+
+def split_of(source: str) -> str:
+    """Class-wise test rows: the smallest hashes of each class."""
+    return f"""
+class_rows AS (
+  SELECT is_delayed, count(*) AS n, sum(count(*)) OVER () AS total FROM {source}
+  GROUP BY is_delayed
+), class_share AS (
+  SELECT *, total - (total + 4) // 5 AS train,
+         (total - (total + 4) // 5)::HUGEINT * n // total AS share,
+         (total - (total + 4) // 5)::HUGEINT * n % total AS remainder
+  FROM class_rows
+), class_take AS (
+  SELECT is_delayed,
+         n - share - CASE WHEN row_number() OVER (ORDER BY remainder DESC, is_delayed)
+                               <= train - sum(share) OVER () THEN 1 ELSE 0 END AS take
+  FROM class_share
+), parts AS (
+  SELECT {', '.join('r.' + c for c in FEATURE_NAMES)}, turn <= take AS is_test
+  FROM (SELECT *, row_number() OVER (PARTITION BY is_delayed ORDER BY {HASH}, {ALL}) AS turn
+        FROM {source}) r
+  JOIN class_take t ON r.is_delayed = t.is_delayed
+)"""
+
+
+SAMPLED = f"sampled AS (SELECT * FROM features ORDER BY {HASH}, {ALL} LIMIT 50000)"
+PARTS = f"{FEATURES}, {SAMPLED}, {split_of('sampled')}"
+NUMERIC = (
+    "distance, hour, day_of_week, origin_day_flights, dest_day_flights, "
+    "airline_day_flights, route_day_flights, origin_hour_flights, route_hour_flights"
+).split(", ")
+CATEGORICAL = "airline, origin, dest, season, route".split(", ")
+GAPS = """
+gaps AS (
+  SELECT * REPLACE (
+    CASE WHEN dep_delay IS NOT NULL THEN distance END AS distance,
+    CASE WHEN dep_delay IS NOT NULL THEN hour END AS hour,
+    CASE WHEN dep_delay IS NOT NULL THEN airline END AS airline,
+    CASE WHEN dep_delay IS NOT NULL THEN season END AS season)
+  FROM parts
+)"""
+
+
+def median_fill(name: str) -> str:
+    middle = f"(SELECT median(CAST({name} AS DOUBLE)) FROM gaps WHERE NOT is_test)"
+    return f"coalesce(CAST({name} AS DOUBLE), {middle}) AS {name}"
+
+
+def mode_fill(name: str) -> str:
+    top = (
+        f"(SELECT {name} FROM gaps WHERE NOT is_test AND {name} IS NOT NULL "
+        f"GROUP BY {name} ORDER BY count(*) DESC, {name} LIMIT 1)"
+    )
+    return f"coalesce({name}, {top}) AS {name}"
+
+
+SLOTS = " UNION ALL ".join(
+    f"SELECT concat('cat__{c}_', k.v) AS feature, "
+    f"CAST(count(p.{c}) AS DOUBLE) AS total "
+    f"FROM (SELECT DISTINCT {c} AS v FROM parts WHERE NOT is_test) k "
+    f"LEFT JOIN parts p ON p.is_test AND p.{c} = k.v GROUP BY k.v"
+    for c in CATEGORICAL
+)
+SUMS = " UNION ALL ".join(
+    f"SELECT 'num__{c}', CAST(sum({c}) AS DOUBLE) FROM parts WHERE is_test" for c in NUMERIC
+)
+PREDICTED = "flight_date, airline, route, hour, arr_delay, is_delayed"
+GUESS = """
+guesses AS (
+  SELECT arr_delay, is_delayed, coalesce(dep_delay, 0.0::DOUBLE) AS guess,
+         CASE WHEN coalesce(dep_delay, 0.0::DOUBLE) > 15 THEN 1 ELSE 0 END AS guess_late
+  FROM features
+)"""
+CONFUSION = """
+confusion AS (
+  SELECT count(*) FILTER (is_delayed = 0 AND guess_late = 0) AS tn,
+         count(*) FILTER (is_delayed = 0 AND guess_late = 1) AS fp,
+         count(*) FILTER (is_delayed = 1 AND guess_late = 0) AS fn,
+         count(*) FILTER (is_delayed = 1 AND guess_late = 1) AS tp
+  FROM guesses
+)"""
+# Files hold whole years, so only the row columns order equal keys.
+STAGED = f"""
+silver AS (
+  SELECT {SILVER_COLUMNS} FROM cleaned
+  QUALIFY row_number() OVER (
+    PARTITION BY flight_date, airline, flight_number, origin, dest
+    ORDER BY crs_dep_time, dep_delay NULLS FIRST, crs_arr_time, arr_delay, distance) = 1
+)"""
+
+LEARN = {
+    "sample_exact": over_silver(
+        f"SELECT * FROM features ORDER BY {HASH}, {ALL} LIMIT 5000", FEATURES
+    ),
+    "stratified_split": over_silver("SELECT * FROM parts", FEATURES, split_of("features")),
+    "impute_median": over_silver(
+        "SELECT flight_date, route, is_test, "
+        + ", ".join(median_fill(c) for c in NUMERIC)
+        + " FROM gaps",
+        PARTS,
+        GAPS,
+    ),
+    "impute_mode": over_silver(
+        "SELECT flight_date, is_test, "
+        + ", ".join(mode_fill(c) for c in CATEGORICAL)
+        + " FROM gaps",
+        PARTS,
+        GAPS,
+    ),
+    "one_hot": over_silver(SLOTS, PARTS),
+    "ml_matrix": over_silver(f"{SLOTS} UNION ALL {SUMS}", PARTS),
+    "baseline_mean": over_silver(
+        f"SELECT {PREDICTED}, (SELECT avg(arr_delay) FROM parts WHERE NOT is_test) "
+        "AS prediction FROM parts WHERE is_test",
+        PARTS,
+    ),
+    "baseline_mode": over_silver(
+        f"SELECT {PREDICTED}, CAST(m AS DOUBLE) AS prediction, CAST(m AS DOUBLE) AS score "
+        "FROM parts, (SELECT is_delayed AS m FROM parts WHERE NOT is_test "
+        "GROUP BY is_delayed ORDER BY count(*) DESC, is_delayed LIMIT 1) WHERE is_test",
+        PARTS,
+    ),
+    "regression_metrics": over_silver(
+        "SELECT avg(abs(arr_delay - guess)) AS mae, "
+        "avg((arr_delay - guess) * (arr_delay - guess)) AS mse, "
+        "sqrt(avg((arr_delay - guess) * (arr_delay - guess))) AS rmse, "
+        "round(1 - avg((arr_delay - guess) * (arr_delay - guess)) / var_pop(arr_delay), 6) AS r2, "
+        "count(*) AS rows FROM guesses",
+        FEATURES,
+        GUESS,
+    ),
+    "classification_metrics": over_silver(
+        "SELECT coalesce((tn + tp) / nullif(tn + fp + fn + tp, 0), 0) AS accuracy, "
+        "coalesce(tp / nullif(tp + fp, 0), 0) AS precision, "
+        "coalesce(tp / nullif(tp + fn, 0), 0) AS recall, "
+        "coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, "
+        "tn AS confusion_tn, fp AS confusion_fp, fn AS confusion_fn, tp AS confusion_tp "
+        "FROM confusion",
+        FEATURES,
+        GUESS,
+        CONFUSION,
+    ),
+    "roc_auc": over_silver(
+        ", ranked AS (SELECT is_delayed, "
+        "rank() OVER (ORDER BY guess) + (count(*) OVER (PARTITION BY guess) - 1) / 2 AS mid "
+        "FROM guesses), sides AS (SELECT sum(mid) FILTER (is_delayed = 1) AS above, "
+        "CAST(count(*) FILTER (is_delayed = 1) AS DOUBLE) AS pos, "
+        "CAST(count(*) FILTER (is_delayed = 0) AS DOUBLE) AS neg FROM ranked) "
+        "SELECT coalesce((above - pos * (pos + 1) / 2) / nullif(pos * neg, 0), 0.5) AS roc_auc "
+        "FROM sides",
+        FEATURES,
+        GUESS,
+    ),
+    "stages_end_to_end": "WITH "
+    + ", ".join([FLIGHTS, FLOWN, cleaned(), STAGED, AIRLINE])
+    + " SELECT * FROM airline_mart",
+}
+
+ORACLE: dict[str, str] = {**CORE, **TABLES, **FILES, **LEARN}

@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Estimator
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlag.config import BUSINESS_KEY, CLUSTER_BY, PARTITIONS, RETENTION_HOURS
+from airlag.config import (
+    BUSINESS_KEY,
+    CLUSTER_BY,
+    PARTITIONS,
+    RETENTION_HOURS,
+    SEED,
+    TEST_FRACTION,
+    Settings,
+)
+from airlag.functions.columns import is_late
 from airlag.operators import clean as C
-from airlag.operators import features, marts
-from airlag.plans.stages import time_travel_sample
+from airlag.operators import features, impute, marts, metrics, models, ranking
+from airlag.plans.stages import Lakehouse, run_stages, time_travel_sample
 from airlag.session import materialize, scratch_dir
 from airlag.sources import tables
 from airlag.sources.bronze import ingest_csv, inspect_all
@@ -309,4 +321,196 @@ FILES: dict[str, Query] = {
     "csv_sink": csv_sink,
 }
 
-QUERIES: dict[str, Query] = {**CORE, **TABLES, **FILES}
+SAMPLE_QUERY_ROWS = 5_000
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, stored as the model stage finds it."""
+    return materialize(features.ml_features(silver(spark, sf_dir)))
+
+
+def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.sample_exact(feature_table(spark, sf_dir), SAMPLE_QUERY_ROWS, SEED)
+
+
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = feature_table(spark, sf_dir)
+    return ranking.stratified_split(table, models.LATE, SEED, TEST_FRACTION)
+
+
+def model_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model sample with its split, stored."""
+    table = feature_table(spark, sf_dir)
+    rows = materialize(ranking.sample_exact(table, Settings().sample_rows, SEED))
+    return materialize(ranking.stratified_split(rows, models.LATE, SEED, TEST_FRACTION))
+
+
+def prepared(spark: SparkSession, sf_dir: str) -> models.Prepared:
+    table = feature_table(spark, sf_dir)
+    return models.prepare(table, Settings().sample_rows, materialize)
+
+
+def with_gaps(parts: DataFrame) -> DataFrame:
+    """Values go missing wherever the departure delay is unknown."""
+    known = F.col("dep_delay").isNotNull()
+    gone = ["distance", "hour", "airline", "season"]
+    return parts.withColumns({c: F.when(known, F.col(c)) for c in gone})
+
+
+def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = with_gaps(model_parts(spark, sf_dir))
+    fills = impute.medians(parts.where(~F.col("is_test")), models.NUMERIC)
+    return impute.fill(parts, fills, models.NUMERIC).select(
+        "flight_date", "route", "is_test", *models.NUMERIC
+    )
+
+
+def impute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = with_gaps(model_parts(spark, sf_dir))
+    fills = impute.modes(parts.where(~F.col("is_test")), models.CATEGORICAL)
+    return impute.fill(parts, fills, models.CATEGORICAL).select(
+        "flight_date", "is_test", *models.CATEGORICAL
+    )
+
+
+def slot_totals(data: models.Prepared) -> DataFrame:
+    """(feature, total): each vector slot summed over the test rows.
+
+    The summarizer multiplies a mean by a count; rounding restores the sum.
+    """
+    spark = data.test.sparkSession
+    names = spark.createDataFrame(
+        list(enumerate(data.features)), "place int, feature string"
+    )
+    totals = data.test.select(Summarizer.sum(F.col("features")).alias("s"))
+    slots = totals.select(F.posexplode(vector_to_array("s")).alias("place", "total"))
+    return slots.join(names, "place").select("feature", F.round("total", 6).alias("total"))
+
+
+def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows per category slot; the slots come from the training rows."""
+    return slot_totals(prepared(spark, sf_dir)).where(F.col("feature").startswith("cat__"))
+
+
+def ml_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slot_totals(prepared(spark, sf_dir))
+
+
+PREDICTION_COLUMNS = ["flight_date", "airline", "route", "hour", models.DELAY, models.LATE]
+
+
+def baseline_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = model_parts(spark, sf_dir)
+    train, test = parts.where("not is_test"), parts.where("is_test")
+    return models.baseline_mean(train, test).select(*PREDICTION_COLUMNS, "prediction")
+
+
+def baseline_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = model_parts(spark, sf_dir)
+    train, test = parts.where("not is_test"), parts.where("is_test")
+    return models.baseline_mode(train, test).select(*PREDICTION_COLUMNS, "prediction", "score")
+
+
+def _predictions(build: Callable[[models.Prepared], Estimator], *more: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        data = prepared(spark, sf_dir)
+        predicted = build(data).fit(data.train).transform(data.test)
+        if "score" in more:
+            predicted = models.with_score(predicted)
+        return predicted.select(*PREDICTION_COLUMNS, "prediction", *more)
+
+    return query
+
+
+def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed predictions for the metrics: the arrival is as late as the departure."""
+    guess = F.coalesce(F.col("dep_delay"), F.lit(0.0))
+    late = is_late(guess).cast("int")
+    return features.ml_features(silver(spark, sf_dir)).select(
+        models.DELAY, models.LATE, guess.alias("guess"), late.alias("guess_late")
+    )
+
+
+def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variance in r2 is not a whole number: six decimals are compared."""
+    table = metrics.regression_metrics(guesses(spark, sf_dir), models.DELAY, "guess")
+    return table.withColumn("r2", F.round("r2", 6))
+
+
+def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = guesses(spark, sf_dir)
+    return metrics.classification_metrics(rows, models.LATE, "guess_late")
+
+
+def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.roc_auc(guesses(spark, sf_dir), models.LATE, "guess")
+
+
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = prepared(spark, sf_dir)
+    forest = models.forest_regression(**models.PIPELINE_FOREST).fit(data.train)
+    return models.feature_importance(forest, data.features)
+
+
+def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = prepared(spark, sf_dir)
+    runs = models.regression_runs(data) + models.classification_runs(data)
+    return models.model_runs(runs, data, models.NUMERIC + models.CATEGORICAL, 0)
+
+
+def regression_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = prepared(spark, sf_dir)
+    runs = models.regression_runs(data, models.REPORT_FOREST, with_linear=False)
+    return models.leaderboard(runs, "rmse", descending=False)
+
+
+def classification_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = prepared(spark, sf_dir)
+    runs = models.classification_runs(data, models.REPORT_FOREST)
+    return models.leaderboard(runs, "f1", descending=True)
+
+
+def stages_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five stages over the flights as CSV files; the airline mart is returned."""
+    root = scratch_dir(spark)
+    _write_csv(flights(spark, sf_dir).repartitionByRange("Year"), f"{root}/raw")
+    house = Lakehouse(spark, Settings(data_root=root))
+    # The flights have one layout, so the case setting may stay as it is.
+    run_stages(house)
+    return house.mart("airline_delay").read()
+
+
+LEARN: dict[str, Query] = {
+    "sample_exact": sample,
+    "stratified_split": split,
+    "impute_median": impute_median,
+    "impute_mode": impute_mode,
+    "one_hot": one_hot,
+    "ml_matrix": ml_matrix,
+    "baseline_mean": baseline_mean,
+    "baseline_mode": baseline_mode,
+    "linear_regression": _predictions(lambda data: models.linear_regression()),
+    "ridge_regression": _predictions(lambda data: models.ridge_regression(data.train)),
+    "forest_regression": _predictions(
+        lambda data: models.forest_regression(**models.PIPELINE_FOREST)
+    ),
+    "logistic_regression": _predictions(
+        lambda data: models.logistic_regression(data.train_rows)
+    ),
+    "forest_classification": _predictions(
+        lambda data: models.forest_classification(**models.PIPELINE_FOREST)
+    ),
+    "classification_scores": _predictions(
+        lambda data: models.logistic_regression(data.train_rows), "score"
+    ),
+    "regression_metrics": regression_metrics,
+    "classification_metrics": classification_metrics,
+    "roc_auc": roc_auc,
+    "feature_importance": feature_importance,
+    "model_runs": model_runs,
+    "regression_leaderboard": regression_leaderboard,
+    "classification_leaderboard": classification_leaderboard,
+    "stages_end_to_end": stages_end_to_end,
+}
+
+QUERIES: dict[str, Query] = {**CORE, **TABLES, **FILES, **LEARN}

@@ -156,11 +156,16 @@ def run_ml(house: Lakehouse) -> bool:
     return True
 
 
-def run_all(house: Lakehouse, coalesce_layouts: bool = False) -> None:
+def run_stages(house: Lakehouse, coalesce_layouts: bool = False) -> None:
     """All five stages in order; the first failure stops the rest."""
+    load_bronze(house)
+    process_silver(house, coalesce_layouts)
+    maintain_silver(house)
+    process_gold(house)
+    run_ml(house)
+
+
+def run_all(house: Lakehouse, coalesce_layouts: bool = False) -> None:
+    """The stages for files of either layout, or of both."""
     with exact_column_case(house.spark):
-        load_bronze(house)
-        process_silver(house, coalesce_layouts)
-        maintain_silver(house)
-        process_gold(house)
-        run_ml(house)
+        run_stages(house, coalesce_layouts)

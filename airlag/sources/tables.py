@@ -14,7 +14,7 @@ import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -256,10 +256,8 @@ class SnapshotTable(VersionedTable):
         schema = df.schema
         if partition_by and not arranged:
             df = rebalance(df, partition_by)
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         folder = f"{self.path}/data/commit={version}"
-        counted.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
         new = [f"commit={version}"]
         if partition_by:
             listed = (
@@ -272,7 +270,7 @@ class SnapshotTable(VersionedTable):
             )
             # An empty partitioned write leaves one file outside any partition.
             new = [r.folder for r in listed.collect() if r.folder != f"commit={version}"]
-        rows = seen.get["rows"]
+        rows = self._read(schema, new).count()  # from file footers
         self._record(
             [(version, operation, rows, utc_now(), schema.json(), sorted([*keep, *new]))]
         )
