@@ -49,6 +49,11 @@ def required_column(
     return column
 
 
+def decoded_path(encoded: Column) -> Column:
+    """A path as the file system names it; Spark reports it percent-encoded."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def normalize_code(column: Column) -> Column:
     return F.upper(F.btrim(column.cast("string"), F.lit(WHITESPACE)))
 

@@ -30,6 +30,9 @@ PIPELINE_FOREST = {"numTrees": 50, "maxDepth": 5}
 REPORT_FOREST = {"numTrees": 40, "maxDepth": 6}
 ITERATIONS = 1000
 
+MIN_TASK_ROWS = 5_000
+MAX_TASK_ROWS = 200_000
+
 
 @dataclass(frozen=True)
 class Prepared:
@@ -114,6 +117,11 @@ def vector_names(df: DataFrame, column: str = "features") -> list[str]:
     return [slot["name"] for slot in slots]
 
 
+def training_tasks(rows: int, cores: int) -> int:
+    """All cores while each still gets some rows, more tasks for large samples."""
+    return max(1, min(cores, rows // MIN_TASK_ROWS), rows // MAX_TASK_ROWS)
+
+
 def prepare(
     feature_table: DataFrame,
     sample_rows: int,
@@ -130,8 +138,10 @@ def prepare(
     prep = fit_preprocessor(train)
     ready = prep.transform(parts)
     names = vector_names(ready)
-    # checkpoint() keeps the vectors in the shared folder for all seven fits.
-    ready = ready.select(*feature_table.columns, "is_test", "features").checkpoint()
+    # Spread over the cores once: every fit passes over these rows many times.
+    tasks = training_tasks(parts.count(), parts.sparkSession.sparkContext.defaultParallelism)
+    ready = ready.select(*feature_table.columns, "is_test", "features")
+    ready = ready.repartition(tasks, F.xxhash64(*feature_table.columns)).checkpoint()
     train, test = ready.where(~F.col("is_test")), ready.where(F.col("is_test"))
     sizes = {row.is_test: row["count"] for row in ready.groupBy("is_test").count().collect()}
     return Prepared(

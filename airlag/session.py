@@ -52,8 +52,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, asked of the file system itself."""
+def _on_file_system(spark: SparkSession, path: str):
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked of the file system itself."""
+    files, target = _on_file_system(spark, path)
+    return files.exists(target)
+
+
+def list_folder(spark: SparkSession, path: str, suffix: str) -> list[tuple[str, str]]:
+    """(path, name) of the files directly in a folder, by name."""
+    files, target = _on_file_system(spark, path)
+    found = [status for status in files.listStatus(target) if status.isFile()]
+    pairs = [(s.getPath().toString(), s.getPath().getName()) for s in found]
+    return sorted((p for p in pairs if p[1].endswith(suffix)), key=lambda pair: pair[1])

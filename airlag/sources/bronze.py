@@ -53,4 +53,9 @@ def tag_batches(spark: SparkSession, batch: list[CsvFile], ids: list[int]) -> Da
     )
     rows = with_source_file(read_csv(spark, batch[0].schema, [f.path for f in batch]))
     columns = [*batch[0].schema.names, "source_file", "ingestion_timestamp", "batch_id"]
-    return rows.join(tags, "source_file").select(*[F.col(c) for c in columns])
+    lost = F.raise_error(F.concat(F.lit("unexpected file "), F.col("source_file")))
+    return (
+        rows.join(tags, "source_file", "left")
+        .withColumn("batch_id", F.coalesce("batch_id", lost.cast("bigint")))
+        .select(*[F.col(c) for c in columns])
+    )

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airlag.session import path_exists
+from airlag.functions.columns import decoded_path
+from airlag.session import list_folder, path_exists
 
 # Fixed value: types are inferred from this many rows of each file.
 INFER_ROWS = 100
@@ -29,18 +29,10 @@ def list_csv(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
     """(path, name) of the ``*.csv`` files directly in ``folder``, by name."""
     if not path_exists(spark, folder):
         raise FileNotFoundError(f"folder {folder} not found")
-    found = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select("path")
-    )
-    paths = [row.path for row in found.collect()]
-    here = PurePosixPath(folder.split(":", 1)[-1]).name
-    direct = [p for p in paths if PurePosixPath(p).parent.name == here]
-    if not direct:
+    files = list_folder(spark, folder, ".csv")
+    if not files:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    return sorted(((p, PurePosixPath(p).name) for p in direct), key=lambda item: item[1])
+    return files
 
 
 def _stored_type(kind: T.DataType) -> T.DataType:
@@ -82,7 +74,7 @@ def read_csv(spark: SparkSession, schema: T.StructType, paths: list[str]) -> Dat
 
 
 def with_source_file(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_name").alias("source_file"))
+    return df.select("*", decoded_path(F.col("_metadata.file_name")).alias("source_file"))
 
 
 def write_report_csv(df: DataFrame, path: str, rows: int) -> None:

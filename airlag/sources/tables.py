@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airlag.functions.columns import decoded_path
 from airlag.operators.layout import rebalance, zorder_layout
 from airlag.operators.merge import merge_upsert, never_null
 from airlag.session import path_exists
@@ -287,8 +288,9 @@ class SnapshotTable(VersionedTable):
         entry = self._entry(None)
         schema = T.StructType.fromJson(json.loads(entry.schema))
         target = self._read(schema, entry.folders)
+        folder = self._folder_of(decoded_path(F.col("_metadata.file_path")))
         matched = (
-            target.select(*keys, self._folder_of(F.col("_metadata.file_path")).alias("folder"))
+            target.select(*keys, folder.alias("folder"))
             .where(never_null(keys))
             .join(source.select(*keys).where(never_null(keys)), list(keys), "left_semi")
             .select("folder")
