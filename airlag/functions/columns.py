@@ -55,7 +55,16 @@ def decoded_path(encoded: Column) -> Column:
 
 
 def normalize_code(column: Column) -> Column:
-    return F.upper(F.btrim(column.cast("string"), F.lit(WHITESPACE)))
+    """Upper case without white space at the ends, of whatever Unicode kind.
+
+    Most codes begin and end with a visible ASCII character once spaces are
+    off; only the others are searched for the full list, which costs more.
+    """
+    spaceless = F.trim(column.cast("string"))
+    visible = F.ascii(spaceless).between(33, 126) & F.ascii(F.right(spaceless, F.lit(1))).between(33, 126)
+    return F.upper(
+        F.when(visible, spaceless).otherwise(F.btrim(spaceless, F.lit(WHITESPACE)))
+    )
 
 
 def scheduled_hour(clock: Column) -> Column:

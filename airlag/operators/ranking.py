@@ -24,23 +24,18 @@ def order_hash(columns: Sequence[str], seed: int) -> Column:
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row as often as ``times`` says; very large counts are unfolded in
-    two steps, so that one row does not grow into one huge task."""
+    """Each row as often as ``times`` says. The copies are unfolded in pieces
+    that are spread over the tasks, so a huge count is not one task's work."""
     columns = [c for c in df.columns if c != times]
-    wanted = df.where(F.col(times) > 0)
-    small = wanted.where(F.col(times) <= CHUNK)
-    large = wanted.where(F.col(times) > CHUNK)
-    pieces = (
-        large.withColumn(
-            "piece", F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / CHUNK)))
-        )
-        .withColumn(times, F.least(F.lit(CHUNK), F.col(times) - F.col("piece") * CHUNK))
-        .repartition("piece")
+    last_piece = F.floor((F.col(times) - 1) / CHUNK)
+    pieces = df.where(F.col(times) > 0).withColumn(
+        "piece", F.explode(F.sequence(F.lit(0), last_piece))
     )
+    size = F.least(F.lit(CHUNK), F.col(times) - F.col("piece") * CHUNK).cast("int")
     return (
-        small.unionByName(pieces.drop("piece"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))))
-        .select(*columns)
+        pieces.repartition("piece", *columns)
+        .select(*columns, F.explode(F.sequence(F.lit(1), size)).alias("copy"))
+        .drop("copy")
     )
 
 
@@ -82,8 +77,9 @@ def mark_first(
 ) -> DataFrame:
     """``df`` with ``chosen``: true for the ``take`` first rows of each group.
 
-    ``take`` holds one row per group ``by`` with the column ``take``. ``df`` is
-    read a few times, so it should be stored. Rows of the cut prefix are
+    ``take`` holds one row per group ``by`` with the column ``take``; the groups
+    are classes, few by nature. ``df`` is read a few times, so it should be
+    stored. Rows of the cut prefix are
     collapsed to one row per distinct content with its number of copies, which
     keeps a large group of copies out of any single task.
     """
@@ -92,7 +88,8 @@ def mark_first(
     hashed = hashed.withColumn("prefix", F.substring("order_key", 1, PREFIX))
     cuts = cut_points(hashed, take, by)
     if by:
-        placed = hashed.join(cuts, list(by))
+        # One short row per class, so the rows themselves need no shuffle.
+        placed = hashed.join(F.broadcast(cuts), list(by))
     else:
         placed = hashed.withColumn(
             "at", cuts.select(F.struct("cut", "left_over")).scalar()
@@ -112,17 +109,13 @@ def mark_first(
         )
     )
     before = F.col("upto") - F.col("copies")
-    chosen = F.greatest(F.lit(0), F.least(F.col("copies"), F.col("left_over") - before))
-    tied = tied.withColumn("picked", chosen)
-    result = clear.unionByName(
-        repeat_rows(tied.select(*columns, F.lit(True).alias("chosen"), F.col("picked").alias("times")), "times")
-    )
+    picked = F.greatest(F.lit(0), F.least(F.col("copies"), F.col("left_over") - before))
+    shares = [F.struct(F.lit(True).alias("chosen"), picked.alias("times"))]
     if keep_rest:
-        rest = tied.select(
-            *columns, F.lit(False).alias("chosen"), (F.col("copies") - F.col("picked")).alias("times")
-        )
-        result = result.unionByName(repeat_rows(rest, "times"))
-    return result
+        rest = F.col("copies") - picked
+        shares.append(F.struct(F.lit(False).alias("chosen"), rest.alias("times")))
+    tied = tied.select(*columns, F.inline(F.array(*shares)))
+    return clear.unionByName(repeat_rows(tied, "times"))
 
 
 def sample_exact(

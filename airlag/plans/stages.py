@@ -24,6 +24,7 @@ MARTS = {
     "time_delay": marts.time_delay,
 }
 SAMPLE_ROWS = 5
+BATCH_ORDER = ["batch_id", "source_file"]
 
 
 @dataclass(frozen=True)
@@ -78,24 +79,23 @@ def load_bronze(house: Lakehouse) -> list[int]:
 
 def silver_source(bronze: DataFrame, coalesce_layouts: bool = False) -> DataFrame:
     """All of bronze cleaned, one row per business key: the earliest batch wins."""
-    carry = ["batch_id", "source_file"]
+    return earliest(C.clean(bronze, BATCH_ORDER, coalesce_layouts))
+
+
+def earliest(rows: DataFrame) -> DataFrame:
     rest = [name for name in C.SILVER_COLUMNS if name not in BUSINESS_KEY]
-    order = [F.col(name) for name in [*carry, *rest]]
-    rows = C.clean(bronze, carry, coalesce_layouts)
+    order = [F.col(name) for name in [*BATCH_ORDER, *rest]]
     return C.keep_first(rows, BUSINESS_KEY, order).select(*C.SILVER_COLUMNS)
 
 
 def process_silver(house: Lakehouse, coalesce_layouts: bool = False) -> int | None:
     """Create silver, or merge all of bronze into it; None when no row is left."""
-    source = silver_source(house.bronze.read(), coalesce_layouts)
-    if house.silver.exists():
-        source = materialize(source)
-        if source.isEmpty():
-            return None
-        return house.silver.merge(source, BUSINESS_KEY, PARTITIONS)
-    if source.isEmpty():
+    rows = C.clean(house.bronze.read(), BATCH_ORDER, coalesce_layouts)
+    if rows.isEmpty():  # before the dedup, so that the first row found answers
         return None
-    return house.silver.write(source, PARTITIONS)
+    if house.silver.exists():
+        return house.silver.merge(materialize(earliest(rows)), BUSINESS_KEY, PARTITIONS)
+    return house.silver.write(earliest(rows), PARTITIONS)
 
 
 def maintain_silver(house: Lakehouse) -> None:

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Skewed joins and skewed writes are split at run time, and files are written
-# at a size that keeps the file count of a large table low.
+# at a size that keeps the file count of a large table low. Parquet files grow
+# several times in memory; the factor keeps broadcasts within their size check.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +17,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 

@@ -38,26 +38,25 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     Join strategies are left to the optimizer: every side but ``nation`` grows
     with the data, so Spark broadcasts by measured size and splits hot keys.
     """
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    supplier = (
-        read_table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.lower("n_name").alias("Origin"))
+    nation = read_table(spark, sf_dir, "nation")
+    origin = nation.select(
+        F.col("n_nationkey").alias("origin_key"), F.lower("n_name").alias("Origin")
     )
-    customer = (
-        read_table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.concat("n_name", F.lit(" ")).alias("Dest"))
+    dest = nation.select(
+        F.col("n_nationkey").alias("dest_key"),
+        F.concat("n_name", F.lit(" ")).alias("Dest"),
     )
     orders = (
         read_table(spark, sf_dir, "orders")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "o_orderdate", "o_orderpriority", "Dest")
+        .join(read_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_nationkey")
     )
     line = (
         read_table(spark, sf_dir, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(read_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(origin, F.col("s_nationkey") == F.col("origin_key"))
+        .join(dest, F.col("c_nationkey") == F.col("dest_key"))
     )
     shipped = F.col("l_shipdate")
     days = F.datediff(shipped, F.col("o_orderdate"))
