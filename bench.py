@@ -33,7 +33,6 @@ HEADLINE = [
     "compact",
     "zorder_layout",
     "sample_exact",
-    "stratified_split",
     "roc_auc",
 ]
 
