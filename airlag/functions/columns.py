@@ -61,7 +61,8 @@ def normalize_code(column: Column) -> Column:
     off; only the others are searched for the full list, which costs more.
     """
     spaceless = F.trim(column.cast("string"))
-    visible = F.ascii(spaceless).between(33, 126) & F.ascii(F.right(spaceless, F.lit(1))).between(33, 126)
+    first, last = F.ascii(spaceless), F.ascii(F.right(spaceless, F.lit(1)))
+    visible = first.between(33, 126) & last.between(33, 126)
     return F.upper(
         F.when(visible, spaceless).otherwise(F.btrim(spaceless, F.lit(WHITESPACE)))
     )

@@ -61,7 +61,9 @@ def cut_points(df: DataFrame, take: DataFrame, by: Sequence[str]) -> DataFrame:
         )
         .select(
             *by,
-            F.when(F.col("take") <= 0, "").otherwise(F.coalesce("edge", F.lit(PAST_ALL))).alias("cut"),
+            F.when(F.col("take") <= 0, "")
+            .otherwise(F.coalesce("edge", F.lit(PAST_ALL)))
+            .alias("cut"),
             F.coalesce("left_over", F.lit(0)).alias("left_over"),
         )
     )
