@@ -10,7 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlag.llm.common import materialize, read
+from airlag.llm import langid
+from airlag.llm.common import crc_remainder, materialize, read
+from airlag.llm.decontaminate import contamination
 from airlag.llm.packing import cut_pieces, place_pieces
 from airlag.llm.token_counts import token_counts
 from airlag.llm.token_files import read_token_files, scratch_token_folder, write_token_files
@@ -26,6 +28,19 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, manifest)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "spans",
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     pieces = cut_pieces(docs, public_tokenizers.path(WORD_BPE))
@@ -37,6 +52,16 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_packing, op5_token_counts)}
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_remainder() == 2
+    model = langid.fit(docs.where(~held_out))
+    found = langid.predict_language(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op10_language,
+)}
 
 ORACLE: dict[str, str] = {}
