@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlag.llm import langid
+from airlag.llm import langid, quality
 from airlag.llm.common import crc_remainder, materialize, read
 from airlag.llm.decontaminate import contamination
 from airlag.llm.packing import cut_pieces, place_pieces
@@ -52,6 +52,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = crc_remainder() == 2
+    model = quality.fit(docs, labels.where(~held_out))
+    scored = quality.score_quality(docs, model)
+    predicted = (F.col("score") >= 0.7).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = crc_remainder() == 2
@@ -61,7 +70,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op10_language,
+    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op9_quality,
+    op10_language,
 )}
 
 ORACLE: dict[str, str] = {}
