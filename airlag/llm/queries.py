@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from airlag.llm import langid, quality
 from airlag.llm.common import crc_remainder, materialize, read
 from airlag.llm.decontaminate import contamination
+from airlag.llm.fingerprints import edit_likeness
 from airlag.llm.packing import cut_pieces, place_pieces
 from airlag.llm.token_counts import token_counts
 from airlag.llm.token_files import read_token_files, scratch_token_folder, write_token_files
@@ -52,6 +53,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edit_likeness(read(spark, sf_dir, "documents"))
+    spelled = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(spelled)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     held_out = crc_remainder() == 2
@@ -70,7 +77,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op9_quality,
+    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op8_fingerprints, op9_quality,
     op10_language,
 )}
 
