@@ -7,10 +7,10 @@ of its tables and derives the columns of its result from the operator's.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlag.llm import langid, quality
+from airlag.llm import langid, pii, quality
 from airlag.llm.common import crc_remainder, materialize, read
 from airlag.llm.decontaminate import contamination
 from airlag.llm.fingerprints import edit_likeness
@@ -53,6 +53,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read(spark, sf_dir, "documents"))
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[number(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = edit_likeness(read(spark, sf_dir, "documents"))
     spelled = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
@@ -77,7 +91,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op8_fingerprints, op9_quality,
+    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op6_pii, op8_fingerprints, op9_quality,
     op10_language,
 )}
 
