@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from airlag.llm.common import balanced, strings
 
 #: Bytes of text that are split at once, and that go to the library at once.
-SPLIT_BYTES = 16 << 20
+SPLIT_BYTES = 6 << 20
 CALL_BYTES = 1 << 18
 #: Parts whose ids a Python worker keeps, and the longest part that is encoded
 #: together with others.

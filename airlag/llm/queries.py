@@ -14,6 +14,7 @@ from airlag.llm import langid, pii, quality
 from airlag.llm.common import crc_remainder, materialize, read
 from airlag.llm.decontaminate import contamination
 from airlag.llm.fingerprints import edit_likeness
+from airlag.llm.line_dedup import dedup_lines
 from airlag.llm.packing import cut_pieces, place_pieces
 from airlag.llm.token_counts import token_counts
 from airlag.llm.token_files import read_token_files, scratch_token_folder, write_token_files
@@ -67,6 +68,64 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(read(spark, sf_dir, "documents"))
+    runs = F.transform("removed", lambda r: F.concat_ws("-", r["first_line"], r["last_line"]))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.array_join(runs, ",").alias("removed"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+OP7_SQL = """
+WITH line AS (
+  SELECT doc_id, hash AS text_hash, i - 1 AS line_no, lines, lines[i] AS line,
+         greatest(len(regexp_extract_all(lines[i], '\\S+')), 1) AS words
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, md5(text) AS hash
+        FROM documents) d, unnest(range(1, len(lines) + 1)) AS t(i)
+), placed AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY line_no) AS stop,
+         sum(words) OVER (PARTITION BY doc_id ORDER BY line_no) - words AS start,
+         sum(words) OVER (PARTITION BY doc_id) AS total
+  FROM line
+), sized AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id ORDER BY start RANGE BETWEEN 0 PRECEDING AND 49 FOLLOWING) AS l,
+         count(*) OVER (PARTITION BY doc_id ORDER BY stop RANGE BETWEEN 49 PRECEDING AND 0 FOLLOWING) AS r
+  FROM placed
+), run AS (
+  SELECT DISTINCT doc_id, line_no AS first_line, line_no + l - 1 AS last_line,
+         array_to_string(lines[line_no + 1 : line_no + l], chr(10)) AS body
+  FROM sized WHERE start + 50 <= total
+  UNION
+  SELECT DISTINCT doc_id, line_no - r + 1, line_no,
+         array_to_string(lines[line_no - r + 2 : line_no + 1], chr(10))
+  FROM sized WHERE stop >= 50
+), later AS (
+  SELECT doc_id, first_line, last_line,
+         row_number() OVER (PARTITION BY body ORDER BY doc_id, first_line) AS copy
+  FROM run
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first_line, last_line + 1)) AS line_no FROM later WHERE copy > 1
+), island AS (
+  SELECT doc_id, line_no, line_no - row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k FROM gone
+), cut AS (
+  SELECT doc_id, min(line_no) AS a, max(line_no) AS b FROM island GROUP BY doc_id, k
+), cuts AS (
+  SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS removed, sum(b - a + 1) AS n FROM cut GROUP BY doc_id
+), kept AS (
+  SELECT line.doc_id, string_agg(line, chr(10) ORDER BY line_no) AS text
+  FROM line ANTI JOIN gone USING (doc_id, line_no) GROUP BY line.doc_id
+)
+SELECT d.doc_id, CAST(len(string_split(d.text, chr(10))) AS BIGINT) AS n_lines,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_removed, coalesce(c.removed, '') AS removed,
+       sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents d LEFT JOIN cuts c USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = edit_likeness(read(spark, sf_dir, "documents"))
     spelled = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
@@ -91,8 +150,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op6_pii, op8_fingerprints, op9_quality,
+    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op6_pii, op7_line_dedup, op8_fingerprints, op9_quality,
     op10_language,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_line_dedup": OP7_SQL}
