@@ -15,6 +15,7 @@ from airlag.llm.common import crc_remainder, materialize, read
 from airlag.llm.decontaminate import contamination
 from airlag.llm.fingerprints import edit_likeness
 from airlag.llm.line_dedup import dedup_lines
+from airlag.llm.near_dedup import near_duplicates
 from airlag.llm.packing import cut_pieces, place_pieces
 from airlag.llm.token_counts import token_counts
 from airlag.llm.token_files import read_token_files, scratch_token_folder, write_token_files
@@ -50,6 +51,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place_pieces(materialize(digests))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -150,7 +155,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_files, op2_decontamination, op3_packing, op5_token_counts, op6_pii, op7_line_dedup, op8_fingerprints, op9_quality,
+    op1_token_files, op2_decontamination, op3_packing, op4_near_dedup, op5_token_counts, op6_pii, op7_line_dedup, op8_fingerprints, op9_quality,
     op10_language,
 )}
 
