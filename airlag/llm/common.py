@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from airlag.session import materialize, scratch_dir
 
 __all__ = [
-    "balanced", "crc_remainder", "let_workers_import", "materialize", "partitions",
+    "balanced", "crc_remainder", "keep_rows", "let_workers_import", "materialize", "partitions",
     "read", "scratch_dir", "strings", "text_bytes",
 ]
 
@@ -50,6 +50,18 @@ def strings(column: pa.Array) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
+def keep_rows(docs: DataFrame, wanted: Callable[[pa.Array], np.ndarray], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose texts (null: empty) are wanted: a map over
+    Arrow batches that leaves every column as it is."""
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(wanted(strings(batch.column(place))), pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, UTF-8 bytes) of a large-string column without nulls."""
     _, offsets, data = texts.buffers()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlag.llm.common import materialize, strings, text_bytes
+from airlag.llm.common import keep_rows, materialize, strings, text_bytes
 
 #: Window characters in one automaton: it takes some 60 bytes for each. Items
 #: beyond this fill further blocks, and documents are scanned once per block.
@@ -89,7 +89,7 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def scan_text(raw: bytes, automaton, words: np.ndarray | None = None):
+def scan_text(raw: bytes, automaton):
     """(number of words, hit flags per word or None, item ids) of one text."""
     split = raw.translate(TABLE).split()
     line = b" " + b" ".join(split) + b" "
@@ -213,3 +213,32 @@ def _unite(numbered: DataFrame, scanned: DataFrame) -> DataFrame:
 
     joined = numbered.join(hits, "row").select("doc_id", "text", "n_words", "item_ids", "spans")
     return joined.mapInArrow(unite, _SCANNED)
+
+
+def remove_contaminated(
+    docs: DataFrame, items: DataFrame, width: int = 10, block_chars: int = BLOCK_CHARS, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, as they are, without any window of an item. Each
+    block of items is one automaton that the rows pass."""
+    keyed = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    for block in item_blocks(keyed, width, block_chars):
+        docs = keep_rows(docs, _Clean(docs.sparkSession.sparkContext.broadcast(block), width), text_col)
+    return docs
+
+
+class _Clean:
+    """Marks texts without a hit; builds its automaton once per task."""
+
+    def __init__(self, block, width: int):
+        self.block, self.width, self.automaton = block, width, None
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        if self.automaton is None:
+            self.automaton = (build(self.block.value, self.width),)
+        (automaton,) = self.automaton
+        bounds, data = text_bytes(texts)
+        clean = np.ones(len(texts), bool)
+        for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            if automaton is not None:
+                clean[i] = scan_text(data[a:b].tobytes(), automaton)[1] is None
+        return clean

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlag.llm.common import balanced, materialize, strings
@@ -197,18 +197,18 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(align, "a long, b long")
 
 
-def near_duplicates(
+def text_classes(
     docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id, class_id``, one row per input row.
+) -> tuple[DataFrame, DataFrame]:
+    """(``doc_id, h1, h2`` per row, ``h1, h2, class_id, stays`` per text).
 
     A class holds the texts that links of at least ``least`` connect, and its id
     is the smallest document id in it. Equal texts are one text from the start,
     so any number of exact copies costs one candidate; null and empty texts are
     equal. A text of fewer than five words is one k-mer. Links are verified in
     two rounds: every text against its best candidate, then only pairs whose ends are not yet connected, so a group of near copies is not
-    compared pair by pair. Rows with a null id come out with the class of their
-    text (null where no row of the class has an id).
+    compared pair by pair. ``stays`` marks one text of each class: of those that
+    carry the smallest id, the one with the smallest hash.
     """
     table = materialize(sketch_table(docs, id_col, text_col))
     by_text = table.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
@@ -238,6 +238,49 @@ def near_duplicates(
     labels = components(links.unionAll(more))
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    classes = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    of_text = materialize(named.join(classes, "label").select("h1", "h2", "class_id"))
-    return table.select("doc_id", "h1", "h2").join(of_text, ["h1", "h2"]).select("doc_id", "class_id")
+    # Null ids come last here, so a class is named by an id wherever it has one.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")).alias("first")
+    classes = named.groupBy("label").agg(first)
+    stays = (F.col("h1") == F.col("first.h1")) & (F.col("h2") == F.col("first.h2"))
+    of_text = named.join(classes, "label").select(
+        "h1", "h2", F.col("first.doc_id").alias("class_id"), stays.alias("stays")
+    )
+    return table.select("doc_id", "h1", "h2"), materialize(of_text)
+
+
+def near_duplicates(
+    docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, class_id``, one row per input row; see ``text_classes``.
+
+    Rows with a null id come out with the class of their text (null where no
+    row of the class has an id).
+    """
+    rows, of_text = text_classes(docs, least, id_col, text_col)
+    return rows.join(of_text, ["h1", "h2"]).select("doc_id", "class_id")
+
+
+def keep_one(
+    docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of every class, with all its columns: that of the smallest id.
+
+    Rows are joined on id and text, so the copies of a text that a third of all
+    rows share do not meet. Of rows that repeat both, one stays, the one whose
+    other columns have the smallest hash.
+    """
+    _, of_text = text_classes(docs, least, id_col, text_col)
+    staying = of_text.where("stays").select("h1", "h2", "class_id")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.coalesce(F.col("row")[text_col], F.lit(""))
+    keyed = packed.select(
+        "row", F.col("row")[id_col].cast("long").alias("id"), F.xxhash64(text).alias("h1"),
+        F.xxhash64(text, F.lit(1)).alias("h2"),
+    )
+    found = keyed.join(
+        staying.withColumnsRenamed({"h1": "k1", "h2": "k2"}),
+        (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("id").eqNullSafe(F.col("class_id")),
+    )
+    others = [F.col("row")[c] for c in docs.columns if c != text_col]
+    same = Window.partitionBy("h1", "h2", "id").orderBy(F.xxhash64(*others))
+    return found.withColumn("nth", F.row_number().over(same)).where("nth = 1").select("row.*")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlag.llm.common import balanced, strings, text_bytes
+from airlag.llm.common import balanced, keep_rows, strings, text_bytes
 
 #: Bytes of text whose lines are scored at once.
 CHUNK_BYTES = 2 << 20
@@ -286,3 +286,11 @@ def score_quality(
     fields = [out["doc_id"].dataType.simpleString(), "double"]
     fields += [out.fields[2 + i].dataType.simpleString() for i in range(len(kept))]
     return rows.mapInArrow(score, ", ".join(f"`{n}` {t}" for n, t in zip(names, fields, strict=True)))
+
+
+def keep_good(docs: DataFrame, model: Crf | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, as they are, whose text scores at least ``least``;
+    all rows where there is no model."""
+    if model is None:
+        return docs
+    return keep_rows(docs, lambda texts: model.score(texts) >= least, text_col)
