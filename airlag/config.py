@@ -21,12 +21,19 @@ CLUSTER_BY = ["origin", "dest", "hour"]
 
 @dataclass(frozen=True)
 class Settings:
-    """Where the tables live and how many rows the models may train on."""
+    """Where the tables live, and how the models train.
+
+    ``sample_rows`` bounds the labelled rows that a classifier is fitted on;
+    nothing else is bounded. ``train_tasks`` is the number of partitions the
+    models train on: forests draw their samples by partition, so it is fixed
+    and not taken from the cluster.
+    """
 
     data_root: str = field(default_factory=lambda: os.getenv("DATA_ROOT", "data"))
     sample_rows: int = field(
         default_factory=lambda: int(os.getenv("ML_SAMPLE_ROWS", "50000"))
     )
+    train_tasks: int = field(default_factory=lambda: int(os.getenv("ML_TRAIN_TASKS", "16")))
 
     def path(self, *parts: str) -> str:
         return "/".join([self.data_root.rstrip("/"), *parts])

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlag.functions.columns import is_late
+from airlag.session import materialize
 
 P95 = 0.95
 
@@ -50,6 +51,36 @@ def with_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def with_range_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """As ``with_ranks``, for groups with any number of distinct values.
+
+    Values are cut into ranges, each range is summed on its own, and a range's
+    offset follows from the totals of the ranges before it: no task sees more
+    than one range, and one row per range and group is all that meets. The
+    counts are stored, so that both uses see the same ranges.
+    """
+    weight = F.when(F.col("v").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    ranged = counts.withColumn("weight", weight).repartitionByRange(*keys, "v")
+    ranged = materialize(ranged.withColumn("range", F.spark_partition_id()))
+    totals = ranged.groupBy(*keys, "range").agg(F.sum("weight").alias("total"))
+    group = Window.partitionBy(*keys, F.lit(0))
+    earlier = group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        *keys,
+        "range",
+        F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"),
+        F.sum("total").over(group).alias("known"),
+    )
+    inside = Window.partitionBy(*keys, "range").orderBy(F.col("v").asc_nulls_first())
+    running = F.sum("weight").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        ranged.withColumn("upto", running)
+        .join(totals, [*keys, "range"])
+        .withColumn("upto", F.col("upto") + F.col("before"))
+        .drop("before", "range")
+    )
+
+
 def value_at(index: Column) -> Column:
     """The value at a zero-based position of the ordered group."""
     here = (index < F.col("upto")) & (index >= F.col("upto") - F.col("weight"))
@@ -88,8 +119,10 @@ def delay_profile(
     means: Sequence[str] = (),
     value: str = "arr_delay",
 ) -> DataFrame:
-    """One row per ``keys`` with the given measures over the ranked counts."""
-    ranked = with_ranks(value_counts(df, keys, value, means), keys)
+    """One row per ``keys`` with the given measures over the ranked counts;
+    without keys, one row."""
+    counts = value_counts(df, keys, value, means)
+    ranked = with_ranks(counts, keys) if keys else with_range_ranks(counts, keys)
     return ranked.groupBy(*keys).agg(
         *[column.alias(name) for name, column in measures.items()]
     )

@@ -35,10 +35,18 @@ RAW_NAMES = {
     "arr_delay": ("ArrDelay", "ARRIVAL_DELAY"),
     "distance": ("Distance", "DISTANCE"),
 }
+# Silver types of what bronze may hold as text, when some cell of
+# the column was no number.
+NUMBER_TYPES = {
+    "year": "bigint", "month": "bigint", "day_of_week": "bigint", "cancelled": "double",
+    "flight_number": "bigint", "crs_dep_time": "bigint", "dep_delay": "double",
+    "crs_arr_time": "bigint", "arr_delay": "double", "distance": "double",
+}
 DIVERTED = ("Diverted", "DIVERTED")
 DAY = ("DAY",)
 FULL_DATE = ("FlightDate",)
 
+# Columns of the silver table.
 SILVER_COLUMNS = [
     "flight_date", "year", "month", "day_of_week", "airline", "flight_number",
     "origin", "dest", "crs_dep_time", "dep_delay", "crs_arr_time", "arr_delay",
@@ -55,6 +63,7 @@ def resolve_columns(
     through. With ``coalesce_layouts`` a frame that holds both layouts yields
     rows of both; by default the first name found wins.
     """
+    df = numbers_from_text(df)
     raw = {
         name: required_column(df, names, coalesce_layouts)
         for name, names in RAW_NAMES.items()
@@ -69,6 +78,22 @@ def resolve_columns(
     return df.select(*columns, *carry)
 
 
+def numbers_from_text(df: DataFrame) -> DataFrame:
+    """Text columns that silver needs as numbers, read as such; a cell that is
+    no number, or no whole one where that is needed, becomes null."""
+    kinds = {raw: NUMBER_TYPES[name] for name, names in RAW_NAMES.items() if name in NUMBER_TYPES for raw in names}
+    kinds |= {**dict.fromkeys(DIVERTED, "double"), **dict.fromkeys(DAY, "bigint")}
+    changed = {}
+    for name, kind in df.dtypes:
+        if kind == "string" and name in kinds:
+            number = F.col(name).try_cast("double")
+            if kinds[name] == "bigint":
+                whole = F.when(number == F.floor(number), number).try_cast("bigint")
+                number = F.coalesce(F.col(name).try_cast("bigint"), whole)
+            changed[name] = number
+    return df.withColumns(changed) if changed else df
+
+
 def flight_date(
     df: DataFrame, year: Column, month: Column, coalesce_layouts: bool = False
 ) -> Column:

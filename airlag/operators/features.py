@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from airlag.functions.columns import is_late
 
+# Columns of the feature table.
 FEATURE_COLUMNS = [
     "flight_date", "year", "month", "airline", "origin", "dest", "route", "distance",
     "hour", "day_of_week", "season", "dep_delay", "arr_delay",
 ]
 
-# Output name -> columns that, with the date, say which flights are counted.
+# Output name -> columns that, with the date, say which flights are counted.
 LOAD_COUNTS = {
     "origin_day_flights": ["origin"],
     "dest_day_flights": ["dest"],

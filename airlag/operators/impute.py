@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlag.functions.profiles import exact_median, with_ranks
+from airlag.functions.profiles import exact_median, with_range_ranks
 
 
 def feature_values(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
@@ -30,7 +30,7 @@ def feature_values(df: DataFrame, columns: Sequence[str], kind: str) -> DataFram
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, fill): the exact median of each column."""
-    counts = with_ranks(feature_values(df, columns, "double"), ["feature"])
+    counts = with_range_ranks(feature_values(df, columns, "double"), ["feature"])
     return counts.groupBy("feature").agg(exact_median().alias("fill"))
 
 

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from airlag.config import SEED, TEST_FRACTION
 from airlag.operators.impute import known_columns, medians, modes
 from airlag.operators.metrics import classification_metrics, regression_metrics, roc_auc
-from airlag.operators.ranking import sample_exact, stratified_split
+from airlag.operators.ranking import mark_first, stratified_split
 
+# Feature lists, label names and model names of the run records.
 NUMERIC = [
     "distance", "hour", "day_of_week", "origin_day_flights", "dest_day_flights",
     "airline_day_flights", "route_day_flights", "origin_hour_flights", "route_hour_flights",
@@ -30,20 +31,22 @@ PIPELINE_FOREST = {"numTrees": 50, "maxDepth": 5}
 REPORT_FOREST = {"numTrees": 40, "maxDepth": 6}
 ITERATIONS = 1000
 
-MIN_TASK_ROWS = 5_000
-MAX_TASK_ROWS = 200_000
-
 
 @dataclass(frozen=True)
 class Prepared:
-    """Assembled training and test rows, stored, plus what made them."""
+    """Assembled training and test rows, stored, plus what made them.
+
+    ``fit`` holds the training rows that classifiers are fitted on.
+    """
 
     train: DataFrame
     test: DataFrame
+    fit: DataFrame
     stages: PipelineModel
     features: list[str]
     train_rows: int
     test_rows: int
+    fit_rows: int
 
 
 @dataclass(frozen=True)
@@ -117,36 +120,45 @@ def vector_names(df: DataFrame, column: str = "features") -> list[str]:
     return [slot["name"] for slot in slots]
 
 
-def training_tasks(rows: int, cores: int) -> int:
-    """All cores while each still gets some rows, more tasks for large samples."""
-    return max(1, min(cores, rows // MIN_TASK_ROWS), rows // MAX_TASK_ROWS)
-
-
 def prepare(
     feature_table: DataFrame,
-    sample_rows: int,
+    classifier_rows: int,
     store: Callable[[DataFrame], DataFrame],
+    tasks: int = 16,
     seed: int = SEED,
 ) -> Prepared:
-    """Sample, split, fit the preprocessing once and store both parts.
+    """Split, fit the preprocessing on all training rows and store both parts.
 
-    ``store`` must persist a frame where all executors can read it again.
+    At most ``classifier_rows`` training rows, the first by hash, are marked for
+    fitting classifiers; fills, slots, baselines and regressors use them all,
+    and all test rows are scored. ``store`` must persist a frame where all
+    executors can read it again. Rows lie in ``tasks`` partitions, in the order
+    of their hashes, whatever the cluster.
     """
-    sample = store(sample_exact(feature_table, sample_rows, seed))
-    parts = store(stratified_split(sample, LATE, seed, TEST_FRACTION))
-    train, test = parts.where(~F.col("is_test")), parts.where(F.col("is_test"))
+    columns = feature_table.columns
+    parts = store(stratified_split(feature_table, LATE, seed, TEST_FRACTION))
+    train = parts.where(~F.col("is_test")).select(*columns)
+    take = parts.sparkSession.range(1).select(F.lit(classifier_rows).cast("bigint").alias("take"))
+    marked = mark_first(train, take, columns, seed)
     prep = fit_preprocessor(train)
-    ready = prep.transform(parts)
+    both = marked.select(*columns, F.lit(False).alias("is_test"), F.col("chosen").alias("is_fit"))
+    both = both.unionByName(parts.where("is_test").withColumn("is_fit", F.lit(False)))
+    ready = prep.transform(both)
     names = vector_names(ready)
-    # Spread over the cores once: every fit passes over these rows many times.
-    tasks = training_tasks(parts.count(), parts.sparkSession.sparkContext.defaultParallelism)
-    ready = ready.select(*feature_table.columns, "is_test", "features")
-    ready = ready.repartition(tasks, F.xxhash64(*feature_table.columns)).checkpoint()
-    train, test = ready.where(~F.col("is_test")), ready.where(F.col("is_test"))
-    sizes = {row.is_test: row["count"] for row in ready.groupBy("is_test").count().collect()}
-    return Prepared(
-        train, test, prep.stages, names, sizes.get(False, 0), sizes.get(True, 0)
+    place = F.xxhash64(*columns)
+    ready = (
+        ready.select(*columns, "is_test", "is_fit", "features")
+        .repartition(tasks, place)
+        .sortWithinPartitions(place, "is_test", "is_fit")
+        .checkpoint()
     )
+    train, test = ready.where(~F.col("is_test")), ready.where(F.col("is_test"))
+    kinds = ready.groupBy("is_test", "is_fit").count().collect()
+    sizes = {(row.is_test, row.is_fit): row["count"] for row in kinds}
+    fit_rows, test_rows = sizes.get((False, True), 0), sizes.get((True, False), 0)
+    train_rows = fit_rows + sizes.get((False, False), 0)
+    fit = ready.where("is_fit")
+    return Prepared(train, test, fit, prep.stages, names, train_rows, test_rows, fit_rows)
 
 
 def used_columns(feature_table: DataFrame) -> list[str]:
@@ -185,10 +197,10 @@ def forest_regression(numTrees: int, maxDepth: int) -> RandomForestRegressor:
     )
 
 
-def logistic_regression(train_rows: int) -> LogisticRegression:
+def logistic_regression(fit_rows: int) -> LogisticRegression:
     """Unit inverse penalty on the summed loss, as a mean loss."""
     return LogisticRegression(
-        labelCol=LATE, regParam=1.0 / train_rows, standardization=False, maxIter=ITERATIONS
+        labelCol=LATE, regParam=1.0 / fit_rows, standardization=False, maxIter=ITERATIONS
     )
 
 
@@ -259,12 +271,12 @@ def regression_runs(
 
 def classification_runs(data: Prepared, forest: dict[str, int] = PIPELINE_FOREST) -> list[Run]:
     def fitted(name: str, estimator: Estimator) -> Run:
-        model = estimator.fit(data.train)
+        model = estimator.fit(data.fit)
         return Run("classification", name, with_score(model.transform(data.test)), model)
 
     return [
         Run("classification", "DummyMostFrequentClassifier", baseline_mode(data.train, data.test)),
-        fitted("LogisticRegression", logistic_regression(data.train_rows)),
+        fitted("LogisticRegression", logistic_regression(data.fit_rows)),
         fitted("RandomForestClassifier", forest_classification(**forest)),
     ]
 
@@ -299,7 +311,7 @@ def model_runs(
 ) -> DataFrame:
     """One record per model: parameters, sizes, table version and metrics.
 
-    ``training_rows`` is the size of the whole sample; the two parts are kept
+    ``training_rows`` is the size of the whole table; the two parts are kept
     beside it.
     """
     records = []

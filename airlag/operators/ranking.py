@@ -39,6 +39,15 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     )
 
 
+def join_null_safe(df: DataFrame, other: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Inner join on ``by`` in which null equals null; the columns of ``by``
+    come from ``df``. Whether a side is small enough to broadcast is Spark's
+    own check."""
+    renamed = other.withColumnsRenamed({c: f"{c}__key" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"{c}__key")) for c in by]
+    return df.join(renamed, same).drop(*[f"{c}__key" for c in by])
+
+
 def cut_points(df: DataFrame, take: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per group: the prefix of the ``take``-th row and how many rows of that
     prefix are still in. ``df`` has the column ``prefix``."""
@@ -49,7 +58,7 @@ def cut_points(df: DataFrame, take: DataFrame, by: Sequence[str]) -> DataFrame:
     )
     edge = (F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("rows") < F.col("take"))
     if by:
-        joined = ranked.join(take, list(by))
+        joined = join_null_safe(ranked, take, by)
     else:
         joined = ranked.withColumn("take", take.select("take").scalar())
     return (
@@ -90,8 +99,7 @@ def mark_first(
     hashed = hashed.withColumn("prefix", F.substring("order_key", 1, PREFIX))
     cuts = cut_points(hashed, take, by)
     if by:
-        # One short row per class, so the rows themselves need no shuffle.
-        placed = hashed.join(F.broadcast(cuts), list(by))
+        placed = join_null_safe(hashed, cuts, by)
     else:
         placed = hashed.withColumn(
             "at", cuts.select(F.struct("cut", "left_over")).scalar()

@@ -296,6 +296,13 @@ TABLES = {
 FILES = {
     "bronze_scan": FROM_CSV,
     "bronze_stream": FROM_CSV,
+    "bronze_files": over_flights(
+        "SELECT Year, count(*) AS rows, TRUE AS named FROM flights GROUP BY Year"
+    ),
+    "bronze_provenance": over_flights(
+        "SELECT Year, count(*) AS rows, TRUE AS named, TRUE AS loaded_once "
+        "FROM flights GROUP BY Year"
+    ),
     "bronze_skip_empty": over_flights(
         "SELECT Year, count(*) AS rows FROM flights GROUP BY Year"
     ),
@@ -336,8 +343,7 @@ class_rows AS (
 )"""
 
 
-SAMPLED = f"sampled AS (SELECT * FROM features ORDER BY {HASH}, {ALL} LIMIT 50000)"
-PARTS = f"{FEATURES}, {SAMPLED}, {split_of('sampled')}"
+PARTS = f"{FEATURES}, {split_of('features')}"
 NUMERIC = (
     "distance, hour, day_of_week, origin_day_flights, dest_day_flights, "
     "airline_day_flights, route_day_flights, origin_hour_flights, route_hour_flights"
@@ -392,7 +398,37 @@ confusion AS (
          count(*) FILTER (is_delayed = 1 AND guess_late = 1) AS tp
   FROM guesses
 )"""
-# Files hold whole years, so only the row columns order equal keys.
+FITTED = f"""
+fitted AS (SELECT * FROM parts WHERE NOT is_test ORDER BY {HASH}, {ALL} LIMIT 50000)"""
+BASELINES = """
+sizes AS (
+  SELECT count(*) FILTER (NOT is_test) AS train, count(*) FILTER (is_test) AS test FROM parts
+), guess_mean AS (
+  SELECT avg(abs(arr_delay - m)) AS mae, sqrt(avg((arr_delay - m) * (arr_delay - m))) AS rmse
+  FROM parts, (SELECT avg(arr_delay) AS m FROM parts WHERE NOT is_test) WHERE is_test
+), guess_mode AS (
+  SELECT avg(CASE WHEN is_delayed = m THEN 1.0::DOUBLE ELSE 0 END) AS accuracy,
+         CASE WHEN any_value(m) = 1
+              THEN 2 * sum(is_delayed) / (sum(is_delayed) + count(*))::DOUBLE ELSE 0 END AS f1
+  FROM parts, (SELECT is_delayed AS m FROM parts WHERE NOT is_test
+               GROUP BY is_delayed ORDER BY count(*) DESC, is_delayed LIMIT 1)
+  WHERE is_test
+)"""
+# The seven models.
+RUNS = """
+runs(task, model_type) AS (VALUES
+  ('regression', 'DummyMeanRegressor'), ('regression', 'LinearRegression'),
+  ('regression', 'RidgeRegression'), ('regression', 'RandomForestRegressor'),
+  ('classification', 'DummyMostFrequentClassifier'), ('classification', 'LogisticRegression'),
+  ('classification', 'RandomForestClassifier'))"""
+
+
+def baseline(value: str, name: str) -> str:
+    return f"CASE WHEN model_type = '{name}' THEN round({value}, 6) END"
+
+
+MEAN, MODE = "DummyMeanRegressor", "DummyMostFrequentClassifier"
+# Equal keys lie in one file, so only the row columns order equal keys.
 STAGED = f"""
 silver AS (
   SELECT {SILVER_COLUMNS} FROM cleaned
@@ -433,6 +469,64 @@ LEARN = {
         "GROUP BY is_delayed ORDER BY count(*) DESC, is_delayed LIMIT 1) WHERE is_test",
         PARTS,
     ),
+    "linear_regression": over_silver(
+        "SELECT airline, count(*) AS rows, sum(arr_delay) AS label_total, "
+        "0.0::DOUBLE AS mean_residual FROM parts WHERE NOT is_test GROUP BY airline",
+        PARTS,
+    ),
+    "ridge_regression": over_silver(
+        "SELECT count(*) AS rows, sum(arr_delay) AS label_total, "
+        "0.0::DOUBLE AS mean_residual FROM parts WHERE NOT is_test",
+        PARTS,
+    ),
+    "logistic_regression": over_silver(
+        "SELECT count(*) AS rows, CAST(sum(is_delayed) AS BIGINT) AS late, "
+        "0.0::DOUBLE AS mean_residual FROM fitted",
+        PARTS,
+        FITTED,
+    ),
+    "forest_regression": over_silver(
+        f"SELECT {PREDICTED}, TRUE AS in_range FROM parts WHERE is_test", PARTS
+    ),
+    "forest_classification": over_silver(
+        f"SELECT {PREDICTED}, TRUE AS in_range FROM parts WHERE is_test", PARTS
+    ),
+    "classification_scores": over_silver(
+        f"SELECT {PREDICTED}, TRUE AS in_range, TRUE AS decides FROM parts WHERE is_test", PARTS
+    ),
+    "feature_importance": over_silver(
+        "SELECT task, feature, TRUE AS in_range, 1.0::DOUBLE AS total "
+        f"FROM (SELECT feature FROM ({SLOTS} UNION ALL {SUMS})), "
+        "(VALUES ('regression'), ('classification')) t(task)",
+        PARTS,
+    ),
+    "model_runs": over_silver(
+        "SELECT task, model_type, train AS train_rows, test AS test_rows, "
+        "train + test AS training_rows, 0::BIGINT AS gold_table_version, "
+        "CASE WHEN task = 'classification' THEN test::DOUBLE END AS confusion_total, "
+        f"{baseline('mae', MEAN)} AS mae, {baseline('accuracy', MODE)} AS accuracy, "
+        f"{baseline('f1', MODE)} AS f1, {baseline('0.5::DOUBLE', MODE)} AS roc_auc "
+        "FROM runs, sizes, guess_mean, guess_mode",
+        PARTS,
+        BASELINES,
+        RUNS,
+    ),
+    "regression_leaderboard": over_silver(
+        f"SELECT model_type AS model, TRUE AS in_order, {baseline('mae', MEAN)} AS mae, "
+        f"{baseline('rmse', MEAN)} AS rmse FROM runs, guess_mean "
+        "WHERE task = 'regression' AND model_type <> 'LinearRegression'",
+        PARTS,
+        BASELINES,
+        RUNS,
+    ),
+    "classification_leaderboard": over_silver(
+        f"SELECT model_type AS model, TRUE AS in_order, {baseline('accuracy', MODE)} AS accuracy, "
+        f"{baseline('f1', MODE)} AS f1, {baseline('0.5::DOUBLE', MODE)} AS roc_auc "
+        "FROM runs, guess_mode WHERE task = 'classification'",
+        PARTS,
+        BASELINES,
+        RUNS,
+    ),
     "regression_metrics": over_silver(
         "SELECT avg(abs(arr_delay - guess)) AS mae, "
         "avg((arr_delay - guess) * (arr_delay - guess)) AS mse, "

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlag.config import (
@@ -26,7 +26,7 @@ from airlag.plans.stages import Lakehouse, run_stages, time_travel_sample
 from airlag.session import materialize, scratch_dir
 from airlag.sources import tables
 from airlag.sources.bronze import ingest_csv, inspect_all
-from airlag.sources.csv_files import read_csv, with_source_file, write_report_csv
+from airlag.sources.csv_files import read_csv, write_report_csv
 from airlag.sources.flights import LAYOUT_A, LINE_ORDER, arrival_order, flights, to_layout_b
 from airlag.sources.tables import AppendTable, SnapshotTable
 from airlag.streaming.bronze_stream import ingest_stream
@@ -249,12 +249,23 @@ TABLES: dict[str, Query] = {
 
 
 def csv_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The flights as CSV files, by year."""
+    """The flights as CSV files."""
     folder = scratch_dir(spark)
-    _write_csv(flights(spark, sf_dir).repartitionByRange("Year"), folder)
+    _write_csv(by_raw_key(flights(spark, sf_dir)), folder)
     return folder
 
 
+# The raw columns of the business key.
+RAW_KEY = [
+    "FlightDate", "IATA_Code_Marketing_Airline", "Flight_Number_Marketing_Airline", "Origin", "Dest",
+]
+
+
+def by_raw_key(raw: DataFrame) -> DataFrame:
+    """Ranges of the raw business key: no year is one task, equal keys share a file."""
+    return raw.repartitionByRange(*RAW_KEY)
+
+
 def _write_csv(df: DataFrame, folder: str) -> None:
     (
         df.write.mode("append")
@@ -266,11 +277,14 @@ def _write_csv(df: DataFrame, folder: str) -> None:
 
 
 def bronze_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per listed input file."""
+    """Rows per year over all listed files, and whether every row names one."""
     folder = csv_folder(spark, sf_dir)
     files = inspect_all(spark, folder)
-    rows = with_source_file(read_csv(spark, files[0].schema, [f.path for f in files]))
-    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    rows = read_csv(spark, files[0], [f.path for f in files])
+    listed = F.col("source_file").isin([f.name for f in files])
+    return rows.groupBy(F.col("Year").cast("bigint").alias("Year")).agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_and(listed).alias("named")
+    )
 
 
 def bronze_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,11 +298,17 @@ def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and flights per source file, with one load time per file."""
+    """Rows per year, and whether each file has one load time and one version."""
+    table = materialize(bronze_table(spark, csv_folder(spark, sf_dir)))
+    tags = table.groupBy("source_file").agg(
+        F.count_distinct("ingestion_timestamp", "batch_id").alias("n"),
+        F.bool_and(F.col("ingestion_timestamp").isNotNull()).alias("timed"),
+    )
+    once = tags.agg(F.bool_and((F.col("n") == 1) & F.col("timed")))
     return (
-        bronze_table(spark, csv_folder(spark, sf_dir))
-        .groupBy("batch_id", "source_file", "ingestion_timestamp")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        table.groupBy("Year")
+        .agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("source_file").isNotNull()).alias("named"))
+        .withColumn("loaded_once", once.scalar())
     )
 
 
@@ -301,11 +321,10 @@ def bronze_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = csv_folder(spark, sf_dir)
-    schema = inspect_all(spark, folder)[0].schema
     table = AppendTable(spark, scratch_dir(spark))
     checkpoint = scratch_dir(spark)
-    ingest_stream(spark, folder, schema, table, checkpoint)
-    ingest_stream(spark, folder, schema, table, checkpoint)
+    ingest_stream(spark, folder, table, checkpoint, files_per_batch=4)
+    ingest_stream(spark, folder, table, checkpoint, files_per_batch=4)
     return table.read().select(*LAYOUT_A, *LINE_ORDER)
 
 
@@ -314,7 +333,7 @@ def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = CORE["top_airlines"](spark, sf_dir)
     path = scratch_dir(spark)
     write_report_csv(report, path, rows=10)
-    return read_csv(spark, report.schema, [path])
+    return spark.read.schema(report.schema).option("header", True).csv(path)
 
 
 FILES: dict[str, Query] = {
@@ -344,15 +363,14 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model sample with its split, stored."""
-    table = feature_table(spark, sf_dir)
-    rows = materialize(ranking.sample_exact(table, Settings().sample_rows, SEED))
-    return materialize(ranking.stratified_split(rows, models.LATE, SEED, TEST_FRACTION))
+    """The whole feature table with its split, stored."""
+    return materialize(split(spark, sf_dir))
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> models.Prepared:
     table = feature_table(spark, sf_dir)
-    return models.prepare(table, Settings().sample_rows, materialize)
+    settings = Settings()
+    return models.prepare(table, settings.sample_rows, materialize, settings.train_tasks)
 
 
 def with_gaps(parts: DataFrame) -> DataFrame:
@@ -416,17 +434,67 @@ def baseline_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.baseline_mode(train, test).select(*PREDICTION_COLUMNS, "prediction", "score")
 
 
-def _predictions(build: Callable[[models.Prepared], Estimator], *more: str) -> Query:
+def _residuals(build: Callable[[models.Prepared], Estimator], *by: str) -> Query:
+    """Training rows, labels and residuals, summed: zero where a least-squares
+    model has a constant of its own, unpenalised, for every group."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         data = prepared(spark, sf_dir)
-        predicted = build(data).fit(data.train).transform(data.test)
-        if "score" in more:
-            predicted = models.with_score(predicted)
-        return predicted.select(*PREDICTION_COLUMNS, "prediction", *more)
+        fitted = build(data).fit(data.train).transform(data.train)
+        left = F.sum(F.col("prediction") - F.col(models.DELAY)) / F.count(F.lit(1))
+        return fitted.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(models.DELAY).alias("label_total"),
+            F.abs(F.round(left, 3)).alias("mean_residual"),
+        )
 
     return query
 
 
+def forest_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test row, and whether its prediction lies among the training labels."""
+    data = prepared(spark, sf_dir)
+    model = models.forest_regression(**models.PIPELINE_FOREST).fit(data.train)
+    low, high = data.train.agg(F.min(models.DELAY), F.max(models.DELAY)).first()
+    inside = F.col("prediction").between(low, high).alias("in_range")
+    return model.transform(data.test).select(*PREDICTION_COLUMNS, inside)
+
+
+def forest_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test row, and whether its prediction is a class."""
+    data = prepared(spark, sf_dir)
+    model = models.forest_classification(**models.PIPELINE_FOREST).fit(data.fit)
+    known = F.col("prediction").isin(0.0, 1.0).alias("in_range")
+    return model.transform(data.test).select(*PREDICTION_COLUMNS, known)
+
+
+def logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, late flights and mean residual of the rows that were fitted; the
+    constant is unpenalised, so probabilities sum to the late flights."""
+    data = prepared(spark, sf_dir)
+    model = models.logistic_regression(data.fit_rows).fit(data.fit)
+    left = F.avg(F.col("score") - F.col(models.LATE))
+    return models.with_score(model.transform(data.fit)).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col(models.LATE).cast("bigint")).alias("late"),
+        F.abs(F.round(left, 3)).alias("mean_residual"),
+    )
+
+
+def classification_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test row, whether its score is a probability, and whether it
+    decides the prediction."""
+    data = prepared(spark, sf_dir)
+    model = models.logistic_regression(data.fit_rows).fit(data.fit)
+    scored = models.with_score(model.transform(data.test))
+    decided = (F.col("score") > 0.5) == (F.col("prediction") == 1)
+    return scored.select(
+        *PREDICTION_COLUMNS,
+        F.col("score").between(0, 1).alias("in_range"),
+        (decided | (F.col("score") == 0.5)).alias("decides"),
+    )
+
+
 def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed predictions for the metrics: the arrival is as late as the departure."""
     guess = F.coalesce(F.col("dep_delay"), F.lit(0.0))
@@ -453,33 +521,67 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slots of both forests; importances of one forest sum to one."""
     data = prepared(spark, sf_dir)
-    forest = models.forest_regression(**models.PIPELINE_FOREST).fit(data.train)
-    return models.feature_importance(forest, data.features)
+    forests = {
+        "regression": models.forest_regression(**models.PIPELINE_FOREST).fit(data.train),
+        "classification": models.forest_classification(**models.PIPELINE_FOREST).fit(data.fit),
+    }
+    ranked = [
+        models.feature_importance(model, data.features).withColumn("task", F.lit(task))
+        for task, model in forests.items()
+    ]
+    whole = F.round(F.sum("importance").over(Window.partitionBy("task")), 6)
+    return ranked[0].unionByName(ranked[1]).select(
+        "task", "feature", F.col("importance").between(0, 1).alias("in_range"), whole.alias("total")
+    )
 
 
 def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run records; metrics only of the baselines, which SQL can state."""
     data = prepared(spark, sf_dir)
     runs = models.regression_runs(data) + models.classification_runs(data)
-    return models.model_runs(runs, data, models.NUMERIC + models.CATEGORICAL, 0)
+    table = models.model_runs(runs, data, models.NUMERIC + models.CATEGORICAL, 0)
+    baseline = F.col("model_type").startswith("Dummy")
+    confusion = sum((F.col(f"confusion_{c}") for c in ("fp", "fn", "tp")), F.col("confusion_tn"))
+    return table.select(
+        "task", "model_type", "train_rows", "test_rows", "training_rows", "gold_table_version",
+        confusion.alias("confusion_total"),
+        *[F.when(baseline, F.round(m, 6)).alias(m) for m in ("mae", "accuracy", "f1", "roc_auc")],
+    )
+
+
+def _board(runs: list[models.Run], metric: str, descending: bool, *exact: str) -> DataFrame:
+    """A leaderboard's models, whether each stands in order, and how the
+    baseline does."""
+    board = models.leaderboard(runs, metric, descending)
+    place = F.row_number().over(Window.orderBy(F.desc(metric) if descending else F.asc(metric), "model"))
+    rows = [row.model for row in board.collect()]
+    order = F.array_position(F.array(*[F.lit(name) for name in rows]), F.col("model"))
+    baseline = F.col("model").startswith("Dummy")
+    return board.select(
+        "model",
+        (order == place).alias("in_order"),
+        *[F.when(baseline, F.round(m, 6)).alias(m) for m in exact],
+    )
 
 
 def regression_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = prepared(spark, sf_dir)
     runs = models.regression_runs(data, models.REPORT_FOREST, with_linear=False)
-    return models.leaderboard(runs, "rmse", descending=False)
+    return _board(runs, "rmse", False, "mae", "rmse")
 
 
 def classification_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = prepared(spark, sf_dir)
     runs = models.classification_runs(data, models.REPORT_FOREST)
-    return models.leaderboard(runs, "f1", descending=True)
+    return _board(runs, "f1", True, "accuracy", "f1", "roc_auc")
 
 
 def stages_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five stages over the flights as CSV files; the airline mart is returned."""
     root = scratch_dir(spark)
-    _write_csv(flights(spark, sf_dir).repartitionByRange("Year"), f"{root}/raw")
+    _write_csv(by_raw_key(flights(spark, sf_dir)), f"{root}/raw")
     house = Lakehouse(spark, Settings(data_root=root))
     # The flights have one layout, so the case setting may stay as it is.
     run_stages(house)
@@ -495,20 +597,12 @@ LEARN: dict[str, Query] = {
     "ml_matrix": ml_matrix,
     "baseline_mean": baseline_mean,
     "baseline_mode": baseline_mode,
-    "linear_regression": _predictions(lambda data: models.linear_regression()),
-    "ridge_regression": _predictions(lambda data: models.ridge_regression(data.train)),
-    "forest_regression": _predictions(
-        lambda data: models.forest_regression(**models.PIPELINE_FOREST)
-    ),
-    "logistic_regression": _predictions(
-        lambda data: models.logistic_regression(data.train_rows)
-    ),
-    "forest_classification": _predictions(
-        lambda data: models.forest_classification(**models.PIPELINE_FOREST)
-    ),
-    "classification_scores": _predictions(
-        lambda data: models.logistic_regression(data.train_rows), "score"
-    ),
+    "linear_regression": _residuals(lambda data: models.linear_regression(), "airline"),
+    "ridge_regression": _residuals(lambda data: models.ridge_regression(data.train)),
+    "forest_regression": forest_regression,
+    "logistic_regression": logistic_regression,
+    "forest_classification": forest_classification,
+    "classification_scores": classification_scores,
     "regression_metrics": regression_metrics,
     "classification_metrics": classification_metrics,
     "roc_auc": roc_auc,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -12,10 +13,10 @@ from pyspark.sql import functions as F
 from airlag.config import BUSINESS_KEY, CLUSTER_BY, PARTITIONS, Settings
 from airlag.operators import clean as C
 from airlag.operators import features, marts, models
-from airlag.session import materialize, scratch_dir
+from airlag.session import materialize, run_scratch, set_checkpoint_folder
 from airlag.sources.bronze import ingest_csv
 from airlag.sources.csv_files import write_report_csv
-from airlag.sources.tables import AppendTable, SnapshotTable, VersionedTable
+from airlag.sources.tables import AppendTable, SnapshotTable, VersionedTable, utc_now
 
 MARTS = {
     "airline_delay": marts.airline_delay,
@@ -50,8 +51,8 @@ class Lakehouse:
         return SnapshotTable(self.spark, self.settings.path("gold", "ml_features"))
 
     @property
-    def runs(self) -> SnapshotTable:
-        return SnapshotTable(self.spark, self.settings.path("ml", "model_runs"))
+    def runs(self) -> AppendTable:
+        return AppendTable(self.spark, self.settings.path("ml", "model_runs"))
 
     def summary_tables(self) -> dict[str, VersionedTable]:
         return {
@@ -135,7 +136,8 @@ def process_gold(house: Lakehouse) -> None:
 
 
 def run_ml(house: Lakehouse) -> bool:
-    """Train and record the seven models; False when there is nothing to train on."""
+    """Train the seven models and add their records to those of earlier runs;
+    False when there is nothing to train on."""
     if not house.features.exists():
         return False
     table = house.features.read()
@@ -144,10 +146,13 @@ def run_ml(house: Lakehouse) -> bool:
     used = models.used_columns(table)
     if not used:
         return False
-    scratch_dir(house.spark)  # sets a checkpoint folder when none is named
-    data = models.prepare(table, house.settings.sample_rows, materialize)
+    set_checkpoint_folder(house.spark)
+    settings = house.settings
+    data = models.prepare(table, settings.sample_rows, materialize, settings.train_tasks)
     runs = models.regression_runs(data) + models.classification_runs(data)
-    house.runs.write(models.model_runs(runs, data, used, house.features.version()))
+    records = models.model_runs(runs, data, used, house.features.version())
+    stamp = {"run_id": F.lit(uuid.uuid4().hex), "run_at": F.lit(utc_now()).cast("timestamp_ntz")}
+    house.runs.append(records.withColumns(stamp))
     for run in runs:
         ranked = run.model and models.feature_importance(run.model, data.features)
         if ranked is not None:
@@ -157,12 +162,14 @@ def run_ml(house: Lakehouse) -> bool:
 
 
 def run_stages(house: Lakehouse, coalesce_layouts: bool = False) -> None:
-    """All five stages in order; the first failure stops the rest."""
-    load_bronze(house)
-    process_silver(house, coalesce_layouts)
-    maintain_silver(house)
-    process_gold(house)
-    run_ml(house)
+    """All five stages in order; the first failure stops the rest. What they
+    store on the way is removed at the end."""
+    with run_scratch(house.spark):
+        load_bronze(house)
+        process_silver(house, coalesce_layouts)
+        maintain_silver(house)
+        process_gold(house)
+        run_ml(house)
 
 
 def run_all(house: Lakehouse, coalesce_layouts: bool = False) -> None:

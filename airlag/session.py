@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,20 +31,51 @@ def get_spark(app: str = "airlag", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A fresh path below the folder named by ``spark.checkpoint.dir``.
-
-    All executors must see that folder, so a machine-local one is made only
-    for a local master.
-    """
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; where that is not set, one
+    beside the tables in ``spark.sql.warehouse.dir``. All executors see both."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="airlag-"))
-        base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/airlag-{uuid.uuid4().hex}"
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+
+
+def set_checkpoint_folder(spark: SparkSession) -> None:
+    """Let ``checkpoint()`` write to that folder."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(application_folder(spark))
+
+
+def application_folder(spark: SparkSession) -> str:
+    """This application's part of the checkpoint folder, removed when it ends."""
+    path = f"{checkpoint_folder(spark)}/airlag-{spark.sparkContext.applicationId}"
+    files, target = _on_file_system(spark, path)
+    if not files.exists(target):
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+    return path
+
+
+_roots: list[str] = []
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A fresh path for stored data: below the folder of the run that is going
+    on (see ``run_scratch``), else below the application's."""
+    base = _roots[-1] if _roots else application_folder(spark)
+    return f"{base}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[str]:
+    """One folder for all scratch data of a run, removed when the run ends."""
+    root = scratch_dir(spark)
+    _roots.append(root)
+    try:
+        yield root
+    finally:
+        _roots.remove(root)
+        files, target = _on_file_system(spark, root)
+        files.delete(target, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

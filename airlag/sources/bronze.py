@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airlag.sources.csv_files import CsvFile, inspect_csv, list_csv, read_csv, with_source_file
+from airlag.sources.csv_files import CsvFile, inspect_files, list_csv, read_csv
 from airlag.sources.tables import AppendTable, utc_now
 
 BATCH_SCHEMA = T.StructType(
@@ -22,10 +21,8 @@ BATCH_SCHEMA = T.StructType(
 
 
 def inspect_all(spark: SparkSession, folder: str) -> list[CsvFile]:
-    """Every CSV file of the folder, by name; inference jobs run side by side."""
-    listed = list_csv(spark, folder)
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        return list(pool.map(lambda item: inspect_csv(spark, *item), listed))
+    """Every CSV file of the folder, by name."""
+    return inspect_files(spark, list_csv(spark, folder))
 
 
 def ingest_csv(spark: SparkSession, folder: str, table: AppendTable) -> list[int]:
@@ -35,14 +32,23 @@ def ingest_csv(spark: SparkSession, folder: str, table: AppendTable) -> list[int
     their rows are told apart by the file they came from. A second run appends
     the files again.
     """
+    return append_files(spark, inspect_all(spark, folder), table)
+
+
+def append_files(
+    spark: SparkSession, files: list[CsvFile], table: AppendTable, token: str | None = None
+) -> list[int]:
+    """Append inspected files; with a ``token``, at most once for each token."""
     added: list[int] = []
-    files = [f for f in inspect_all(spark, folder) if not f.empty]
-    for _, run in groupby(files, key=lambda f: f.schema.json()):
+    filled = [f for f in files if not f.empty]
+    for _, run in groupby(filled, key=lambda f: (f.schema.json(), f.multi_line)):
         batch = list(run)
         first = table.next_version()
         ids = [first + i for i in range(len(batch))]
         rows = tag_batches(spark, batch, ids)
-        added += table.append(rows, ids, operation="append" if first else "overwrite")
+        tokens = None if token is None else [f"{token}/{f.name}" for f in batch]
+        operation = "stream" if token else "append" if first else "overwrite"
+        added += table.append(rows, ids, operation, tokens)
     return added
 
 
@@ -51,7 +57,7 @@ def tag_batches(spark: SparkSession, batch: list[CsvFile], ids: list[int]) -> Da
     tags = spark.createDataFrame(
         [(f.name, i, utc_now()) for f, i in zip(batch, ids)], BATCH_SCHEMA
     )
-    rows = with_source_file(read_csv(spark, batch[0].schema, [f.path for f in batch]))
+    rows = read_csv(spark, batch[0], [f.path for f in batch])
     columns = [*batch[0].schema.names, "source_file", "ingestion_timestamp", "batch_id"]
     lost = F.raise_error(F.concat(F.lit("unexpected file "), F.col("source_file")))
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +13,29 @@ from pyspark.sql import types as T
 from airlag.functions.columns import decoded_path
 from airlag.session import list_folder, path_exists
 
-# Fixed value: types are inferred from this many rows of each file.
-INFER_ROWS = 100
+QUOTE = '"'
 
 
 @dataclass(frozen=True)
 class CsvFile:
-    """One input file with the schema inferred from its first rows."""
+    """One input file with the schema that all its cells fit."""
 
     path: str
     name: str
     schema: T.StructType
     empty: bool
+    multi_line: bool = False
+
+
+# What a cell must look like, and be read as, for a column to
+# have the type. Narrower types come first; a column that fits none is text.
+CELL_TYPES = [
+    (T.LongType(), r"^[+-]?[0-9]+$"),
+    (T.DoubleType(), r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|NaN|[+-]?Infinity)$"),
+    (T.DateType(), r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
+    (T.TimestampNTZType(), r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}[0-9:.]*$"),
+    (T.BooleanType(), r"^(?i:true|false)$"),
+]
 
 
 def list_csv(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
@@ -35,46 +48,110 @@ def list_csv(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
     return files
 
 
-def _stored_type(kind: T.DataType) -> T.DataType:
-    """Whole numbers are 64-bit and timestamps carry no zone."""
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
-        return T.LongType()
-    if isinstance(kind, T.DecimalType):
-        return T.DoubleType()
-    if isinstance(kind, T.TimestampType):
-        return T.TimestampNTZType()
-    return kind
+def _heads(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, bool]]:
+    """Path -> (first line, whether a quoted cell may hold a line break), for
+    all files in one job. A line with an odd number of quotes opens or closes
+    such a cell."""
+    lines = spark.read.text(paths).select(
+        "value",
+        decoded_path(F.col("_metadata.file_path")).alias("path"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+    )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))
+    found = lines.groupBy("path").agg(
+        F.min_by("value", "place").alias("head"), F.bool_or(quotes % 2 == 1).alias("broken")
+    )
+    return {row.path: (row.head, row.broken) for row in found.collect()}
 
 
-def inspect_csv(spark: SparkSession, path: str, name: str) -> CsvFile:
-    """Infer a schema from the header and the first rows only.
+def _names(cells: list[str | None]) -> list[str]:
+    """Column names of a header; unnamed and repeated ones get a number."""
+    have = [(c or "").lower() for c in cells]
+    return [
+        f"_c{i}" if not c else f"{c}{i}" if have.count(c.lower()) > 1 else c
+        for i, c in enumerate(cells)
+    ]
 
-    A later cell that does not fit then becomes null instead of turning its
-    whole column into text. The lines fetched here are bounded by INFER_ROWS.
-    """
-    lines = [row.value for row in spark.read.text(path).limit(INFER_ROWS + 1).collect()]
-    if not lines:
-        raise ValueError(f"{name} has no header")
-    sample = spark.sparkContext.parallelize(lines, 1)
-    inferred = spark.read.csv(sample, header=True, inferSchema=True).schema
-    schema = T.StructType(
-        [T.StructField(f.name, _stored_type(f.dataType), True) for f in inferred]
-    )
-    return CsvFile(path, name, schema, empty=len(lines) == 1)
 
-
-def read_csv(spark: SparkSession, schema: T.StructType, paths: list[str]) -> DataFrame:
-    """Rows of files that share ``schema``; unreadable cells are null."""
+def _cells(spark: SparkSession, names: list[str], multi_line: bool, paths: list[str]) -> DataFrame:
+    """All cells as text, by place."""
+    text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     return (
-        spark.read.schema(schema)
+        spark.read.schema(text)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("escape", QUOTE)
+        .option("multiLine", multi_line)
         .csv(paths)
     )
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    return df.select("*", decoded_path(F.col("_metadata.file_name")).alias("source_file"))
+def _path_key(path: str) -> str:
+    """A path without its scheme, as files are told apart."""
+    return "/" + re.sub(r"^[a-z0-9]+:/+", "", path).lstrip("/")
+
+
+def inspect_files(spark: SparkSession, listed: list[tuple[str, str]]) -> list[CsvFile]:
+    """Schemas from all cells: a column takes a type only if every cell of the
+    file fits it, so no cell is lost; else it stays text.
+
+    One job reads the heads of all files, one more per distinct header types
+    their cells. The driver gets a few flags per file and column.
+    """
+    heads = {_path_key(p): v for p, v in _heads(spark, [p for p, _ in listed]).items()}
+    for path, name in listed:
+        if _path_key(path) not in heads:
+            raise ValueError(f"{name} has no header")
+    groups: dict[tuple, list[str]] = {}
+    names_of: dict[str, list[str]] = {}
+    for path, _ in listed:
+        head, broken = heads[_path_key(path)]
+        if broken and head.count(QUOTE) % 2:
+            # The header itself holds a line break: its record is read whole.
+            first = spark.read.option("header", False).option("multiLine", True).option("escape", QUOTE)
+            names_of[path] = _names(list(first.csv(path).first()))
+        else:
+            names_of[path] = _names(next(csv.reader([head])))
+        groups.setdefault((tuple(names_of[path]), broken), []).append(path)
+    schemas: dict[str, T.StructType] = {}
+    for (names, broken), paths in groups.items():
+        places = [f"c{i}" for i in range(len(names))]
+        cells = _cells(spark, places, broken, paths)
+        fits = []
+        for i, place in enumerate(places):
+            cell = F.col(place)
+            tests = [
+                F.coalesce(
+                    F.bool_and(F.when(cell.isNotNull(), cell.rlike(look) & cell.try_cast(kind).isNotNull())),
+                    F.lit(False),
+                )
+                for kind, look in CELL_TYPES
+            ]
+            fits.append(F.array(*tests).alias(f"f{i}"))
+        found = cells.groupBy(decoded_path(F.col("_metadata.file_path")).alias("path")).agg(*fits)
+        for row in found.collect():
+            kinds = [
+                next((kind for (kind, _), fit in zip(CELL_TYPES, row[f"f{i}"]) if fit), T.StringType())
+                for i in range(len(names))
+            ]
+            schemas[_path_key(row.path)] = T.StructType(
+                [T.StructField(n, k, True) for n, k in zip(names, kinds)]
+            )
+    result = []
+    for path, name in listed:
+        schema = schemas.get(_path_key(path))
+        text = T.StructType([T.StructField(n, T.StringType(), True) for n in names_of[path]])
+        broken = heads[_path_key(path)][1]
+        result.append(CsvFile(path, name, schema or text, schema is None, broken))
+    return result
+
+
+def read_csv(spark: SparkSession, like: CsvFile, paths: list[str]) -> DataFrame:
+    """Rows of files that share the schema and the layout of ``like``, with
+    ``source_file``. Every cell fits its type."""
+    cells = _cells(spark, like.schema.names, like.multi_line, paths)
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in like.schema]
+    return cells.select(*typed, decoded_path(F.col("_metadata.file_name")).alias("source_file"))
 
 
 def write_report_csv(df: DataFrame, path: str, rows: int) -> None:

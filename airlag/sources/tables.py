@@ -32,6 +32,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("committed_at", T.TimestampNTZType()),
         T.StructField("schema", T.StringType()),
         T.StructField("folders", T.ArrayType(T.StringType())),
+        T.StructField("token", T.StringType()),
     ]
 )
 
@@ -115,23 +116,28 @@ class AppendTable(VersionedTable):
     """Append-only table whose schema grows with its batches."""
 
     def append(
-        self, df: DataFrame, batch_ids: Sequence[int] | None = None, operation: str = "append"
+        self,
+        df: DataFrame,
+        batch_ids: Sequence[int] | None = None,
+        operation: str = "append",
+        tokens: Sequence[str] | None = None,
     ) -> list[int]:
         """Write one batch, or several batches told apart by ``batch_id``.
 
-        Rewriting a batch that was never logged replaces its files; a logged
-        one is left alone, so a retried batch adds nothing twice.
+        Rewriting a batch that was never logged replaces its files. A batch
+        whose token is logged already is left out, so a retried one adds nothing
+        twice; without tokens every call adds its rows. A batch without rows is
+        logged with none.
         """
         if batch_ids is None:
             batch_ids = [self.next_version()]
             df = df.withColumn("batch_id", F.lit(batch_ids[0]))
+        named = dict(zip(batch_ids, tokens)) if tokens else {}
         log = self.log()
-        if log is not None:
-            done = {
-                r.version
-                for r in log.where(F.col("version").isin(list(batch_ids))).collect()
-            }
-            batch_ids = [b for b in batch_ids if b not in done]
+        if log is not None and named:
+            known = log.where(F.col("token").isin(list(named.values()))).select("token")
+            done = {r.token for r in known.collect()}
+            batch_ids = [b for b in batch_ids if named[b] not in done]
             if not batch_ids:
                 return []
             df = df.where(F.col("batch_id").isin(batch_ids))
@@ -142,12 +148,16 @@ class AppendTable(VersionedTable):
             .partitionBy("batch_id")
             .parquet(f"{self.path}/data")
         )
-        written = self._batches(stored, batch_ids).groupBy("batch_id").count()
-        counts = {row.batch_id: row["count"] for row in written.collect()}
+        data = f"{self.path}/data/batch_id="
+        filled = [b for b in batch_ids if path_exists(self.spark, f"{data}{b}")]
+        counts = {}
+        if filled:
+            written = self._batches(stored, filled).groupBy("batch_id").count()
+            counts = {row.batch_id: row["count"] for row in written.collect()}
         now = utc_now()
         self._record(
             [
-                (b, operation, counts.get(b, 0), now, stored.json(), [f"batch_id={b}"])
+                (b, operation, counts.get(b, 0), now, stored.json(), [f"batch_id={b}"], named.get(b))
                 for b in batch_ids
             ]
         )
@@ -178,6 +188,10 @@ class AppendTable(VersionedTable):
         groups: dict[str, list[int]] = {}
         for row in log.where("rows > 0").orderBy("version").select("version", "schema").collect():
             groups.setdefault(row.schema, []).append(row.version)
+        if not groups:
+            schemas = [T.StructType.fromJson(json.loads(r.schema)) for r in log.select("schema").collect()]
+            empty = merged_schema(schemas).add("batch_id", T.LongType())
+            return self.spark.createDataFrame([], empty)
         frames = [
             self._batches(T.StructType.fromJson(json.loads(text)), ids)
             for text, ids in groups.items()
@@ -273,7 +287,7 @@ class SnapshotTable(VersionedTable):
             new = [r.folder for r in listed.collect() if r.folder != f"commit={version}"]
         rows = self._read(schema, new).count()  # from file footers
         self._record(
-            [(version, operation, rows, utc_now(), schema.json(), sorted([*keep, *new]))]
+            [(version, operation, rows, utc_now(), schema.json(), sorted([*keep, *new]), None)]
         )
         return version
 

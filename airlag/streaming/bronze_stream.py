@@ -1,46 +1,46 @@
-"""Bronze as a stream: each arriving CSV file becomes one batch."""
+"""Bronze as a stream: arriving CSV files become versions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from airlag.sources.csv_files import with_source_file
-from airlag.sources.tables import AppendTable, utc_now
+from airlag.functions.columns import decoded_path
+from airlag.sources.bronze import append_files
+from airlag.sources.csv_files import inspect_files
+from airlag.sources.tables import AppendTable
 
 
 def ingest_stream(
     spark: SparkSession,
     folder: str,
-    schema: T.StructType,
     table: AppendTable,
     checkpoint: str,
     files_per_batch: int = 1,
 ) -> None:
     """Process all files not seen before by this checkpoint, then stop.
 
-    A stream takes its schema up front and files by age, not by name. The
-    version is the stream's own batch number, and a logged version is never
-    written again, so a batch replayed after a failure adds nothing twice.
+    The stream tells which files are new; each micro-batch types its files from
+    all their cells and appends them, as a load of the folder does. What names a
+    micro-batch is this checkpoint with the batch number, kept beside the
+    version: a batch replayed after a failure adds nothing twice, and rows that
+    came into the table another way stand in nobody's way. Files without rows
+    add nothing.
     """
-    files = with_source_file(
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
+    files = (
+        spark.readStream.format("text")
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
+        .load(folder)
+        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"))
     )
 
     def append(batch: DataFrame, number: int) -> None:
-        tagged = batch.withColumns(
-            {
-                "ingestion_timestamp": F.lit(utc_now()).cast("timestamp_ntz"),
-                "batch_id": F.lit(number).cast("bigint"),
-            }
-        )
-        table.append(tagged, [number], operation="stream")
+        # At most files_per_batch names.
+        names = batch.distinct().select(decoded_path(F.col("path")), decoded_path(F.col("name")))
+        found = sorted((tuple(row) for row in names.collect()), key=lambda pair: pair[1])
+        if found:
+            append_files(spark, inspect_files(spark, found), table, token=f"{checkpoint}#{number}")
 
     query = (
         files.writeStream.foreachBatch(append)

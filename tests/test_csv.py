@@ -5,11 +5,19 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from airlag.config import Settings
-from airlag.plans.stages import Lakehouse, run_all, write_time_travel_sample
-from airlag.sources.bronze import ingest_csv, inspect_all
-from airlag.sources.csv_files import inspect_csv, list_csv
+from airlag.plans.stages import (
+    Lakehouse,
+    load_bronze,
+    process_silver,
+    run_all,
+    write_time_travel_sample,
+)
+from airlag.session import materialize, path_exists, run_scratch
+from airlag.sources.bronze import append_files, ingest_csv, inspect_all
+from airlag.sources.csv_files import list_csv
 from airlag.sources.tables import AppendTable
 from airlag.streaming.bronze_stream import ingest_stream
 
@@ -43,14 +51,47 @@ def test_listing(spark, raw, tmp_path):
     assert [name for _, name in list_csv(spark, str(raw))] == ["a.csv", "b.csv"]
 
 
-def test_types_come_from_the_first_hundred_rows(spark, raw, table):
-    put(raw, "x.csv", "n,f,d,t", *[f"{i},1.5,2024-01-15,w" for i in range(150)], "bad,2,zz,w")
+def test_no_cell_is_lost(spark, raw, table):
+    """Types come from all rows; one cell that does not fit makes a column text."""
+    rows = [f"{i},{i},1.5,2024-01-15,w,true" for i in range(150)]
+    put(raw, "x.csv", "n,i,f,d,t,b", *rows, "5.5,7,2,zz,w,FALSE", ",x,,,,")
     ingest_csv(spark, str(raw), table)
     df = table.read()
-    assert df.dtypes[:4] == [("n", "bigint"), ("f", "double"), ("d", "date"), ("t", "string")]
-    assert df.count() == 151
-    bad = df.where("n is null").first()
-    assert (bad.f, bad.d, bad.t) == (2.0, None, "w")
+    assert df.dtypes[:6] == [
+        ("n", "double"), ("i", "string"), ("f", "double"), ("d", "string"), ("t", "string"), ("b", "boolean"),
+    ]
+    assert df.count() == 152
+    late = df.where("n = 5.5").first()
+    assert (late.i, late.f, late.d, late.b) == ("7", 2.0, "zz", False)
+    assert df.where("i = 'x'").first().n is None
+    assert df.where("i is null or d is null").count() == 1
+
+
+def test_a_late_fraction_reaches_silver(spark, raw, tmp_path):
+    put(raw, "a.csv", HEADER_A, *[flight(n, f"{n % 50}") for n in range(120)], flight(200, "5.5"), flight(201, "bad"))
+    house = Lakehouse(spark, Settings(data_root=str(tmp_path)))
+    load_bronze(house)
+    process_silver(house)
+    assert house.bronze.read().where("ArrDelay = 'bad'").count() == 1
+    silver = house.silver.read()
+    assert silver.count() == 121
+    assert silver.where("flight_number = 200").first().arr_delay == 5.5
+
+
+def test_line_breaks_in_quotes(spark, raw, table):
+    put(raw, "a.csv", "n,t", '1,"two', 'lines"', '2,"say ""so"""', "3,plain")
+    put(raw, "b.csv", "n,t", "4,x")
+    assert ingest_csv(spark, str(raw), table) == [0, 1]
+    found = {r.n: r.t for r in table.read().collect()}
+    assert found == {1: "two\nlines", 2: 'say "so"', 3: "plain", 4: "x"}
+
+
+def test_odd_headers(spark, raw):
+    put(raw, "a.csv", "a,,a,B", "1,2,3,4")
+    put(raw, "b.csv", '"x', 'y",z', "1,2")
+    found = inspect_all(spark, str(raw))
+    assert found[0].schema.names == ["a0", "_c1", "a2", "B"]
+    assert found[1].schema.names == ["x\ny", "z"] and not found[1].empty
 
 
 def test_empty_files(spark, raw, table):
@@ -86,19 +127,52 @@ def test_files_are_versions_and_columns_merge(spark, raw, table):
 def test_stream_equals_batch_and_resumes(spark, raw, table, tmp_path):
     for i in range(3):
         put(raw, f"{i}.csv", "n,day", f"{i},2024-01-0{i + 1}")
-    schema = inspect_all(spark, str(raw))[0].schema
     checkpoint = str(tmp_path / "checkpoint")
-    ingest_stream(spark, str(raw), schema, table, checkpoint)
+    ingest_stream(spark, str(raw), table, checkpoint)
     assert table.version() == 2
-    ingest_stream(spark, str(raw), schema, table, checkpoint)
+    ingest_stream(spark, str(raw), table, checkpoint)
     assert table.read().count() == 3
-    put(raw, "3.csv", "n,day", "3,2024-01-04")
-    ingest_stream(spark, str(raw), schema, table, checkpoint)
-    streamed = {(r.n, r.day, r.source_file) for r in table.read().collect()}
+    # A wider type and a new column, in later files only.
+    put(raw, "3.csv", "n,day,more", "3.5,2024-01-04,x")
+    ingest_stream(spark, str(raw), table, checkpoint)
+    streamed = {(r.n, r.day, r.more, r.source_file) for r in table.read().collect()}
     batch = AppendTable(spark, str(tmp_path / "batch"))
     ingest_csv(spark, str(raw), batch)
-    assert streamed == {(r.n, r.day, r.source_file) for r in batch.read().collect()}
-    assert (3, dt.date(2024, 1, 4), "3.csv") in streamed
+    assert streamed == {(r.n, r.day, r.more, r.source_file) for r in batch.read().collect()}
+    assert (3.5, dt.date(2024, 1, 4), "x", "3.csv") in streamed
+
+
+def test_a_stream_adds_to_a_loaded_table(spark, raw, table, tmp_path):
+    put(raw, "a.csv", "n", "1")
+    put(raw, "b.csv", "n", "2")
+    ingest_csv(spark, str(raw), table)
+    other = tmp_path / "other"
+    other.mkdir()
+    # A file with a header only lies between two others.
+    for i, rows in enumerate((["3"], [], ["4", "5"])):
+        put(other, f"{i}.csv", "n", *rows)
+    for checkpoint in ("one", "one", "two"):
+        ingest_stream(spark, str(other), table, str(tmp_path / checkpoint))
+    assert sorted(r.n for r in table.read().collect()) == [1, 2, 3, 3, 4, 4, 5, 5]
+
+
+def test_a_replayed_batch_adds_nothing(spark, raw, table):
+    put(raw, "a.csv", "n", "1")
+    put(raw, "b.csv", "n", "2.5")
+    files = inspect_all(spark, str(raw))
+    assert append_files(spark, files, table, token="s#0") == [0, 1]
+    assert append_files(spark, files, table, token="s#0") == []
+    assert append_files(spark, files, table, token="s#1") == [2, 3]
+    assert table.read().count() == 4
+
+
+def test_empty_batches(spark, table):
+    none = spark.createDataFrame([], "n bigint")
+    assert table.append(none) == [0]
+    assert table.read().columns == ["n", "batch_id"] and table.read().count() == 0
+    table.append(spark.range(2).select(F.col("id").alias("n")))
+    assert [r.rows for r in table.log().orderBy("version").collect()] == [0, 2]
+    assert table.read().count() == 2
 
 
 HEADER_A = (
@@ -111,6 +185,10 @@ HEADER_B = (
 )
 
 
+def flight(number: int, delay: str) -> str:
+    return f"2024-01-01,2024,1,1,0.0,0.0,wn,{number},isp,pbi,1735,1.0,2035,{delay},1052.0"
+
+
 def test_all_stages_on_both_layouts(spark, raw, tmp_path):
     a = [
         f"2024-01-{d:02d},2024,1,1,0.0,0.0, wn ,{n},isp,pbi,1735,{n}.0,2035,{(d * n) % 60}.0,1052.0"
@@ -127,12 +205,17 @@ def test_all_stages_on_both_layouts(spark, raw, tmp_path):
     assert house.mart("airline_delay").read().agg({"flight_count": "sum"}).first()[0] == 201
     runs = house.runs.read()
     assert runs.count() == 7
-    assert {r.training_rows for r in runs.collect()} == {150}
+    # The bound holds for what classifiers are fitted on, and for nothing else.
+    assert {(r.training_rows, r.test_rows) for r in runs.collect()} == {(201, 41)}
     # The second run merges the same rows and makes new versions.
     version = house.silver.version()
     run_all(house, coalesce_layouts=True)
     assert house.silver.read().count() == 201
     assert house.silver.version() > version
+    # Run records are kept; the second run adds its own.
+    runs = house.runs.read()
+    assert runs.count() == 14
+    assert runs.select("run_id", "run_at").distinct().count() == 2
     assert write_time_travel_sample(house)
     sample = spark.read.option("header", True).csv(
         f"{tmp_path}/logs/silver_time_travel_previous_version.csv"
@@ -142,5 +225,15 @@ def test_all_stages_on_both_layouts(spark, raw, tmp_path):
 
 def test_inference_reads_a_quoted_header(spark, raw):
     put(raw, "q.csv", '"a","b, c"', '1,"x"')
-    found = inspect_csv(spark, str(raw / "q.csv"), "q.csv")
+    (found,) = inspect_all(spark, str(raw))
     assert found.schema.names == ["a", "b, c"]
+    assert [f.dataType.simpleString() for f in found.schema] == ["bigint", "string"]
+
+
+def test_a_run_leaves_no_scratch_behind(spark):
+    with run_scratch(spark) as root:
+        stored = materialize(spark.range(3))
+        assert path_exists(spark, root) and stored.count() == 3
+        assert root in stored.inputFiles()[0]
+    assert not path_exists(spark, root)
+    assert not materialize(spark.range(3)).inputFiles()[0].startswith(root)

@@ -55,6 +55,50 @@ def test_split_with_one_class(spark):
     assert parts.where("is_test").count() == 3
 
 
+def test_split_keeps_rows_without_a_label(spark):
+    late = F.when(F.col("id") % 10 > 0, (F.col("id") % 3 == 0).cast("int"))
+    df = materialize(spark.range(100).withColumn("late", late))
+    parts = ranking.stratified_split(df, "late", 42)
+    assert parts.count() == 100 and parts.select("id").distinct().count() == 100
+    assert parts.where("is_test").count() == 20
+    assert parts.where("late is null and is_test").count() == 2
+
+
+@pytest.fixture(scope="module")
+def flights_table(spark):
+    i = F.col("id")
+    columns = {c: (F.pmod(F.xxhash64(i, F.lit(c)), F.lit(50))).cast("double") for c in models.NUMERIC}
+    columns |= {c: F.concat(F.lit(c), i % 4) for c in models.CATEGORICAL}
+    columns |= {models.DELAY: F.col("distance") - 20, models.LATE: (F.col("distance") > 35).cast("tinyint")}
+    df = spark.range(1000)
+    for name, column in columns.items():
+        df = df.withColumn(name, column)
+    return materialize(df)
+
+
+def test_only_classifier_fitting_is_bounded(flights_table):
+    data = models.prepare(flights_table, 100, materialize, tasks=4)
+    assert (data.train_rows, data.test_rows, data.fit_rows) == (800, 200, 100)
+    assert (data.train.count(), data.test.count(), data.fit.count()) == (800, 200, 100)
+    whole = models.prepare(flights_table, 5000, materialize, tasks=4)
+    assert whole.fit.count() == 800
+    columns = flights_table.columns
+    assert data.test.select(*columns).exceptAll(whole.test.select(*columns)).isEmpty()
+    mean = data.train.agg(F.avg(models.DELAY)).first()[0]
+    assert models.baseline_mean(data.train, data.test).first().prediction == mean
+
+
+def test_forests_do_not_depend_on_the_input_partitions(flights_table):
+    found = []
+    for parts in (2, 7):
+        moved = materialize(flights_table.repartition(parts, "distance"))
+        data = models.prepare(moved, 5000, materialize, tasks=4)
+        forest = models.forest_regression(numTrees=5, maxDepth=3).fit(data.train)
+        rows = forest.transform(data.test).select("id", "prediction").collect()
+        found.append(sorted(map(tuple, rows)))
+    assert found[0] == found[1]
+
+
 def test_large_counts_unfold(spark, monkeypatch):
     monkeypatch.setattr(ranking, "CHUNK", 10)
     df = spark.createDataFrame([("a", 3), ("b", 35), ("c", 0), ("d", 20)], "v string, n bigint")
@@ -135,7 +179,7 @@ def test_logistic_meets_its_optimum(planted):
 
 def test_models_beat_their_baselines(planted):
     df, _, _ = planted
-    data = models.Prepared(df, df, None, ["a", "b", "c"], 400, 400)
+    data = models.Prepared(df, df, df, None, ["a", "b", "c"], 400, 400, 400)
     board = models.leaderboard(models.regression_runs(data), "rmse", False).collect()
     assert board[-1].model == "DummyMeanRegressor"
     assert board[-1].r2 == pytest.approx(0, abs=1e-9)
