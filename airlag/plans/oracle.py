@@ -561,6 +561,20 @@ LEARN = {
     "stages_end_to_end": "WITH "
     + ", ".join([FLIGHTS, FLOWN, cleaned(), STAGED, AIRLINE])
     + " SELECT * FROM airline_mart",
+    "pipeline_end_to_end": "WITH "
+    + ", ".join([FLIGHTS, FLOWN, cleaned(), STAGED, AIRLINE, AIRPORT, ROUTE, TIME, FEATURES])
+    + "".join(
+        f" SELECT '{name}_delay' AS \"table\", year, month, count(*) AS rows, "
+        "CAST(sum(flight_count) AS BIGINT) AS flights, "
+        "round(sum(avg_arr_delay), 4) AS delays, round(sum(delay_rate), 4) AS rates "
+        f"FROM {name}_mart GROUP BY year, month UNION ALL"
+        for name in ("airline", "airport", "route", "time")
+    )
+    + " SELECT 'ml_features', year, month, count(*), CAST(sum(origin_day_flights + "
+    "dest_day_flights + airline_day_flights + route_day_flights + origin_hour_flights + "
+    "route_hour_flights) AS BIGINT), round(sum(arr_delay), 4), CAST(sum(is_delayed) AS DOUBLE) "
+    "FROM features GROUP BY year, month "
+    "UNION ALL SELECT 'model_runs', NULL, NULL, 7, count(*), NULL, NULL FROM features",
 }
 
 ORACLE: dict[str, str] = {**CORE, **TABLES, **FILES, **LEARN}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
@@ -22,7 +23,7 @@ from airlag.config import (
 from airlag.functions.columns import is_late
 from airlag.operators import clean as C
 from airlag.operators import features, impute, marts, metrics, models, ranking
-from airlag.plans.stages import Lakehouse, run_stages, time_travel_sample
+from airlag.plans.stages import MARTS, Lakehouse, run_stages, time_travel_sample
 from airlag.session import materialize, scratch_dir
 from airlag.sources import tables
 from airlag.sources.bronze import ingest_csv, inspect_all
@@ -578,14 +579,62 @@ def classification_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _board(runs, "f1", True, "accuracy", "f1", "roc_auc")
 
 
-def stages_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five stages over the flights as CSV files; the airline mart is returned."""
+@contextmanager
+def staged(spark: SparkSession, sf_dir: str) -> Iterator[Lakehouse]:
+    """All five stages over the flights as CSV files."""
     root = scratch_dir(spark)
     _write_csv(by_raw_key(flights(spark, sf_dir)), f"{root}/raw")
     house = Lakehouse(spark, Settings(data_root=root))
     # The flights have one layout, so the case setting may stay as it is.
     run_stages(house)
-    return house.mart("airline_delay").read()
+    yield house
+
+
+def stages_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airline mart after all stages."""
+    with staged(spark, sf_dir) as house:
+        return house.mart("airline_delay").read()
+
+
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four marts, the feature table and the run records after all stages:
+    rows, flights and sums of means per table, year and month."""
+    with staged(spark, sf_dir) as house:
+        facts = []
+        for name in MARTS:
+            mart = house.mart(name).read()
+            facts.append(
+                mart.groupBy(F.lit(name).alias("table"), "year", "month").agg(
+                    F.count(F.lit(1)).alias("rows"),
+                    F.sum("flight_count").cast("bigint").alias("flights"),
+                    F.round(F.sum("avg_arr_delay"), 4).alias("delays"),
+                    F.round(F.sum("delay_rate"), 4).alias("rates"),
+                )
+            )
+        table = house.features.read()
+        loads = sum((F.col(c) for c in features.LOAD_COUNTS), F.lit(0))
+        facts.append(
+            table.groupBy(F.lit("ml_features").alias("table"), "year", "month").agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.sum(loads).cast("bigint").alias("flights"),
+                F.round(F.sum(models.DELAY), 4).alias("delays"),
+                F.sum(F.col(models.LATE).cast("double")).alias("rates"),
+            )
+        )
+        runs = house.runs.read()
+        none = F.lit(None)
+        facts.append(
+            runs.groupBy(F.lit("model_runs").alias("table")).agg(
+                F.count(F.lit(1)).alias("rows"), F.max("training_rows").alias("flights")
+            ).select(
+                "table", none.cast("bigint").alias("year"), none.cast("bigint").alias("month"), "rows",
+                "flights", none.cast("double").alias("delays"), none.cast("double").alias("rates"),
+            )
+        )
+        result = facts[0]
+        for part in facts[1:]:
+            result = result.unionByName(part)
+        return result
 
 
 LEARN: dict[str, Query] = {
@@ -611,6 +660,7 @@ LEARN: dict[str, Query] = {
     "regression_leaderboard": regression_leaderboard,
     "classification_leaderboard": classification_leaderboard,
     "stages_end_to_end": stages_end_to_end,
+    "pipeline_end_to_end": pipeline_end_to_end,
 }
 
 QUERIES: dict[str, Query] = {**CORE, **TABLES, **FILES, **LEARN}

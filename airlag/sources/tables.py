@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -124,20 +125,21 @@ class AppendTable(VersionedTable):
     ) -> list[int]:
         """Write one batch, or several batches told apart by ``batch_id``.
 
-        Rewriting a batch that was never logged replaces its files. A batch
-        whose token is logged already is left out, so a retried one adds nothing
-        twice; without tokens every call adds its rows. A batch without rows is
-        logged with none.
+        Rewriting a batch that was never logged replaces its files; a logged
+        version is left alone. A batch whose token is logged already is left out
+        under any number, so a retried one adds nothing twice. A batch without
+        rows is logged with none.
         """
         if batch_ids is None:
             batch_ids = [self.next_version()]
             df = df.withColumn("batch_id", F.lit(batch_ids[0]))
         named = dict(zip(batch_ids, tokens)) if tokens else {}
         log = self.log()
-        if log is not None and named:
-            known = log.where(F.col("token").isin(list(named.values()))).select("token")
-            done = {r.token for r in known.collect()}
-            batch_ids = [b for b in batch_ids if named[b] not in done]
+        if log is not None:
+            ids, marks = F.col("version").isin(list(batch_ids)), F.col("token").isin(list(named.values()))
+            known = log.where(ids | F.coalesce(marks, F.lit(False))).select("version", "token").collect()
+            versions, done = {r.version for r in known}, {r.token for r in known}
+            batch_ids = [b for b in batch_ids if b not in versions and not (named and named[b] in done)]
             if not batch_ids:
                 return []
             df = df.where(F.col("batch_id").isin(batch_ids))
@@ -350,13 +352,30 @@ class SnapshotTable(VersionedTable):
         target_bytes: int = TARGET_BYTES,
         bits: int = 8,
     ) -> int:
-        """Rewrite all rows in the order of an interleaved key."""
-        total = self.files().agg(F.sum("length")).first()[0] or 0
+        """Rewrite partitions in the order of an interleaved key: those with a
+        folder that came after the last clustering. Returns the new version, or
+        the current one if nothing came."""
+        entry = self._entry(None)
+        clustered = self.log().where("operation = 'zorder'").orderBy(F.desc("version")).first()
+        settled = set(clustered.folders) if clustered else set()
+        changed = {_partition(f) for f in entry.folders if f not in settled}
+        if not changed:
+            return entry.version
+        touched = [f for f in entry.folders if _partition(f) in changed]
+        sizes = self.files().where(F.col("folder").isin(touched))
+        total = sizes.agg(F.sum("length")).first()[0] or 0
         files = max(1, -(-total // target_bytes))
+        schema = T.StructType.fromJson(json.loads(entry.schema))
         arranged = zorder_layout(
-            self.read(), cluster_by, partition_by, spread_by, files, bits
+            self._read(schema, touched), cluster_by, partition_by, spread_by, files, bits
         )
-        return self.write(arranged, partition_by, operation="zorder", arranged=True)
+        keep = [f for f in entry.folders if _partition(f) not in changed]
+        return self.write(arranged, partition_by, operation="zorder", keep=keep, arranged=True)
+
+
+def _partition(folder: str) -> str:
+    """The partition part of a folder name."""
+    return re.sub("^commit=[0-9]+", "", folder)
 
 
 def table_summary(spark: SparkSession, tables: dict[str, VersionedTable]) -> DataFrame:
