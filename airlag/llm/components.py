@@ -19,17 +19,18 @@ def components(edges: DataFrame) -> DataFrame:
     both = materialize(
         edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     )
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")))
+    own = F.least(F.min("b"), F.col("node")).alias("label")
+    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(own))
     while True:
-        seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        around = both.join(labels.withColumnRenamed("node", "b"), "b")
+        seen = around.groupBy("a").agg(F.min("label").alias("near"))
         lower = labels.join(seen.withColumnRenamed("a", "node"), "node").select(
             "node", "label", F.least("label", "near").alias("next")
         )
         lower = materialize(lower)
         jump = lower.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        moved = materialize(
-            lower.join(jump, "next").select("node", F.col("label").alias("old"), F.least("next", "far").alias("label"))
-        )
+        further = F.least("next", "far").alias("label")
+        moved = materialize(lower.join(jump, "next").select("node", F.col("label").alias("old"), further))
         labels = moved.select("node", "label")
         if moved.where("old <> label").isEmpty():
             return labels

@@ -115,7 +115,9 @@ def suffix_ranks(segments: DataFrame) -> tuple[DataFrame, int]:
     return table, top
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_runs(
+    docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """``doc_id, text_hash, first_line, last_line`` of every maximal run of
     lines (numbered from 0, both ends included) that is a later copy."""
     lines = materialize(line_table(docs, id_col, text_col))

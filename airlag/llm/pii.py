@@ -278,17 +278,21 @@ def train(stored: DataFrame):
     examples = rows.select(
         array_to_vector("x").alias("features"), "side.label", (F.col("side.weight") / total).alias("weight")
     ).where("weight > 0")
-    model = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=60, standardization=False).fit(examples)
+    learner = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=60, standardization=False)
+    model = learner.fit(examples)
     weights, constant = list(model.coefficients), model.intercept
 
     def probability(span: Column) -> Column:
         terms = _features(lambda name: span[name])
-        return _sigmoid(sum((t * float(w) for t, w in zip(terms, weights, strict=True)), F.lit(float(constant))))
+        parts = (t * float(w) for t, w in zip(terms, weights, strict=True))
+        return _sigmoid(sum(parts, F.lit(float(constant))))
 
     return probability
 
 
-def find_pii(docs: DataFrame, threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_pii(
+    docs: DataFrame, threshold: float = 0.9, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """``doc_id, base, added``: arrays of (begin, kind, end) by begin, then kind.
 
     ``base`` holds the valid matches of the exact patterns, ``added`` further
@@ -311,9 +315,12 @@ def find_pii(docs: DataFrame, threshold: float = 0.9, id_col: str = "doc_id", te
     if probability is None:
         added = F.filter("spans", lambda s: F.lit(False))
     else:
-        others = F.filter(
-            "spans", lambda s: ~s["base"] & ~F.exists("base", lambda b: overlap(s, b)) & (probability(s) >= threshold)
-        )
+
+        def likely(s: Column) -> Column:
+            apart = ~F.exists("base", lambda b: overlap(s, b))
+            return ~s["base"] & apart & (probability(s) >= threshold)
+
+        others = F.filter("spans", likely)
         split = split.withColumn(
             "added", F.transform(others, lambda s: F.struct(probability(s).alias("p"), s.alias("s")))
         )
@@ -336,10 +343,8 @@ def find_pii(docs: DataFrame, threshold: float = 0.9, id_col: str = "doc_id", te
 def joined(spans: Column) -> Column:
     """Spans as ``kind:start:end``, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["begin"].cast("string"), s["end"].cast("string")),
-        ),
-        ",",
-    )
+
+    def shown(s: Column) -> Column:
+        return F.concat_ws(":", F.get(names, s["kind"]), s["begin"].cast("string"), s["end"].cast("string"))
+
+    return F.array_join(F.transform(spans, shown), ",")

@@ -40,10 +40,40 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        "spans",
     )
 
 
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+OP2_SQL = f"""
+WITH doc AS (
+  SELECT doc_id, {_WORDS} AS words FROM documents
+), item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS words FROM benchmark
+), item_window AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i : i + 9], ' ') AS body
+  FROM item, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS t(i) WHERE len(words) > 0
+), doc_window AS (
+  SELECT doc_id, i, n, array_to_string(words[i : i + n - 1], ' ') AS body
+  FROM doc, (SELECT DISTINCT n FROM item_window), unnest(range(1, len(words) - n + 2)) AS t(i)
+), hit AS (
+  SELECT DISTINCT doc_id, i, n, item_id FROM doc_window JOIN item_window USING (n, body)
+), covered AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     pieces = cut_pieces(docs, public_tokenizers.path(WORD_BPE))
@@ -154,9 +184,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (
-    op1_token_files, op2_decontamination, op3_packing, op4_near_dedup, op5_token_counts, op6_pii, op7_line_dedup, op8_fingerprints, op9_quality,
-    op10_language,
-)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_files, op2_decontamination, op3_packing, op4_near_dedup, op5_token_counts,
+        op6_pii, op7_line_dedup, op8_fingerprints, op9_quality, op10_language,
+    )
+}
 
-ORACLE: dict[str, str] = {"op7_line_dedup": OP7_SQL}
+ORACLE: dict[str, str] = {"op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL}
