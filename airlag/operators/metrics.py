@@ -64,7 +64,8 @@ def roc_auc(
 
     Counted per distinct score, then cut into score ranges. Each range knows
     the pairs won inside it; the wins against lower ranges follow from the
-    ranges' totals; there are as many ranges as shuffle partitions. Equal scores are one row and so never part. No task sees
+    ranges' totals; there are as many ranges as shuffle partitions. Equal scores
+    are one row and so never part. No task sees
     more than one range, and the last window sees one row per range.
     """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
