@@ -24,11 +24,12 @@ from airlag.llm.components import components
 from airlag.llm.fingerprints import mix, shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
-#: Sketches per text, k-mers per sketch, and sketches that texts are grouped by.
-SKETCHES, SAMPLE, GROUPED = 32, 2, 16
+#: Sketches per text, k-mers per sketch, sketches that texts are grouped by, and
+#: pairs of these that texts in large groups are grouped by as well.
+SKETCHES, SAMPLE, GROUPED, DOUBLES = 64, 2, 16, 24
 #: Shared sketches below which a pair is not aligned: two texts of similarity
-#: 0.8 share each with a chance of 0.64, fewer than 8 of 32 with one of 3e-6.
-LEAST_SHARED = 8
+#: 0.8 share each with a chance of 0.64, fewer than 24 of 64 with one of 5e-6.
+LEAST_SHARED = 24
 #: Up to so many texts in a group, all its pairs are candidates.
 SMALL_GROUP = 16
 CHUNK_BYTES = 1 << 20
@@ -77,7 +78,8 @@ def order_sketches(kmers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def sketch_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, h1, h2, keys``: a 128-bit hash of each text and its sketches."""
+    """``doc_id, h1, h2, keys, marks``: a 128-bit hash of each text, the sketches
+    that texts are grouped by, and the low 16 bits of all sketches."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"), "text")
@@ -86,14 +88,21 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             texts = strings(batch.column(3))
             for part in balanced(texts, CHUNK_BYTES):
-                keys = order_sketches(*labelled_kmers(texts[part])).view(np.int64)
-                column = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), SKETCHES)
+                found = order_sketches(*labelled_kmers(texts[part]))
+                keys = np.ascontiguousarray(found[:, :GROUPED]).view(np.int64)
+                marks = found.astype(np.uint16).view(np.int16)
+                lists = [
+                    pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(kind))
+                    for x, kind in ((keys, pa.int64()), (marks, pa.int16()))
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i)[part] for i in range(3)), column.cast(pa.list_(pa.int64()))],
-                    names=["doc_id", "h1", "h2", "keys"],
+                    [*(batch.column(i)[part] for i in range(3)), *lists],
+                    names=["doc_id", "h1", "h2", "keys", "marks"],
                 )
 
-    return rows.mapInArrow(make, "doc_id long, h1 long, h2 long, keys array<long>")
+    return rows.mapInArrow(
+        make, "doc_id long, h1 long, h2 long, keys array<long>, marks array<smallint>"
+    )
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -143,9 +152,11 @@ def _pairs_of(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     small = members.join(sizes.where(F.col("n") <= SMALL_GROUP), "group")
     lists = small.groupBy("group").agg(F.sort_array(F.collect_list("node")).alias("at"))
-    pairs = F.flatten(
-        F.transform("at", lambda a, i: F.transform(F.slice("at", 1, i), lambda b: F.struct(b.alias("a"), a.alias("b"))))
-    )
+
+    def with_smaller(b: Column, i: Column) -> Column:
+        return F.transform(F.slice("at", 1, i), lambda a: F.struct(a.alias("a"), b.alias("b")))
+
+    pairs = F.flatten(F.transform("at", with_smaller))
     close = lists.select(F.explode(pairs).alias("p")).select("p.*")
     large = members.join(sizes.where(F.col("n") > SMALL_GROUP), "group")
     led = large.select(
@@ -164,15 +175,16 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
     keys = [F.struct(F.lit(i).alias("i"), F.col("keys")[i].alias("k")) for i in range(GROUPED)]
     first, crowded = _pairs_of(materialize(_groups(nodes, F.array(*keys))))
     first, crowded = materialize(first), materialize(crowded)
+    couples = [(i, (i + step) % GROUPED) for step in range(1, GROUPED) for i in range(GROUPED)][:DOUBLES]
     doubles = [
-        F.struct(F.lit(i * GROUPED + j).alias("i"), F.col("keys")[i].alias("k"), F.col("keys")[j].alias("l"))
-        for i in range(GROUPED) for j in range(i)
-    ]
+        F.struct(F.lit(n).alias("i"), F.col("keys")[i].alias("k"), F.col("keys")[j].alias("l"))
+        for n, (i, j) in enumerate(couples)
+    ]
     second, _ = _pairs_of(materialize(_groups(nodes.join(crowded, "node"), F.array(*doubles))))
     pairs = materialize(first.unionAll(second).distinct())
-    with_a = pairs.join(nodes.select(F.col("node").alias("a"), F.col("keys").alias("ka")), "a")
-    with_b = with_a.join(nodes.select(F.col("node").alias("b"), F.col("keys").alias("kb")), "b")
-    shared = F.size(F.filter(F.arrays_zip("ka", "kb"), lambda z: z["ka"] == z["kb"]))
+    with_a = pairs.join(nodes.select(F.col("node").alias("a"), F.col("marks").alias("ma")), "a")
+    with_b = with_a.join(nodes.select(F.col("node").alias("b"), F.col("marks").alias("mb")), "b")
+    shared = F.size(F.filter(F.zip_with("ma", "mb", lambda x, y: x == y), lambda same: same))
     return with_b.withColumn("shared", shared).where(F.col("shared") >= LEAST_SHARED).select("a", "b", "shared")
 
 
@@ -206,15 +218,18 @@ def text_classes(
     is the smallest document id in it. Equal texts are one text from the start,
     so any number of exact copies costs one candidate; null and empty texts are
     equal. A text of fewer than five words is one k-mer. Links are verified in
-    two rounds: every text against its best candidate, then only pairs whose ends are not yet connected, so a group of near copies is not
-    compared pair by pair. ``stays`` marks one text of each class: of those that
+    two rounds: every text against its best candidate, then only pairs whose
+    ends are not yet connected, so a group of near copies is not compared pair
+    by pair. ``stays`` marks one text of each class: of those that
     carry the smallest id, the one with the smallest hash.
     """
     table = materialize(sketch_table(docs, id_col, text_col))
-    by_text = table.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
+    by_text = table.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("keys", "marks")]
+    )
     nodes = materialize(by_text.withColumn("node", F.monotonically_increasing_id()))
     long_enough = nodes.where(F.col("keys")[0] != 0)
-    pairs = materialize(candidate_pairs(long_enough.select("node", "keys")))
+    pairs = materialize(candidate_pairs(long_enough.select("node", "keys", "marks")))
 
     needed = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = materialize(nodes.join(needed, "node").select("node", "h1", "h2"))
