@@ -237,8 +237,10 @@ def text_classes(
     hashed = docs.select(
         F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2"), text.alias("text")
     )
-    # Of equal texts one is enough, chosen before anything moves.
-    texts = materialize(hashed.join(wanted, ["h1", "h2"]).groupBy("node").agg(F.first("text").alias("text")))
+    # Sorted and merged at every size: a broadcast for small tables only would
+    # let small runs tell nothing about large ones. Of equal texts one is enough.
+    found = hashed.join(wanted.hint("merge"), ["h1", "h2"])
+    texts = materialize(found.groupBy("node").agg(F.first("text").alias("text")))
 
     best = F.max(F.struct("shared", (-F.col("a")).alias("a")))
     nearest = pairs.groupBy("b").agg(best.alias("best")).select((-F.col("best.a")).alias("a"), "b")
@@ -293,7 +295,7 @@ def keep_one(
         F.xxhash64(text, F.lit(1)).alias("h2"),
     )
     found = keyed.join(
-        staying.withColumnsRenamed({"h1": "k1", "h2": "k2"}),
+        staying.withColumnsRenamed({"h1": "k1", "h2": "k2"}).hint("merge"),
         (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("id").eqNullSafe(F.col("class_id")),
     )
     others = [F.col("row")[c] for c in docs.columns if c != text_col]
