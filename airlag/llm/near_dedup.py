@@ -30,8 +30,11 @@ SKETCHES, SAMPLE, GROUPED, DOUBLES = 64, 2, 16, 24
 #: Shared sketches below which a pair is not aligned: two texts of similarity
 #: 0.8 share each with a chance of 0.64, fewer than 24 of 64 with one of 5e-6.
 LEAST_SHARED = 24
-#: Up to so many texts in a group, all its pairs are candidates.
+#: Up to so many texts in a group, all its pairs are candidates at once.
 SMALL_GROUP = 16
+#: Leaders of a large group's first round, how many times as many lead after
+#: each later one, and texts that are held against each other at a time.
+LEADERS, MORE_LEADERS, BLOCK = 16, 16, 512
 CHUNK_BYTES = 1 << 20
 
 _SEEDS = np.array([pow(0xD1B54A32D192ED03, 2 * i + 3, 1 << 64) for i in range(SKETCHES)], np.uint64)
@@ -135,21 +138,21 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
 
 
 def _groups(nodes: DataFrame, parts: Column) -> DataFrame:
-    """(group, node) for every sketch, or pair of sketches, of every text."""
-    return nodes.select("node", F.explode(parts).alias("g")).select("node", F.xxhash64("g.*").alias("group"))
+    """(node, group, i) for every sketch, or pair of sketches, of every text."""
+    each = nodes.select("node", F.explode(parts).alias("g"))
+    return each.select("node", F.xxhash64("g.*").alias("group"), "g.i")
 
 
-def _pairs_of(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _pairs_of(members: DataFrame, by_fame: bool) -> tuple[DataFrame, DataFrame]:
     """(candidate pairs, members of groups too large for all pairs).
 
     A small group gives all its pairs. In a larger one each text is paired with
-    the group's leader, a text drawn by a hash of group and text, so that one
-    text meets other leaders in other groups.
+    the group's leader. By fame it is the text whose large groups hold most
+    texts, such as an original that its copies are only alike through; else it
+    is drawn by a hash of group and text, so that one text meets other leaders
+    in other groups.
     """
-    lot = F.struct(F.xxhash64("group", "node").alias("lot"), F.col("node"))
-    sizes = materialize(
-        members.groupBy("group").agg(F.count("*").alias("n"), F.min(lot).alias("leader")).where("n > 1")
-    )
+    sizes = materialize(members.groupBy("group").agg(F.count("*").alias("n")).where("n > 1"))
     small = members.join(sizes.where(F.col("n") <= SMALL_GROUP), "group")
     lists = small.groupBy("group").agg(F.sort_array(F.collect_list("node")).alias("at"))
 
@@ -158,34 +161,94 @@ def _pairs_of(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     pairs = F.flatten(F.transform("at", with_smaller))
     close = lists.select(F.explode(pairs).alias("p")).select("p.*")
-    large = members.join(sizes.where(F.col("n") > SMALL_GROUP), "group")
-    led = large.select(
+    large = materialize(members.join(sizes.where(F.col("n") > SMALL_GROUP), "group"))
+    drawn, lot = large, [F.xxhash64("group", "node").alias("lot"), F.col("node")]
+    if by_fame:
+        drawn = large.join(large.groupBy("node").agg(F.sum("n").alias("fame")), "node")
+        lot.insert(0, F.col("fame"))
+    leaders = drawn.groupBy("group").agg(F.max(F.struct(*lot)).alias("leader"))
+    led = large.join(leaders, "group").select(
         F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")
     ).where("a < b")
-    return close.unionAll(led).distinct(), large.select("node").distinct()
+    return close.unionAll(led).distinct(), large
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs (a < b) of distinct texts that share enough sketches, and how many.
+def candidate_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of distinct texts that share enough sketches, and how many;
+    members of large groups by single sketches).
 
     Texts meet in groups by single sketches. Texts in large groups also meet by
-    pairs of sketches, which part what is less alike, so that texts that fail
-    against one leader are held against many others.
+    some pairs of sketches, which part what is less alike and so connect most
+    texts early. What large groups leave is for ``led_pairs``.
     """
     keys = [F.struct(F.lit(i).alias("i"), F.col("keys")[i].alias("k")) for i in range(GROUPED)]
-    first, crowded = _pairs_of(materialize(_groups(nodes, F.array(*keys))))
-    first, crowded = materialize(first), materialize(crowded)
+    first, large = _pairs_of(materialize(_groups(nodes, F.array(*keys))), by_fame=True)
+    first, crowded = materialize(first), materialize(large.select("node").distinct())
     couples = [(i, (i + step) % GROUPED) for step in range(1, GROUPED) for i in range(GROUPED)][:DOUBLES]
     doubles = [
         F.struct(F.lit(n).alias("i"), F.col("keys")[i].alias("k"), F.col("keys")[j].alias("l"))
         for n, (i, j) in enumerate(couples)
     ]
-    second, _ = _pairs_of(materialize(_groups(nodes.join(crowded, "node"), F.array(*doubles))))
+    second, _ = _pairs_of(materialize(_groups(nodes.join(crowded, "node"), F.array(*doubles))), by_fame=False)
     pairs = materialize(first.unionAll(second).distinct())
     with_a = pairs.join(nodes.select(F.col("node").alias("a"), F.col("marks").alias("ma")), "a")
     with_b = with_a.join(nodes.select(F.col("node").alias("b"), F.col("marks").alias("mb")), "b")
     shared = F.size(F.filter(F.zip_with("ma", "mb", lambda x, y: x == y), lambda same: same))
-    return with_b.withColumn("shared", shared).where(F.col("shared") >= LEAST_SHARED).select("a", "b", "shared")
+    enough = with_b.withColumn("shared", shared).where(F.col("shared") >= LEAST_SHARED)
+    return enough.select("a", "b", "shared"), large
+
+
+def open_groups(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with labels, of the groups that are not one component."""
+    label = F.coalesce("label", "node").alias("label")
+    named = large.join(labels, "node", "left").select("group", "i", "n", "node", label)
+    ends = named.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return named.join(ends.where("low < high").select("group"), "group")
+
+
+def led_pairs(members: DataFrame, nodes: DataFrame, begin: int, end: int) -> DataFrame:
+    """Pairs like those of ``candidate_pairs``: of each group, the members at
+    places ``begin`` to ``end`` against all at later places.
+
+    Places are hashes below the group's size, ties go by node. Leaders and
+    others meet in blocks, and only pairs that are not connected and share
+    enough sketches come out, each of the first group that both are in.
+    """
+    place = F.pmod(F.xxhash64(F.lit("place"), "group", "node"), F.col("n"))
+    rows = members.withColumn("place", place).where(F.col("place") >= begin).join(nodes, "node")
+    block, last = F.floor(F.col("place") / BLOCK), F.floor((F.col("n") - 1) / BLOCK)
+    held = ["i", "node", "place", "label", "keys", "marks"]
+    leading = rows.where(F.col("place") < end).select(
+        "group", block.alias("x"), F.explode(F.sequence(block, last)).alias("y"), F.lit(True).alias("leads"), *held
+    )
+    top = F.least(block, F.lit((end - 1) // BLOCK).cast("long"))
+    others = rows.select(
+        "group", F.explode(F.sequence(F.lit(begin // BLOCK).cast("long"), top)).alias("x"), block.alias("y"),
+        F.lit(False).alias("leads"), *held,
+    )
+
+    def compare(unit: pa.Table) -> pa.Table:
+        leads, node, at, label = (
+            unit.column(c).to_numpy(zero_copy_only=False) for c in ("leads", "node", "place", "label")
+        )
+        keys, marks = (
+            np.asarray(unit.column(c).combine_chunks().flatten()).reshape(len(node), -1) for c in ("keys", "marks")
+        )
+        x, y = np.flatnonzero(leads), np.flatnonzero(~leads)
+        shared = np.zeros((len(x), len(y)), np.uint8)
+        for k in range(SKETCHES):
+            shared += marks[x, k][:, None] == marks[y, k]
+        before = (at[x][:, None] < at[y]) | ((at[x][:, None] == at[y]) & (node[x][:, None] < node[y]))
+        p, q = np.nonzero((shared >= LEAST_SHARED) & before & (label[x][:, None] != label[y]))
+        i = unit.column("i")[0].as_py()
+        fresh = ~(keys[x[p], :i] == keys[y[q], :i]).any(axis=1)
+        p, q = p[fresh], q[fresh]
+        a, b = node[x[p]], node[y[q]]
+        found = [np.minimum(a, b), np.maximum(a, b), shared[p, q].astype(np.int32)]
+        return pa.table([pa.array(f) for f in found], names=["a", "b", "shared"])
+
+    units = leading.unionAll(others).groupBy("group", "x", "y")
+    return units.applyInArrow(compare, "a long, b long, shared int")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -209,30 +272,8 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(align, "a long, b long")
 
 
-def text_classes(
-    docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
-) -> tuple[DataFrame, DataFrame]:
-    """(``doc_id, h1, h2`` per row, ``h1, h2, class_id, stays`` per text).
-
-    A class holds the texts that links of at least ``least`` connect, and its id
-    is the smallest document id in it. Equal texts are one text from the start,
-    so any number of exact copies costs one candidate; null and empty texts are
-    equal. A text of fewer than five words is one k-mer. Links are verified in
-    two rounds: every text against its best candidate, then only pairs whose
-    ends are not yet connected, so a group of near copies is not compared pair
-    by pair. ``stays`` marks one text of each class: of those that
-    carry the smallest id, the one with the smallest hash.
-    """
-    table = materialize(sketch_table(docs, id_col, text_col))
-    by_text = table.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("keys", "marks")]
-    )
-    nodes = materialize(by_text.withColumn("node", F.monotonically_increasing_id()))
-    long_enough = nodes.where(F.col("keys")[0] != 0)
-    pairs = materialize(candidate_pairs(long_enough.select("node", "keys", "marks")))
-
-    needed = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialize(nodes.join(needed, "node").select("node", "h1", "h2"))
+def _texts_of(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+    """``node, text`` for the nodes in ``wanted`` (node, h1, h2)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashed = docs.select(
         F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2"), text.alias("text")
@@ -240,11 +281,22 @@ def text_classes(
     # Sorted and merged at every size: a broadcast for small tables only would
     # let small runs tell nothing about large ones. Of equal texts one is enough.
     found = hashed.join(wanted.hint("merge"), ["h1", "h2"])
-    texts = materialize(found.groupBy("node").agg(F.first("text").alias("text")))
+    return materialize(found.groupBy("node").agg(F.first("text").alias("text")))
+
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _connect(
+    pairs: DataFrame, texts: DataFrame, links: DataFrame | None, least: float
+) -> tuple[DataFrame, DataFrame]:
+    """(links, labels) after every text was aligned with its best candidate, then
+    all pairs whose ends are not yet connected."""
     best = F.max(F.struct("shared", (-F.col("a")).alias("a")))
     nearest = pairs.groupBy("b").agg(best.alias("best")).select((-F.col("best.a")).alias("a"), "b")
-    links = materialize(verified(nearest, texts, least))
+    new = materialize(verified(nearest, texts, least))
+    links = new if links is None else links.unionAll(new)
     labels = components(links)
     rest = pairs.join(nearest, ["a", "b"], "left_anti")
     for side in ("a", "b"):
@@ -252,7 +304,51 @@ def text_classes(
         rest = rest.join(named, side, "left")
     apart = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
     more = materialize(verified(rest.where(apart).select("a", "b"), texts, least))
-    labels = components(links.unionAll(more))
+    if more.isEmpty():
+        return links, labels
+    links = links.unionAll(more)
+    return links, components(links)
+
+
+def text_classes(
+    docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, DataFrame]:
+    """(``doc_id, h1, h2`` per row, ``h1, h2, class_id, stays`` per text).
+
+    A class holds the texts that links of at least ``least`` connect, and its id
+    is the smallest document id in it. Equal texts are one text from the start,
+    so any number of exact copies costs one candidate; null and empty texts are
+    equal. A text of fewer than five words is one k-mer. Links are verified in
+    rounds: every text against its best candidate, then only pairs whose ends
+    are not yet connected, so a group of near copies is not compared pair by
+    pair. Large groups that are still not one component go on with more leaders
+    each round, held against all members not connected to them, until a group
+    is one component or each of its members has led. ``stays`` marks one text
+    of each class: of those that carry the smallest id, the one with the
+    smallest hash.
+    """
+    table = materialize(sketch_table(docs, id_col, text_col))
+    by_text = table.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("keys", "marks")]
+    )
+    nodes = materialize(by_text.withColumn("node", F.monotonically_increasing_id()))
+    long_enough = nodes.where(F.col("keys")[0] != 0)
+    keyed = long_enough.select("node", "keys", "marks")
+    pairs, large = candidate_pairs(keyed)
+    pairs = materialize(pairs)
+    texts = _texts_of(docs, materialize(nodes.join(_ends(pairs), "node").select("node", "h1", "h2")), text_col)
+    links, labels = _connect(pairs, texts, None, least)
+
+    begin, end = 0, LEADERS
+    while not (members := materialize(open_groups(large.where(F.col("n") > begin), labels))).isEmpty():
+        pairs = materialize(led_pairs(members, keyed, begin, end))
+        if not pairs.isEmpty():
+            new = _ends(pairs).join(texts.select("node"), "node", "left_anti")
+            wanted = materialize(nodes.join(new, "node").select("node", "h1", "h2"))
+            if not wanted.isEmpty():
+                texts = texts.unionAll(_texts_of(docs, wanted, text_col))
+            links, labels = _connect(pairs, texts, links, least)
+        begin, end = end, end * MORE_LEADERS
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # Null ids come last here, so a class is named by an id wherever it has one.

@@ -157,6 +157,48 @@ def test_a_large_group_stays_together(spark):
     assert found == {0: 300, 1000: 1}
 
 
+def replaced(text, seed, edits):
+    """``edits`` words replaced, far enough apart to cost five k-mers each."""
+    rng, w = random.Random(seed), text.split()
+    for at in rng.sample(range(len(w) // 10), edits):
+        w[at * 10 + rng.randrange(5)] = f"edit{rng.randrange(10**9)}"
+    return " ".join(w)
+
+
+def test_copies_that_are_alike_only_through_their_original(spark):
+    base = " ".join(prose(510, 400).split())
+    rows = [(0, base)] + [(i, replaced(base, i, 8)) for i in range(1, 1001)]
+    made = [near_dedup.labelled_kmers(pa.array([t], pa.large_string()))[0] for _, t in rows[:40]]
+    assert all(near_dedup.similarity(made[0], x) > 0.8 for x in made[1:])
+    apart = [near_dedup.similarity(x, y) for i, x in enumerate(made[1:], 2) for y in made[i:]]
+    assert np.mean(np.array(apart) == 0) > 0.97
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(r.class_id for r in near_dedup.near_duplicates(docs).collect()) == {0: 1001}
+
+
+def test_large_groups_go_on_until_all_members_have_led(spark, monkeypatch):
+    # Every pair of links of this chain of versions is in large groups only, and
+    # the first pass finds nothing; the rounds of leaders have to find all.
+    monkeypatch.setattr(near_dedup, "SMALL_GROUP", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    real = near_dedup.candidate_pairs
+
+    def no_pairs(nodes):
+        pairs, large = real(nodes)
+        return pairs.limit(0), large
+
+    monkeypatch.setattr(near_dedup, "candidate_pairs", no_pairs)
+    texts = [" ".join(prose(520, 150).split())]
+    for i in range(40):
+        w = texts[-1].split()
+        w[i * 3 + 1] = f"new{i}"
+        texts.append(" ".join(w))
+    rows = list(enumerate([*texts, *(prose(530 + i, 150) for i in range(3))]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == expected_classes(rows)
+
+
 def test_alignment_respects_order():
     a = np.arange(100, dtype=np.uint64)
     assert near_dedup.similarity(a, a) == 1
