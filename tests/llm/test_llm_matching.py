@@ -176,6 +176,13 @@ def test_copies_that_are_alike_only_through_their_original(spark):
     assert Counter(r.class_id for r in near_dedup.near_duplicates(docs).collect()) == {0: 1001}
 
 
+def test_large_groups_of_copies_a_little_below_each_other(spark):
+    base = " ".join(prose(511, 400).split())
+    rows = [(0, base)] + [(i, replaced(base, i, 6)) for i in range(1, 1001)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(r.class_id for r in near_dedup.near_duplicates(docs).collect()) == {0: 1001}
+
+
 def test_large_groups_go_on_until_all_members_have_led(spark, monkeypatch):
     # Every pair of links of this chain of versions is in large groups only, and
     # the first pass finds nothing; the rounds of leaders have to find all.
