@@ -10,6 +10,7 @@ original text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -176,12 +177,15 @@ def contamination(
         return _scan(rows, first, width)
     # Repeated rows need an identity before their blocks are united.
     numbered = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
-    parts = [first, second, *blocks]
+    # A block is drawn from Spark once the one before it was scanned and stored.
+    parts = chain([first, second], blocks)
+    del first, second
     by_row = numbered.select(F.col("row").alias("doc_id"), "text")
     scanned = None
     for block in parts:
         one = materialize(_scan(by_row, block, width))
         scanned = one if scanned is None else scanned.unionAll(one)
+        del block
     return _unite(numbered, scanned)
 
 

@@ -13,7 +13,7 @@ import pytest
 from conftest_llm import ODD, prose
 from pyspark.sql import functions as F
 
-from airlag.llm import near_dedup
+from airlag.llm import decontaminate, near_dedup
 from airlag.llm.components import components
 from airlag.llm.decontaminate import contamination, remove_contaminated
 from airlag.llm.fingerprints import densify, edit_likeness, fingerprints, likeness, sketch
@@ -75,6 +75,29 @@ def test_contamination(spark, odd, nothing, block_chars):
     assert remove_contaminated(odd, items.limit(0)).count() == len(ODD)
 
 
+def test_blocks_of_items_are_drawn_one_at_a_time(spark, odd, monkeypatch):
+    events = []
+
+    def watched(call, name):
+        def blocks(*args):
+            for n, block in enumerate(call(*args)):
+                events.append((name, n))
+                yield block
+
+        return blocks
+
+    scan = decontaminate._scan
+    monkeypatch.setattr(decontaminate, "item_blocks", watched(decontaminate.item_blocks, "drawn"))
+    monkeypatch.setattr(decontaminate, "_scan", lambda *a: events.append(("scan", None)) or scan(*a))
+    items = spark.createDataFrame(ITEMS, "item_id string, text string")
+    contamination(odd, items, block_chars=50)
+    drawn = [i for i, e in enumerate(events) if e[0] == "drawn"]
+    scans = [i for i, e in enumerate(events) if e[0] == "scan"]
+    assert len(drawn) == len(scans) > 2
+    # Two are drawn to tell one block from more; each further one follows a scan.
+    assert all(scans[n - 2] < drawn[n] for n in range(2, len(drawn)))
+
+
 def kmers(text):
     w, seen, out = (text or "").split(), Counter(), []
     for i in range(max(1, len(w) - 4) if w else 0):
