@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlag.llm.common import balanced, keep_rows, strings, text_bytes
+from airlag.llm.common import balanced, keep_rows, materialize, strings, text_bytes
 
 #: Bytes of text whose lines are scored at once.
 CHUNK_BYTES = 2 << 20
@@ -212,7 +212,10 @@ def fit(
     """Fits on a bounded sample: of each label at most about ``rows`` labelled
     documents, those with the smallest id hashes, whole; weights give the labels
     back their shares. The sample's ids (bounded by ``rows``) are broadcast,
-    line features are made by Spark, and only these reach the driver. None
+    line features are made by Spark, and only these reach the driver. Rows that
+    repeat id and text count as one with their number as its weight. Where ids
+    stand for many texts, so that a label has more than ``2 * rows``, about
+    ``rows`` of them are drawn by hash, so no id decides what is held. None
     where no document is labelled, and a constant where only one label occurs.
     """
     known = labels.where(F.col(label_col).isin(0, 1)).select(
@@ -227,7 +230,14 @@ def fit(
     )
     sample = known.where(place < cut)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    joined = texts.join(F.broadcast(sample), "doc_id").select("text", "label")
+    found = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "text", "label")
+    joined = materialize(found.agg(F.count("*").alias("n")))
+    drawn_by = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    keep = F.lit(True)
+    for r in joined.groupBy("label").agg(F.count("*").alias("texts")).collect():
+        if r.texts > 2 * rows:
+            keep = keep & ((F.col("label") != r.label) | (drawn_by < rows / r.texts))
+    joined = joined.where(keep).select("text", "label", "n")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,11 +251,11 @@ def fit(
                     lengths.append(lines.lengths[a : a + n])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1)[part], pa.array(flat, pa.list_(pa.float32())),
-                     pa.array(lengths, pa.list_(pa.int64()))],
-                    names=["label", "features", "lengths"],
+                     pa.array(lengths, pa.list_(pa.int64())), batch.column(2)[part]],
+                    names=["label", "features", "lengths", "n"],
                 )
 
-    found = joined.mapInArrow(features, "label int, features array<float>, lengths array<long>")
+    found = joined.mapInArrow(features, "label int, features array<float>, lengths array<long>, n long")
     rows_found = sorted(map(tuple, found.collect()), key=lambda r: (r[0], len(r[2]), r[1]))
     if not rows_found:
         return None
@@ -255,8 +265,9 @@ def fit(
         np.concatenate([np.array(r[2]) for r in rows_found]),
         np.array([len(r[2]) for r in rows_found]),
     )
-    drawn = np.bincount(label, minlength=2)
-    weight = np.array([sizes.get(k, 0) / max(drawn[k], 1) for k in (0, 1)])[label]
+    times = np.array([r[3] for r in rows_found])
+    drawn = np.bincount(label, times, minlength=2)
+    weight = np.array([sizes.get(k, 0) / max(drawn[k], 1) for k in (0, 1)])[label] * times
     return train(lines, label, weight)
 
 

@@ -57,6 +57,22 @@ def test_quality_on_held_out_documents(spark, sf_dir):
     assert sum(r.predicted == truth[r.doc_id] for r in held) > 0.95 * len(held)
 
 
+def test_quality_fit_holds_repeated_ids_once(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(quality, "train", lambda lines, label, weight: held.append((label, weight)))
+    # One id has half of the rows, with one text or with a text of its own each.
+    for text, most in ((F.lit("the same line"), 9), (F.concat(F.lit("line "), F.col("id")), 80)):
+        docs = spark.range(2_000).select(F.lit(0).alias("doc_id"), text.alias("text"))
+        docs = docs.unionAll(spark.range(1, 9).select("id", F.lit("another\nline")))
+        labels = spark.range(9).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+        quality.fit(docs, labels, rows=40)
+        label, weight = held[-1]
+        assert len(label) <= most
+        assert [round(weight[label == k].sum(), 6) for k in (0, 1)] == [5, 4]
+        if most == 9:
+            assert weight[label == 0].max() == pytest.approx(5 * 2_000 / 2_004)
+
+
 def test_quality_of_odd_texts(spark, odd, nothing):
     labels = spark.createDataFrame([(7, 1), (10, 0), (2, 0), (99, 1), (8, None)], "doc_id long, quality int")
     model = quality.fit(odd, labels)
