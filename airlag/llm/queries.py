@@ -17,6 +17,7 @@ from airlag.llm.fingerprints import edit_likeness
 from airlag.llm.line_dedup import dedup_lines
 from airlag.llm.near_dedup import near_duplicates
 from airlag.llm.packing import cut_pieces, place_pieces
+from airlag.llm.spelling import spelling_variants
 from airlag.llm.token_counts import token_counts
 from airlag.llm.token_files import read_token_files, scratch_token_folder, write_token_files
 
@@ -184,12 +185,67 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants(read(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+OP12_SQL = """
+WITH RECURSIVE run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents
+), crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))
+), hashed AS (
+  SELECT run, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, CAST(octet_length(b) AS BIGINT) + 1),
+             lambda i: CAST('0x' || substr(hex(b), 2 * i - 1, 2) AS BIGINT))),
+           lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8))) AS h, n
+  FROM (SELECT run, encode(id || ':' || run) AS b, count(*) AS n FROM run WHERE len(run) >= 5 GROUP BY ALL), crc_table
+), word AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0
+                THEN run[1 : CAST(h % len(run) AS BIGINT)] || run[CAST(h % len(run) AS BIGINT) + 2 :]
+                ELSE run END AS word, n FROM hashed)
+  WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), hole AS (
+  SELECT word, n, len(word) AS l, i, word[1 : i - 1] || word[i + 1 :] AS rest
+  FROM word, unnest(range(1, len(word) + 1)) AS t(i)
+), near AS (
+  SELECT a.word, b.word AS other FROM hole a JOIN hole b USING (rest, l, i) WHERE a.word <> b.word
+  UNION SELECT a.word, b.rest FROM hole a JOIN hole b ON a.word = b.word JOIN word w ON w.word = b.rest
+  UNION SELECT b.rest, b.word FROM hole b JOIN word w ON w.word = b.rest
+), best AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS best_n
+  FROM near JOIN word o ON o.word = near.other GROUP BY near.word
+), form AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n,
+         (SELECT min(o.word) FROM near JOIN word o ON o.word = near.other
+          WHERE near.word = w.word AND o.n = best_n AND best_n >= 2 * w.n) AS form
+  FROM word w LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS root FROM form
+  UNION SELECT walk.word, form.form FROM walk JOIN form ON form.word = walk.root WHERE form.form IS NOT NULL
+)
+SELECT f.word, f.form, walk.root, f.n, f.n_near, f.form_n
+FROM form f JOIN walk ON walk.word = f.word JOIN form r ON r.word = walk.root WHERE r.form IS NULL
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_decontamination, op3_packing, op4_near_dedup, op5_token_counts,
         op6_pii, op7_line_dedup, op8_fingerprints, op9_quality, op10_language,
+        op12_spelling,
     )
 }
 
-ORACLE: dict[str, str] = {"op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL}
+ORACLE: dict[str, str] = {
+    "op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL, "op12_spelling": OP12_SQL,
+}
