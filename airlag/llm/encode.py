@@ -1,14 +1,16 @@
 """Token ids of whole texts, with the ids of repeated words kept in a table.
 
-A text is cut where a space follows a character that is no white space. Both
-tokenizers used here split such a place into separate words before they merge
+A text is cut where a space follows a character that is no white space. The
+tokenizers named below split such a place into separate words before they merge
 anything, so the ids of the parts, joined, are the ids of the text. Parts recur
 far more often than texts do: each task looks most of them up and hands only
-new ones to the tokenizers library.
+new ones to the tokenizers library, in batches. A tokenizer whose splits are
+not known here gets whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import cache
@@ -23,12 +25,30 @@ from airlag.llm.common import balanced, strings
 #: Bytes of text that are split at once, and that go to the library at once.
 SPLIT_BYTES = 6 << 20
 CALL_BYTES = 1 << 18
-#: Parts whose ids a Python worker keeps, and the longest part that is encoded
-#: together with others.
+#: Parts whose ids a Python worker keeps.
 KEEP_PARTS = 1_500_000
-KEEP_BYTES = 64
 
-_NONE = np.empty(0, np.uint32)
+# How the two kinds of tokenizers that may be cut split a text,
+# as their files state it.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORD_NORMALIZERS = [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+]
+_WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def cuts_are_safe(spec: dict) -> bool:
+    """Whether a tokenizer file splits texts in one of the two known ways."""
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or re.search(r"\s", t["content"])
+           for t in spec.get("added_tokens") or []):
+        return False
+    split, normalizer = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    if split == _BYTE_LEVEL:
+        return normalizer is None
+    steps = split.get("pretokenizers") or [{}]
+    same = steps[0].get("type") == "Split" and steps[0].get("pattern") == {"Regex": _WORD_SPLIT}
+    return same and (normalizer or {}).get("normalizers") == _WORD_NORMALIZERS
+
 
 # Python's white space includes that of both tokenizers; a cut needs a plain
 # space, tab or line break on its right and no white space on its left.
@@ -48,16 +68,23 @@ def split_safely(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes columns of texts by one tokenizer file, one per Python worker."""
+    """Encodes columns of texts by one tokenizer file, one per Python worker.
+
+    ``plain`` reads the strings of special tokens in a text as ordinary text.
+    """
+
+    #: Where a part that is new is split once more.
+    piece = _PIECE
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False, keep: int | None = None):
         # One task is one core; the library would start a thread for each.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        added = self.library.get_added_tokens_decoder()
-        self.mark = next((i, t.content) for i, t in sorted(added.items()) if not t.normalized)
+        self.library.encode_special_tokens = plain
+        self.whole = not cuts_are_safe(json.loads(self.library.to_str()))
+        self.keep = keep
         self._forget()
 
     def _forget(self) -> None:
@@ -69,37 +96,22 @@ class Encoder:
         self.used = 0
 
     def _library(self, parts: list[str], lead: str) -> list[np.ndarray]:
-        """Ids of each part, with ``lead`` before it.
-
-        Short parts go to the library many at once, with its own added token
-        between them: what such a token separates is encoded separately.
-        """
-        mark, text = self.mark
-        found: list[np.ndarray] = [_NONE] * len(parts)
-        joined, alone, size = [[]], [], 0
+        """Ids of each part, with ``lead`` before it: batches balanced by size."""
+        found: list[np.ndarray] = []
+        begin, size = 0, 0
         for i, part in enumerate(parts):
-            if len(part) > KEEP_BYTES or text in part:
-                alone.append(i)
-                continue
-            joined[-1].append(i)
             size += len(part)
-            if size >= CALL_BYTES:
-                joined.append([])
-                size = 0
-        for group in filter(None, joined):
-            ids = self._call(text.join(lead + parts[i] for i in group))
-            cuts = np.flatnonzero(ids == mark)
-            begins = np.concatenate([[0], cuts + 1])
-            ends = np.concatenate([cuts, [len(ids)]])
-            for i, begin, end in zip(group, begins.tolist(), ends.tolist(), strict=True):
-                found[i] = ids[begin:end]
-        for i in alone:
-            found[i] = self._call(lead + parts[i])
+            if size >= CALL_BYTES or i + 1 == len(parts):
+                found += self._call([lead + p for p in parts[begin : i + 1]])
+                begin, size = i + 1, 0
         return found
 
-    def _call(self, text: str) -> np.ndarray:
-        (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, np.uint32)
+    def _call(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in encoded]
+
+    def split(self, text: str) -> list[str]:
+        return split_safely(text)
 
     def _append(self, ids: np.ndarray, rows: int) -> None:
         while rows + 1 >= len(self.bounds):
@@ -135,7 +147,7 @@ class Encoder:
         new = np.flatnonzero(rows < 0)
         if len(new):
             added = list(dict.fromkeys(parts[i] for i in new.tolist()))
-            pieces = [_PIECE.split(p) for p in added]
+            pieces = [self.piece.split(p) for p in added]
             self._learn(table, [p[0] for p in pieces], lead)
             self._learn(self.first, [q for p in pieces for q in p[1:]], "")
             longer = [(p, q) for p, q in zip(added, pieces, strict=True) if len(q) > 1 and p not in table]
@@ -168,37 +180,50 @@ class Encoder:
             if len(changed):
                 each = np.split(rows, ends[:-1])
                 for i in changed.tolist():
-                    each[i] = self._rows(split_safely(texts[i].as_py()))
+                    each[i] = self._rows(self.split(texts[i].as_py()))
                 counts = np.fromiter(map(len, each), np.int64, len(each))
                 rows = np.concatenate(each)
         return rows, counts
 
     def _trim(self) -> None:
-        if self.rows > KEEP_PARTS or self.used > 8 * KEEP_PARTS:
+        keep = self.keep or KEEP_PARTS
+        if self.rows > keep or self.used > 8 * keep:
             self._forget()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids per text)."""
         found, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        for rows, counts in self._each(texts):
-            ids, size = self._gather(rows)
+        for ids, size in self._wholes(texts) if self.whole else map(self._joined, self._each(texts)):
             found.append(ids)
-            sizes.append(_sums(size, counts))
+            sizes.append(size)
         return np.concatenate(found), np.concatenate(sizes)
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """Number of ids per text."""
+        if self.whole:
+            return self.encode(texts)[1]
         sizes = [np.empty(0, np.int64)]
         for rows, counts in self._each(texts):
             sizes.append(_sums(self.bounds[rows + 1] - self.bounds[rows], counts))
         return np.concatenate(sizes)
 
+    def _joined(self, found: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        rows, counts = found
+        ids, size = self._gather(rows)
+        return ids, _sums(size, counts)
+
     def _each(self, texts: pa.Array):
         texts = strings(texts)
         for part in balanced(texts, SPLIT_BYTES):
             yield self._parts(texts[part])
             self._trim()
 
+    def _wholes(self, texts: pa.Array):
+        texts = strings(texts)
+        for part in balanced(texts, CALL_BYTES):
+            ids = self._call(texts[part].to_pylist())
+            yield np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from airlag.llm import langid, pii, quality
 from airlag.llm.common import crc_remainder, materialize, read
+from airlag.llm.cross_tokenizer import cross_alignment
 from airlag.llm.decontaminate import contamination
 from airlag.llm.fingerprints import edit_likeness
 from airlag.llm.line_dedup import dedup_lines
@@ -23,6 +24,7 @@ from airlag.llm.token_files import read_token_files, scratch_token_folder, write
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,12 +239,17 @@ FROM form f JOIN walk ON walk.word = f.word JOIN form r ON r.word = walk.root WH
 """
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return cross_alignment(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_decontamination, op3_packing, op4_near_dedup, op5_token_counts,
         op6_pii, op7_line_dedup, op8_fingerprints, op9_quality, op10_language,
-        op12_spelling,
+        op12_spelling, op13_cross_tokenizer,
     )
 }
 
