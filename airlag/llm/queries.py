@@ -18,6 +18,7 @@ from airlag.llm.fingerprints import edit_likeness
 from airlag.llm.line_dedup import dedup_lines
 from airlag.llm.near_dedup import near_duplicates
 from airlag.llm.packing import cut_pieces, place_pieces
+from airlag.llm.run_index import dedup_substrings
 from airlag.llm.spelling import spelling_variants
 from airlag.llm.token_counts import token_counts
 from airlag.llm.token_files import read_token_files, scratch_token_folder, write_token_files
@@ -187,6 +188,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_substrings(read(spark, sf_dir, "documents"))
+    sizes = F.transform("spans", lambda s: s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spelling_variants(read(spark, sf_dir, "documents"))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
@@ -249,7 +262,7 @@ QUERIES = {
     for f in (
         op1_token_files, op2_decontamination, op3_packing, op4_near_dedup, op5_token_counts,
         op6_pii, op7_line_dedup, op8_fingerprints, op9_quality, op10_language,
-        op12_spelling, op13_cross_tokenizer,
+        op11_substring_dedup, op12_spelling, op13_cross_tokenizer,
     )
 }
 
