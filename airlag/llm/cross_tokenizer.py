@@ -44,7 +44,8 @@ class PieceEncoder(Encoder):
     Texts come with the space that the model puts before them. No piece holds a
     space after another character, so a text may be cut before spaces, and none
     holds a line break, so before these as well; for a model that has such
-    pieces, or changes texts before it splits them, whole texts are encoded.
+    pieces, or changes texts before it splits them, whole texts are encoded. (A
+    text with the mark U+2581 of its own is spelled by no ids, however it is cut.)
     """
 
     piece = re.compile(r"(?=\n)")
