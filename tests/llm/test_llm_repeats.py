@@ -249,11 +249,12 @@ def test_twin_of_variants(spark, sf_dir):
 
 
 def groups_and_links(a: list[int], b: list[int]):
-    both = sorted(set(a) & set(b))
-    sizes = [
-        tuple(sum(low < e <= high for e in side) for side in (a, b))
-        for low, high in zip([0, *both], both, strict=False)
-    ]
+    both, sizes, size = set(a) & set(b), [], Counter()
+    for end, side in sorted([(e, "a") for e in a] + [(e, "b") for e in b]):
+        size[side] += 1
+        if end in both and side == "b":
+            sizes.append((size["a"], size["b"]))
+            size.clear()
     links, i, j = set(), 0, 0
     while i < len(a):
         links.add((i, j))
