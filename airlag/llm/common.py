@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from airlag.session import materialize, scratch_dir
 
 __all__ = [
-    "balanced", "crc_remainder", "keep_rows", "let_workers_import", "materialize", "partitions",
+    "balanced", "crc_remainder", "join_grown", "keep_rows", "let_workers_import", "materialize", "partitions",
     "read", "scratch_dir", "strings", "text_bytes",
 ]
 
@@ -37,6 +37,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def join_grown(
+    left: DataFrame, right: DataFrame, on: Column | list[str], how: str = "inner"
+) -> DataFrame:
+    """A join of two sides that both grow with the corpus. Neither has a size
+    bound, so neither may be broadcast, however small it is in one run."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def crc_remainder(doc_id: Column | str = "doc_id") -> Column:
     """``crc32`` of an id as text, modulo 4: remainder 2 marks held-out rows.
     A null id counts as the empty text."""

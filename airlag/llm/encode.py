@@ -26,7 +26,7 @@ from airlag.llm.common import balanced, strings
 SPLIT_BYTES = 6 << 20
 CALL_BYTES = 1 << 18
 #: Parts whose ids a Python worker keeps.
-KEEP_PARTS = 1_500_000
+KEEP_PARTS = 1_000_000
 
 # How the two kinds of tokenizers that may be cut split a text,
 # as their files state it.
@@ -113,6 +113,10 @@ class Encoder:
     def split(self, text: str) -> list[str]:
         return split_safely(text)
 
+    def most(self) -> int:
+        """The largest id."""
+        return max(self.library.get_vocab(with_added_tokens=True).values())
+
     def _append(self, ids: np.ndarray, rows: int) -> None:
         while rows + 1 >= len(self.bounds):
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])

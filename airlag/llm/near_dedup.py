@@ -19,22 +19,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlag.llm.common import balanced, materialize, strings
+from airlag.llm.common import balanced, join_grown, materialize, strings
 from airlag.llm.components import components
 from airlag.llm.fingerprints import mix, shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
-#: Sketches per text, k-mers per sketch, sketches that texts are grouped by, and
-#: pairs of these that texts in large groups are grouped by as well.
-SKETCHES, SAMPLE, GROUPED, DOUBLES = 64, 2, 16, 24
-#: Shared sketches below which a pair is not aligned: two texts of similarity
-#: 0.8 share each with a chance of 0.64, fewer than 24 of 64 with one of 5e-6.
-LEAST_SHARED = 24
-#: Up to so many texts in a group, all its pairs are candidates at once.
+#: Sketches per text, k-mers per sketch, and sketches that texts are grouped by:
+#: two texts of similarity 0.8 share each with a chance of 0.64, and none of 16
+#: with one of 8e-8.
+SKETCHES, SAMPLE, GROUPED = 64, 2, 16
+#: Shared sketches below which a pair of a small group is not aligned: at
+#: similarity 0.8 fewer than 18 of 64 have a chance of 3e-9.
+LEAST_SHARED = 18
+#: Up to so many texts in a group, its pairs are candidates one by one.
 SMALL_GROUP = 16
-#: Leaders of a large group's first round, how many times as many lead after
-#: each later one, and texts that are held against each other at a time.
-LEADERS, MORE_LEADERS, BLOCK = 16, 16, 512
+#: Texts of a larger group that are held against each other in one task, and
+#: their k-mers; k-mers of fewer texts than this are counted pair by pair.
+TILE, TILE_KMERS, RARE, COLUMNS = 1024, 1 << 20, 40, 4096
 CHUNK_BYTES = 1 << 20
 
 _SEEDS = np.array([pow(0xD1B54A32D192ED03, 2 * i + 3, 1 << 64) for i in range(SKETCHES)], np.uint64)
@@ -81,8 +82,9 @@ def order_sketches(kmers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def sketch_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, h1, h2, keys, marks``: a 128-bit hash of each text, the sketches
-    that texts are grouped by, and the low 16 bits of all sketches."""
+    """``doc_id, h1, h2, kmers, keys, marks``: a 128-bit hash of each text, how
+    many k-mers it has, the sketches that texts are grouped by, and the low 16
+    bits of all sketches."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2"), "text")
@@ -91,7 +93,8 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             texts = strings(batch.column(3))
             for part in balanced(texts, CHUNK_BYTES):
-                found = order_sketches(*labelled_kmers(texts[part]))
+                kmers, sizes = labelled_kmers(texts[part])
+                found = order_sketches(kmers, sizes)
                 keys = np.ascontiguousarray(found[:, :GROUPED]).view(np.int64)
                 marks = found.astype(np.uint16).view(np.int16)
                 lists = [
@@ -99,12 +102,12 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     for x, kind in ((keys, pa.int64()), (marks, pa.int16()))
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i)[part] for i in range(3)), *lists],
-                    names=["doc_id", "h1", "h2", "keys", "marks"],
+                    [*(batch.column(i)[part] for i in range(3)), pa.array(sizes, pa.int64()), *lists],
+                    names=["doc_id", "h1", "h2", "kmers", "keys", "marks"],
                 )
 
     return rows.mapInArrow(
-        make, "doc_id long, h1 long, h2 long, keys array<long>, marks array<smallint>"
+        make, "doc_id long, h1 long, h2 long, kmers long, keys array<long>, marks array<smallint>"
     )
 
 
@@ -137,124 +140,154 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return value if value >= least - 1e-12 else 0.0
 
 
-def _groups(nodes: DataFrame, parts: Column) -> DataFrame:
-    """(node, group, i) for every sketch, or pair of sketches, of every text."""
-    each = nodes.select("node", F.explode(parts).alias("g"))
-    return each.select("node", F.xxhash64("g.*").alias("group"), "g.i")
-
+def group_members(nodes: DataFrame) -> DataFrame:
+    """``group, node, n, tiles``: the texts of each group of two or more that
+    share a sketch. ``tiles`` is 0 for small groups, else the number of parts
+    that a group is compared in."""
+    keys = [F.struct(F.lit(i).alias("i"), F.col("keys")[i].alias("k")) for i in range(GROUPED)]
+    each = nodes.select("node", "kmers", F.explode(F.array(*keys)).alias("g"))
+    members = each.select("node", "kmers", F.xxhash64("g.*").alias("group"))
+    sizes = members.groupBy("group").agg(F.count("*").alias("n"), F.sum("kmers").alias("kmers")).where("n > 1")
+    tiles = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("kmers") / TILE_KMERS))
+    sizes = sizes.select("group", "n", F.when(F.col("n") > SMALL_GROUP, tiles).otherwise(0).alias("tiles"))
+    return join_grown(members.drop("kmers"), sizes, ["group"])
 
-def _pairs_of(members: DataFrame, by_fame: bool) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs, members of groups too large for all pairs).
 
-    A small group gives all its pairs. In a larger one each text is paired with
-    the group's leader. By fame it is the text whose large groups hold most
-    texts, such as an original that its copies are only alike through; else it
-    is drawn by a hash of group and text, so that one text meets other leaders
-    in other groups.
-    """
-    sizes = materialize(members.groupBy("group").agg(F.count("*").alias("n")).where("n > 1"))
-    small = members.join(sizes.where(F.col("n") <= SMALL_GROUP), "group")
-    lists = small.groupBy("group").agg(F.sort_array(F.collect_list("node")).alias("at"))
+def candidate_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``a, b, shared``: pairs of small groups that share enough sketches."""
+    lists = members.where("tiles = 0").groupBy("group").agg(F.sort_array(F.collect_list("node")).alias("at"))
 
     def with_smaller(b: Column, i: Column) -> Column:
         return F.transform(F.slice("at", 1, i), lambda a: F.struct(a.alias("a"), b.alias("b")))
 
-    pairs = F.flatten(F.transform("at", with_smaller))
-    close = lists.select(F.explode(pairs).alias("p")).select("p.*")
-    large = materialize(members.join(sizes.where(F.col("n") > SMALL_GROUP), "group"))
-    drawn, lot = large, [F.xxhash64("group", "node").alias("lot"), F.col("node")]
-    if by_fame:
-        drawn = large.join(large.groupBy("node").agg(F.sum("n").alias("fame")), "node")
-        lot.insert(0, F.col("fame"))
-    leaders = drawn.groupBy("group").agg(F.max(F.struct(*lot)).alias("leader"))
-    led = large.join(leaders, "group").select(
-        F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")
-    ).where("a < b")
-    return close.unionAll(led).distinct(), large
-
-
-def candidate_pairs(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs of distinct texts that share enough sketches, and how many;
-    members of large groups by single sketches).
-
-    Texts meet in groups by single sketches. Texts in large groups also meet by
-    some pairs of sketches, which part what is less alike and so connect most
-    texts early. What large groups leave is for ``led_pairs``.
-    """
-    keys = [F.struct(F.lit(i).alias("i"), F.col("keys")[i].alias("k")) for i in range(GROUPED)]
-    first, large = _pairs_of(materialize(_groups(nodes, F.array(*keys))), by_fame=True)
-    first, crowded = materialize(first), materialize(large.select("node").distinct())
-    couples = [(i, (i + step) % GROUPED) for step in range(1, GROUPED) for i in range(GROUPED)][:DOUBLES]
-    doubles = [
-        F.struct(F.lit(n).alias("i"), F.col("keys")[i].alias("k"), F.col("keys")[j].alias("l"))
-        for n, (i, j) in enumerate(couples)
-    ]
-    second, _ = _pairs_of(materialize(_groups(nodes.join(crowded, "node"), F.array(*doubles))), by_fame=False)
-    pairs = materialize(first.unionAll(second).distinct())
-    with_a = pairs.join(nodes.select(F.col("node").alias("a"), F.col("marks").alias("ma")), "a")
-    with_b = with_a.join(nodes.select(F.col("node").alias("b"), F.col("marks").alias("mb")), "b")
+    pairs = lists.select(F.explode(F.flatten(F.transform("at", with_smaller))).alias("p")).select("p.*").distinct()
+    with_a = join_grown(pairs, nodes.select(F.col("node").alias("a"), F.col("marks").alias("ma")), ["a"])
+    with_b = join_grown(with_a, nodes.select(F.col("node").alias("b"), F.col("marks").alias("mb")), ["b"])
     shared = F.size(F.filter(F.zip_with("ma", "mb", lambda x, y: x == y), lambda same: same))
-    enough = with_b.withColumn("shared", shared).where(F.col("shared") >= LEAST_SHARED)
-    return enough.select("a", "b", "shared"), large
+    return with_b.select("a", "b", shared.alias("shared")).where(F.col("shared") >= LEAST_SHARED)
 
 
-def open_groups(large: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members, with labels, of the groups that are not one component."""
-    label = F.coalesce("label", "node").alias("label")
-    named = large.join(labels, "node", "left").select("group", "i", "n", "node", label)
-    ends = named.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return named.join(ends.where("low < high").select("group"), "group")
+def overlaps(kmers: list[np.ndarray]) -> np.ndarray:
+    """How many labelled k-mers every two texts have in common.
 
+    A matrix of texts by k-mers, times its transpose, in stretches of columns;
+    k-mers of few texts are counted by their pairs instead.
+    """
+    n = len(kmers)
+    distinct, column, count = np.unique(np.concatenate(kmers), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), [len(k) for k in kmers])
+    order = np.argsort(column, kind="stable")
+    owner, count_of = owner[order], np.repeat(count, count)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    both = np.zeros(n * n, np.float32)
+    few = np.flatnonzero((count_of > 1) & (count_of <= RARE))
+    for step in range(1, RARE):
+        few = few[place[few] + step < count_of[few]]
+        if not len(few):
+            break
+        both += np.bincount(owner[few] * n + owner[few + step], minlength=n * n)
+    both = both.reshape(n, n)
+    both += both.T
+    number = np.cumsum(count > RARE) - 1
+    many = np.flatnonzero(count_of > RARE)
+    at = np.repeat(number, count)[many]
+    for begin in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        low, high = np.searchsorted(at, [begin, begin + COLUMNS])
+        matrix = np.zeros((n, COLUMNS), np.float32)
+        matrix[owner[many[low:high]], at[low:high] - begin] = 1
+        both += matrix @ matrix.T
+    return both
+
+
+def spanning_links(node: np.ndarray, label: np.ndarray, side: np.ndarray, kmers: list[np.ndarray], least: float):
+    """Links that connect what links of at least ``least`` connect, of pairs of
+    different sides, or of any pair where there is one side.
+
+    The share of common k-mers bounds the similarity of any alignment, so only
+    pairs above it are aligned, the most alike first, and none whose texts are
+    already connected. What comes out is a forest, however alike the texts are.
+    """
+    sizes = np.array([len(k) for k in kmers])
+    both = overlaps(kmers)
+    enough = both >= least * (sizes[:, None] + sizes[None, :] - both) - 1e-3
+    enough &= side[:, None] != side[None, :] if side.any() and not side.all() else True
+    a, b = np.nonzero(np.triu(enough, 1))
+    order = np.argsort(-both[a, b] / (sizes[a] + sizes[b] - both[a, b]), kind="stable")
+    _, parent = np.unique(label, return_inverse=True)
+    parent = parent.tolist()
+    group = list(range(max(parent, default=-1) + 1))
+
+    def find(x: int) -> int:
+        while group[x] != x:
+            group[x] = group[group[x]]
+            x = group[x]
+        return x
+
+    links = []
+    for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
+        x, y = find(parent[i]), find(parent[j])
+        if x != y and similarity(kmers[i], kmers[j], least) > 0:
+            group[x] = y
+            links.append(sorted((int(node[i]), int(node[j]))))
+    return links
+
+
+def tile_links(units: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The spanning links of all units (``unit, node, label, side``)."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        spelled = strings(table.column("text").combine_chunks())
+        kmers = []
+        for part in balanced(spelled, CHUNK_BYTES):
+            found, sizes = labelled_kmers(spelled[part])
+            kmers += np.split(found, np.cumsum(sizes)[:-1])
+        node, label, side = (table.column(c).to_numpy() for c in ("node", "label", "side"))
+        links = spanning_links(node, label, side.astype(bool), kmers, least)
+        return pa.table(
+            [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"]
+        )
 
-def led_pairs(members: DataFrame, nodes: DataFrame, begin: int, end: int) -> DataFrame:
-    """Pairs like those of ``candidate_pairs``: of each group, the members at
-    places ``begin`` to ``end`` against all at later places.
+    held = join_grown(units, texts, ["node"]).select("unit", "node", "label", "side", "text")
+    return held.groupBy("unit").applyInArrow(compare, "a long, b long")
 
-    Places are hashes below the group's size, ties go by node. Leaders and
-    others meet in blocks, and only pairs that are not connected and share
-    enough sketches come out, each of the first group that both are in.
-    """
-    place = F.pmod(F.xxhash64(F.lit("place"), "group", "node"), F.col("n"))
-    rows = members.withColumn("place", place).where(F.col("place") >= begin).join(nodes, "node")
-    block, last = F.floor(F.col("place") / BLOCK), F.floor((F.col("n") - 1) / BLOCK)
-    held = ["i", "node", "place", "label", "keys", "marks"]
-    leading = rows.where(F.col("place") < end).select(
-        "group", block.alias("x"), F.explode(F.sequence(block, last)).alias("y"), F.lit(True).alias("leads"), *held
-    )
-    top = F.least(block, F.lit((end - 1) // BLOCK).cast("long"))
-    others = rows.select(
-        "group", F.explode(F.sequence(F.lit(begin // BLOCK).cast("long"), top)).alias("x"), block.alias("y"),
-        F.lit(False).alias("leads"), *held,
-    )
 
-    def compare(unit: pa.Table) -> pa.Table:
-        leads, node, at, label = (
-            unit.column(c).to_numpy(zero_copy_only=False) for c in ("leads", "node", "place", "label")
-        )
-        keys, marks = (
-            np.asarray(unit.column(c).combine_chunks().flatten()).reshape(len(node), -1) for c in ("keys", "marks")
-        )
-        x, y = np.flatnonzero(leads), np.flatnonzero(~leads)
-        shared = np.zeros((len(x), len(y)), np.uint8)
-        for k in range(SKETCHES):
-            shared += marks[x, k][:, None] == marks[y, k]
-        before = (at[x][:, None] < at[y]) | ((at[x][:, None] == at[y]) & (node[x][:, None] < node[y]))
-        p, q = np.nonzero((shared >= LEAST_SHARED) & before & (label[x][:, None] != label[y]))
-        i = unit.column("i")[0].as_py()
-        fresh = ~(keys[x[p], :i] == keys[y[q], :i]).any(axis=1)
-        p, q = p[fresh], q[fresh]
-        a, b = node[x[p]], node[y[q]]
-        found = [np.minimum(a, b), np.maximum(a, b), shared[p, q].astype(np.int32)]
-        return pa.table([pa.array(f) for f in found], names=["a", "b", "shared"])
-
-    units = leading.unionAll(others).groupBy("group", "x", "y")
-    return units.applyInArrow(compare, "a long, b long, shared int")
+def _tiled(tiles: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("tile"), "group", "node"), tiles).cast("int")
+
+
+def first_units(members: DataFrame) -> DataFrame:
+    """Units of large groups: a group of one tile whole; of a larger one the
+    first tile, which leads, against each other tile."""
+    rows = members.where("tiles > 0").withColumn("tile", _tiled(F.col("tiles")))
+    others = F.sequence(F.lit(0), (F.col("tiles") - 1).cast("int"))
+    met = rows.withColumn("met", F.explode(F.when(F.col("tile") == 0, others).otherwise(F.array("tile"))))
+    side = ((F.col("tile") == 0) & (F.col("met") > 0)).cast("int")
+    return met.select(F.xxhash64("group", "met").alias("unit"), "node", F.col("node").alias("label"), side.alias("side"))
+
+
+def last_units(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Units of groups of several tiles that are not one component: the texts
+    outside the group's largest component, in tiles of their own, against all."""
+    label = F.coalesce("label", "node").alias("label")
+    named = members.where("tiles > 1").join(labels, "node", "left").select("group", "node", "tiles", label)
+    parts = named.groupBy("group", "label").agg(F.count("*").alias("texts"), F.first("tiles").alias("tiles"))
+    largest = parts.groupBy("group").agg(
+        F.max_by("label", F.struct("texts", "label")).alias("most"), F.count("*").alias("parts"),
+        F.sum("texts").alias("all"), F.max("texts").alias("in_most"), F.first("tiles").alias("of"),
+    ).where("parts > 1")
+    aside = F.ceil((F.col("all") - F.col("in_most")) * F.col("of") / F.col("all"))
+    open_ = join_grown(named, largest.select("group", "most", aside.alias("aside")), ["group"])
+    x, y = (_tiled(F.col(c)) for c in ("aside", "tiles"))
+    every_x, every_y = (F.explode(F.sequence(F.lit(0), (F.col(c) - 1).cast("int"))) for c in ("aside", "tiles"))
+    leading = open_.where("label <> most").select("*", x.alias("x"), every_y.alias("y"), F.lit(1).alias("side"))
+    met = open_.select("*", every_x.alias("x"), y.alias("y"), F.lit(0).alias("side"))
+    return leading.unionByName(met).select(F.xxhash64("group", "x", "y").alias("unit"), "node", "label", "side")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs whose alignment has the asked similarity. ``texts``: node, text."""
-    first = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    both = first.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    first = join_grown(pairs, texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), ["a"])
+    both = join_grown(first, texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), ["b"])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,36 +311,20 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     hashed = docs.select(
         F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2"), text.alias("text")
     )
-    # Sorted and merged at every size: a broadcast for small tables only would
-    # let small runs tell nothing about large ones. Of equal texts one is enough.
-    found = hashed.join(wanted.hint("merge"), ["h1", "h2"])
-    return materialize(found.groupBy("node").agg(F.first("text").alias("text")))
+    # Of equal texts one is enough.
+    return join_grown(hashed, wanted, ["h1", "h2"]).groupBy("node").agg(F.first("text").alias("text"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
 
 
-def _connect(
-    pairs: DataFrame, texts: DataFrame, links: DataFrame | None, least: float
-) -> tuple[DataFrame, DataFrame]:
-    """(links, labels) after every text was aligned with its best candidate, then
-    all pairs whose ends are not yet connected."""
-    best = F.max(F.struct("shared", (-F.col("a")).alias("a")))
-    nearest = pairs.groupBy("b").agg(best.alias("best")).select((-F.col("best.a")).alias("a"), "b")
-    new = materialize(verified(nearest, texts, least))
-    links = new if links is None else links.unionAll(new)
-    labels = components(links)
-    rest = pairs.join(nearest, ["a", "b"], "left_anti")
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are not connected."""
     for side in ("a", "b"):
         named = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
-        rest = rest.join(named, side, "left")
-    apart = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
-    more = materialize(verified(rest.where(apart).select("a", "b"), texts, least))
-    if more.isEmpty():
-        return links, labels
-    links = links.unionAll(more)
-    return links, components(links)
+        pairs = pairs.join(named, side, "left")
+    return pairs.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
 
 
 def text_classes(
@@ -318,37 +335,39 @@ def text_classes(
     A class holds the texts that links of at least ``least`` connect, and its id
     is the smallest document id in it. Equal texts are one text from the start,
     so any number of exact copies costs one candidate; null and empty texts are
-    equal. A text of fewer than five words is one k-mer. Links are verified in
-    rounds: every text against its best candidate, then only pairs whose ends
-    are not yet connected, so a group of near copies is not compared pair by
-    pair. Large groups that are still not one component go on with more leaders
-    each round, held against all members not connected to them, until a group
-    is one component or each of its members has led. ``stays`` marks one text
-    of each class: of those that carry the smallest id, the one with the
-    smallest hash.
+    equal. A text of fewer than five words is one k-mer. Texts that share a
+    sketch are a group. The texts of a large group are held against each other
+    in tiles, whose tasks pass on the links of a forest, not all links; a group
+    of more than one tile goes on, if its first tile has not connected it, with
+    all texts outside its largest component. Of a small group each text is
+    aligned with its best candidate first, then only across what is not yet
+    connected. ``stays`` marks one text of each class: of those that carry the
+    smallest id, the one with the smallest hash. Very long texts are single
+    k-mer arrays of their own (8 bytes a word), never cut.
+
+    Texts are fetched once, for all that share a sketch with another text.
     """
     table = materialize(sketch_table(docs, id_col, text_col))
     by_text = table.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("keys", "marks")]
+        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("kmers", "keys", "marks")]
     )
     nodes = materialize(by_text.withColumn("node", F.monotonically_increasing_id()))
-    long_enough = nodes.where(F.col("keys")[0] != 0)
-    keyed = long_enough.select("node", "keys", "marks")
-    pairs, large = candidate_pairs(keyed)
-    pairs = materialize(pairs)
-    texts = _texts_of(docs, materialize(nodes.join(_ends(pairs), "node").select("node", "h1", "h2")), text_col)
-    links, labels = _connect(pairs, texts, None, least)
-
-    begin, end = 0, LEADERS
-    while not (members := materialize(open_groups(large.where(F.col("n") > begin), labels))).isEmpty():
-        pairs = materialize(led_pairs(members, keyed, begin, end))
-        if not pairs.isEmpty():
-            new = _ends(pairs).join(texts.select("node"), "node", "left_anti")
-            wanted = materialize(nodes.join(new, "node").select("node", "h1", "h2"))
-            if not wanted.isEmpty():
-                texts = texts.unionAll(_texts_of(docs, wanted, text_col))
-            links, labels = _connect(pairs, texts, links, least)
-        begin, end = end, end * MORE_LEADERS
+    keyed = nodes.where(F.col("keys")[0] != 0)
+    members = materialize(group_members(keyed))
+    pairs = materialize(candidate_pairs(members, keyed))
+    wanted = _ends(pairs).unionAll(members.where("tiles > 0").select("node")).distinct()
+    wanted = join_grown(nodes.select("node", "h1", "h2"), wanted, ["node"])
+    texts = materialize(_texts_of(docs, wanted, text_col))
+
+    best = F.max(F.struct("shared", (-F.col("a")).alias("a")))
+    nearest = pairs.groupBy("b").agg(best.alias("best")).select((-F.col("best.a")).alias("a"), "b")
+    found = verified(nearest, texts, least).unionAll(tile_links(first_units(members), texts, least))
+    links = materialize(found)
+    labels = components(links)
+    rest = verified(_apart(pairs.join(nearest, ["a", "b"], "left_anti"), labels), texts, least)
+    more = materialize(rest.unionAll(tile_links(last_units(members, labels), texts, least)))
+    if not more.isEmpty():
+        labels = components(links.unionAll(more))
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     # Null ids come last here, so a class is named by an id wherever it has one.
@@ -390,8 +409,9 @@ def keep_one(
         "row", F.col("row")[id_col].cast("long").alias("id"), F.xxhash64(text).alias("h1"),
         F.xxhash64(text, F.lit(1)).alias("h2"),
     )
-    found = keyed.join(
-        staying.withColumnsRenamed({"h1": "k1", "h2": "k2"}).hint("merge"),
+    found = join_grown(
+        keyed,
+        staying.withColumnsRenamed({"h1": "k1", "h2": "k2"}),
         (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("id").eqNullSafe(F.col("class_id")),
     )
     others = [F.col("row")[c] for c in docs.columns if c != text_col]

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlag.llm.common import materialize, strings
+from airlag.llm.common import join_grown, materialize, strings
 from airlag.llm.encode import encoder
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, part int, nth long"
@@ -34,11 +34,12 @@ def cut_pieces(
     end_id: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
+    id_bytes: int = 4,
 ) -> DataFrame:
     """Tokenised documents, cut into pieces of at most ``capacity`` ids.
 
     A longer document becomes full pieces and one remainder. ``ids`` holds
-    little-endian unsigned 32-bit integers. ``part`` and ``nth`` number the
+    little-endian unsigned integers of ``id_bytes`` bytes. ``part`` and ``nth`` number the
     pieces of one length within the task that made them: with them a piece's
     rank among all pieces of its length needs only counts per task and length.
     Null text is empty and makes one piece, the end id; repeated rows are kept.
@@ -51,7 +52,7 @@ def cut_pieces(
         for batch in batches:
             texts = strings(batch.column(1))
             ids, sizes = encode.encode(texts)
-            ids = np.insert(ids, np.cumsum(sizes), end_id).astype("<u4")
+            ids = np.insert(ids, np.cumsum(sizes), end_id).astype(f"<u{id_bytes}")
             sizes = sizes + 1
             pieces = -(-sizes // capacity)
             owner = np.repeat(np.arange(len(sizes)), pieces)
@@ -64,7 +65,7 @@ def cut_pieces(
             firsts = np.cumsum(counts) - counts
             nth[by_length] = np.arange(len(owner)) - firsts[length[by_length]] + seen[length[by_length]]
             seen += counts
-            bounds = np.concatenate([[0], np.cumsum(length)]) * 4
+            bounds = np.concatenate([[0], np.cumsum(length)]) * id_bytes
             spelled = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(owner), [None, pa.py_buffer(bounds), pa.py_buffer(ids.tobytes())]
             )
@@ -75,7 +76,7 @@ def cut_pieces(
             ]
             begin = 0
             while begin < len(owner):
-                end = int(np.searchsorted(bounds, bounds[begin] + 4 * BATCH_IDS, "right")) - 1
+                end = int(np.searchsorted(bounds, bounds[begin] + id_bytes * BATCH_IDS, "right")) - 1
                 end = max(end, begin + 1)
                 slices = [c.slice(begin, end - begin) for c in columns]
                 slices[4] = slices[4].cast(pa.binary())
@@ -168,7 +169,8 @@ def place_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     the histogram and each piece's rank, once to place the pieces. Counts are
     summed before they move, and a length that a third of all pieces share is
     at most one row per task. Only the histogram, one row per length up to
-    ``capacity``, reaches the driver. An empty table stays empty.
+    ``capacity``, reaches the driver. The counts per task grow with the input,
+    so they are joined, not broadcast. An empty table stays empty.
     """
     spark = pieces.sparkSession
     counts = materialize(pieces.groupBy("part", "length").agg(F.count("*").alias("n")))
@@ -178,7 +180,7 @@ def place_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     firsts = counts.withColumn(
         "first", F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1))
     ).select("part", "length", F.coalesce("first", F.lit(0)).alias("first"))
-    ranked = pieces.join(firsts, ["part", "length"]).withColumn("rank", F.col("first") + F.col("nth"))
+    ranked = join_grown(pieces, firsts, ["part", "length"]).withColumn("rank", F.col("first") + F.col("nth"))
     shared = spark.sparkContext.broadcast(slots)
 
     @F.pandas_udf("struct<sequence_id: long, offset: long>")
@@ -195,5 +197,11 @@ def place_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2) -> DataFrame:
-    """Pieces of all documents, with their ids, sequence and offset."""
-    return place_pieces(materialize(cut_pieces(docs, tokenizer, capacity, end_id)), capacity)
+    """Pieces of all documents, with their ids, sequence and offset.
+
+    ``ids`` holds little-endian unsigned integers of ``id_bytes`` bytes: two
+    where the tokenizer's ids and the end id fit 16 bits, else four.
+    """
+    width = 2 if max(encoder(tokenizer).most(), end_id) < 1 << 16 else 4
+    pieces = cut_pieces(docs, tokenizer, capacity, end_id, id_bytes=width)
+    return place_pieces(materialize(pieces), capacity).withColumn("id_bytes", F.lit(width))

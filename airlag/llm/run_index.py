@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlag.llm.common import balanced, materialize, strings, text_bytes
+from airlag.llm.common import balanced, join_grown, materialize, strings, text_bytes
 from airlag.llm.fingerprints import mix
 
 LENGTH, GRAM = 200, 48
@@ -271,17 +271,11 @@ def long_matches(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.n
 # --- the corpus -------------------------------------------------------------
 
 
-def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """A join of two sides that both grow with the corpus: there is no size
-    bound, so neither may be broadcast, however small a first run is."""
-    return left.join(right.hint("merge"), on, how)
-
-
 def _bodies(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` regions (r1, r2, start, windows, key, n) with their bytes."""
     place = F.struct("start", "windows", "key", "n")
     lists = wanted.groupBy(*_ROW).agg(F.collect_list(place).alias("at"))
-    held = _joined(rows.select(*_ROW, "text"), lists, _ROW)
+    held = join_grown(rows.select(*_ROW, "text"), lists, _ROW)
     size = F.col("a.windows") + length - 1
     cut = held.select(*_ROW, F.col("text").cast("binary").alias("text"), F.explode("at").alias("a"))
     body = F.substring("text", F.col("a.start").cast("int") + 1, size)
@@ -336,19 +330,19 @@ def _by_window(bodies: DataFrame, length: int) -> DataFrame:
     )
     each = materialize(each)
     found = each.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("w1", "w2")
-    return _joined(each.where("n = 1"), found, ["w1", "w2"]).select(*_span("start", F.lit(length)))
+    return join_grown(each.where("n = 1"), found, ["w1", "w2"]).select(*_span("start", F.lit(length)))
 
 
 def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
     """``r1, r2, start, stop`` of bytes that lie in windows which occur twice."""
     counts = key_counts(rows, length)
     keys = counts.where((F.col("n") > 1) | (F.col("inside") > 0)).select("key", "inside")
-    found = materialize(_joined(region_rows(rows, length), keys, ["key"]))
+    found = materialize(join_grown(region_rows(rows, length), keys, ["key"]))
 
     place = F.min(F.struct(*_ROW, "start", "windows")).alias("at")
     contents = found.groupBy("key", "content").agg(F.count("*").alias("n"), place, F.max("inside").alias("inside"))
     contents = materialize(contents)
-    copies = _joined(found, contents.where("n > 1").select("key", "content"), ["key", "content"])
+    copies = join_grown(found, contents.where("n > 1").select("key", "content"), ["key", "content"])
     spans = [copies.select(*_span("start", F.col("windows") + length - 1))]
 
     size = (F.col("at.windows") + length - 1).cast("long")
@@ -357,7 +351,7 @@ def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
     )
     mixed = of_key.where("contents > 1 or repeats > 0").select("key", "bytes")
     wanted = materialize(
-        _joined(contents, mixed, ["key"]).select("at.*", "key", "n", (F.col("bytes") > HOT_BYTES).alias("hot"))
+        join_grown(contents, mixed, ["key"]).select("at.*", "key", "n", (F.col("bytes") > HOT_BYTES).alias("hot"))
     )
     sizes = {
         r.hot: r.bytes
@@ -392,7 +386,7 @@ def dedup_substrings(
         raise ValueError(f"length must be above {GRAM}")
     rows = _keyed(docs, id_col, text_col)
     lists = repeated_spans(rows, length).groupBy(*_ROW).agg(F.collect_list(F.struct("start", "stop")).alias("cuts"))
-    held = _joined(rows, lists, _ROW, "left").select("doc_id", "text", "cuts")
+    held = join_grown(rows, lists, _ROW, "left").select("doc_id", "text", "cuts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -206,18 +206,11 @@ def test_large_groups_of_copies_a_little_below_each_other(spark):
     assert Counter(r.class_id for r in near_dedup.near_duplicates(docs).collect()) == {0: 1001}
 
 
-def test_large_groups_go_on_until_all_members_have_led(spark, monkeypatch):
-    # Every pair of links of this chain of versions is in large groups only, and
-    # the first pass finds nothing; the rounds of leaders have to find all.
+def test_large_groups_go_on_outside_their_largest_component(spark, monkeypatch):
+    # Tiles of four texts: the first tile alone connects only part of this chain
+    # of versions, and the tasks after it have to find all other links.
     monkeypatch.setattr(near_dedup, "SMALL_GROUP", 1)
-    monkeypatch.setattr(near_dedup, "BLOCK", 8)
-    real = near_dedup.candidate_pairs
-
-    def no_pairs(nodes):
-        pairs, large = real(nodes)
-        return pairs.limit(0), large
-
-    monkeypatch.setattr(near_dedup, "candidate_pairs", no_pairs)
+    monkeypatch.setattr(near_dedup, "TILE", 4)
     texts = [" ".join(prose(520, 150).split())]
     for i in range(40):
         w = texts[-1].split()
@@ -229,6 +222,68 @@ def test_large_groups_go_on_until_all_members_have_led(spark, monkeypatch):
     assert found == expected_classes(rows)
 
 
+def test_overlaps_count_common_kmers(monkeypatch):
+    rng = np.random.default_rng(3)
+    kmers = [rng.choice(400, rng.integers(0, 90), replace=False).astype(np.uint64) for _ in range(70)]
+    expected = [[len(np.intersect1d(a, b)) for b in kmers] for a in kmers]
+    for rare, columns in ((40, 4096), (3, 50), (1000, 10)):
+        monkeypatch.setattr(near_dedup, "RARE", rare)
+        monkeypatch.setattr(near_dedup, "COLUMNS", columns)
+        found = near_dedup.overlaps(kmers)
+        np.fill_diagonal(found, [len(k) for k in kmers])
+        assert found.tolist() == expected
+
+
+def test_a_tile_passes_on_a_forest():
+    base = np.arange(100, dtype=np.uint64)
+    kmers = [np.concatenate([base[:95], base[:5] + 1000 * i]) for i in range(1, 30)] + [base[50:]]
+    node = np.arange(100, 130)
+    none, two = np.zeros(30, int), np.arange(30) % 2
+    for side in (none, two):
+        links = near_dedup.spanning_links(node, node, side.astype(bool), kmers, 0.8)
+        assert len(links) == 28 and {x for pair in links for x in pair} == set(range(100, 129))
+    label = np.where(node < 110, 100, node)
+    assert len(near_dedup.spanning_links(node, label, none.astype(bool), kmers, 0.8)) == 19
+
+
+def classes_by_brute_force(rows):
+    """Classes from every pair of texts that shares enough labelled k-mers."""
+    ids = defaultdict(list)
+    for i, t in rows:
+        ids[t or ""].append(i)
+    kmers, sizes = near_dedup.labelled_kmers(pa.array(list(ids), pa.large_string()))
+    each = np.split(kmers, np.cumsum(sizes)[:-1])
+    _, column, count = np.unique(kmers, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)[np.argsort(column, kind="stable")]
+    first, begin = np.cumsum(count) - count, np.cumsum(sizes) - sizes
+    root = list(range(len(sizes)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, n in enumerate(sizes.tolist()):
+        held = column[begin[i] : begin[i] + n]
+        others = np.concatenate([owner[first[c] : first[c] + count[c]] for c in held[count[held] > 1]] or [[]])
+        for j, m in zip(*np.unique(others[others > i], return_counts=True), strict=True):
+            j = int(j)
+            if m >= 0.8 * (n + sizes[j] - m) - 1e-6 and near_dedup.similarity(each[i], each[j]) > 0:
+                root[find(i)] = find(j)
+    classes = defaultdict(list)
+    for x, own in enumerate(ids.values()):
+        classes[find(x)] += own
+    return {i: min(c) for c in classes.values() for i in c}
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_classes_of_the_tables(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    found = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == classes_by_brute_force(rows)
+
+
 def test_alignment_respects_order():
     a = np.arange(100, dtype=np.uint64)
     assert near_dedup.similarity(a, a) == 1
