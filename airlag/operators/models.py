@@ -6,17 +6,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlag.config import SEED, TEST_FRACTION
 from airlag.operators.impute import known_columns, medians, modes
 from airlag.operators.metrics import classification_metrics, regression_metrics, roc_auc
-from airlag.operators.ranking import mark_first, stratified_split
+from airlag.operators.ranking import ORDER_KEY, mark_first, stratified_split, with_order_key
 
 # Feature lists, label names and model names of the run records.
 NUMERIC = [
@@ -30,6 +30,8 @@ DELAY, LATE = "arr_delay", "is_delayed"
 PIPELINE_FOREST = {"numTrees": 50, "maxDepth": 5}
 REPORT_FOREST = {"numTrees": 40, "maxDepth": 6}
 ITERATIONS = 1000
+#: Training rows that a forest reads in one task.
+ROWS_PER_TASK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -129,38 +131,54 @@ def prepare(
 ) -> Prepared:
     """Split, fit the preprocessing on all training rows and store both parts.
 
-    At most ``classifier_rows`` training rows, the first by hash, are marked for
-    fitting classifiers; fills, slots, baselines and regressors use them all,
-    and all test rows are scored. ``store`` must persist a frame where all
-    executors can read it again. Rows lie in ``tasks`` partitions, in the order
-    of their hashes, whatever the cluster.
+    At most ``classifier_rows`` training rows, the first by hash, are taken for
+    fitting classifiers, and lie in ``tasks`` partitions in the order of their
+    hashes, whatever the cluster; 0 leaves that part empty, and its work undone.
+    Fills, slots, baselines and regressors use all training rows, and all test
+    rows are scored; these lie as they come. ``store`` must persist a frame
+    where all executors can read it again. A column ``ORDER_KEY`` of the table,
+    if it has one, is taken for the hash of its rows.
     """
-    columns = feature_table.columns
-    parts = store(stratified_split(feature_table, LATE, seed, TEST_FRACTION))
-    train = parts.where(~F.col("is_test")).select(*columns)
-    take = parts.sparkSession.range(1).select(F.lit(classifier_rows).cast("bigint").alias("take"))
-    marked = mark_first(train, take, columns, seed)
+    columns = [c for c in feature_table.columns if c != ORDER_KEY]
+    keyed = feature_table
+    if ORDER_KEY not in keyed.columns:
+        keyed = store(with_order_key(feature_table, columns, seed))
+    parts = store(stratified_split(keyed, LATE, seed, TEST_FRACTION))
+    train = parts.where(~F.col("is_test"))
     prep = fit_preprocessor(train)
-    both = marked.select(*columns, F.lit(False).alias("is_test"), F.col("chosen").alias("is_fit"))
-    both = both.unionByName(parts.where("is_test").withColumn("is_fit", F.lit(False)))
-    ready = prep.transform(both)
+    ready = prep.transform(parts).select(*columns, ORDER_KEY, "is_test", "features")
     names = vector_names(ready)
-    place = F.xxhash64(*columns)
-    ready = (
-        ready.select(*columns, "is_test", "is_fit", "features")
-        .repartition(tasks, place)
-        .sortWithinPartitions(place, "is_test", "is_fit")
-        .checkpoint()
-    )
-    train, test = ready.where(~F.col("is_test")), ready.where(F.col("is_test"))
-    kinds = ready.groupBy("is_test", "is_fit").count().collect()
-    sizes = {(row.is_test, row.is_fit): row["count"] for row in kinds}
-    fit_rows, test_rows = sizes.get((False, True), 0), sizes.get((True, False), 0)
-    train_rows = fit_rows + sizes.get((False, False), 0)
-    fit = ready.where("is_fit")
+    ready = store(ready)
+    kinds = {row.is_test: row["count"] for row in ready.groupBy("is_test").count().collect()}
+    train_rows, test_rows = kinds.get(False, 0), kinds.get(True, 0)
+    train, test = (ready.where(F.col("is_test") == part).drop("is_test") for part in (False, True))
+    fit, fit_rows = train.limit(0), min(classifier_rows, train_rows)
+    if fit_rows:
+        take = ready.sparkSession.range(1).select(F.lit(classifier_rows).cast("bigint").alias("take"))
+        chosen = mark_first(train, take, columns, seed, keep_rest=False).drop("chosen")
+        fit = in_fixed_order(chosen, tasks)
     return Prepared(train, test, fit, prep.stages, names, train_rows, test_rows, fit_rows)
 
 
+def in_fixed_order(rows: DataFrame, tasks: int) -> DataFrame:
+    """Stored rows in ``tasks`` partitions by hash, in the order of the hash.
+
+    A forest draws its samples by partition and place, so rows that are placed
+    by their content give one forest, however they lay before.
+    """
+    place = F.xxhash64(ORDER_KEY)
+    return rows.repartition(tasks, place).sortWithinPartitions(place, ORDER_KEY).checkpoint()
+
+
+def forest_rows(data: Prepared, tasks: int = 16, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """All training rows, placed for a forest. How many partitions there are
+    follows from the number of rows alone, so it grows with the table and does
+    not depend on the cluster. (One fit of all trees passes over the rows once
+    for each level; a tree by itself, bagged by hash, would do so for each tree.)
+    """
+    return in_fixed_order(data.train, max(tasks, -(-data.train_rows // rows_per_task)))
+
+
 def used_columns(feature_table: DataFrame) -> list[str]:
     return known_columns(feature_table, NUMERIC + CATEGORICAL)
 
@@ -211,6 +229,36 @@ def forest_classification(numTrees: int, maxDepth: int) -> RandomForestClassifie
     )
 
 
+def best_split(rows: DataFrame, label: str, slots: list[str], names: list[str]) -> DataFrame:
+    """``slot, side, least, most, rows, prediction`` of the two sides of a tree
+    of depth 1 over ``slots`` without sampling: the split that a forest's trees
+    choose first. Labels of 0 and 1 in a column of whole numbers are classes;
+    each class then weighs as many rows as the other one has, for Spark merges
+    two sides that predict the same class.
+    """
+    classes = dict(rows.dtypes)[label] != "double"
+    kind = DecisionTreeClassifier if classes else DecisionTreeRegressor
+    sliced = VectorSlicer(inputCol="features", outputCol="slots", indices=[names.index(s) for s in slots])
+    narrow = sliced.transform(rows)
+    tree = kind(labelCol=label, featuresCol="slots", maxDepth=1, seed=SEED)
+    if classes:
+        of_class = {row[label]: float(row["count"]) for row in rows.groupBy(label).count().collect()}
+        weight = F.when(F.col(label) == 1, of_class.get(0, 1.0)).otherwise(of_class.get(1, 1.0))
+        narrow, tree = narrow.withColumn("weight", weight), tree.setWeightCol("weight")
+    model = tree.fit(narrow)
+    at = int(model.featureImportances.toArray().argmax())
+    shown = model.transform(narrow)
+    found = vector_to_array("probability")[1] if classes else F.col("prediction")
+    sides = shown.select(vector_to_array("slots")[at].alias("v"), found.alias("prediction"))
+    order = Window.orderBy("least")
+    return (
+        sides.groupBy("prediction")
+        .agg(F.min("v").alias("least"), F.max("v").alias("most"), F.count(F.lit(1)).alias("rows"))
+        .withColumn("side", F.when(F.row_number().over(order) == 1, "low").otherwise("high"))
+        .select(F.lit(slots[at]).alias("slot"), "side", "least", "most", "rows", "prediction")
+    )
+
+
 def baseline_mean(train: DataFrame, test: DataFrame) -> DataFrame:
     """Every test row gets the training mean."""
     mean = train.select(F.avg(DELAY)).scalar()
@@ -265,7 +313,8 @@ def regression_runs(
     if with_linear:
         runs.append(fitted("LinearRegression", linear_regression()))
     runs.append(fitted("RidgeRegression", ridge_regression(data.train)))
-    runs.append(fitted("RandomForestRegressor", forest_regression(**forest)))
+    model = forest_regression(**forest).fit(forest_rows(data))
+    runs.append(Run("regression", "RandomForestRegressor", model.transform(data.test), model))
     return runs
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # Five hex digits: the prefix table has at most 1,048,576 rows per group.
 PREFIX = 5
 PAST_ALL = "g"
+#: A stored column that holds the order hash of a table's rows.
+ORDER_KEY = "__order_key"
 CHUNK = 100_000
 
 
@@ -23,6 +25,12 @@ def order_hash(columns: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
 
 
+def with_order_key(df: DataFrame, columns: Sequence[str], seed: int) -> DataFrame:
+    """``df`` with its order hash as a column, to be stored: every later choice
+    by ``seed`` over ``columns`` then reads it, and hashes no row again."""
+    return df if ORDER_KEY in df.columns else df.withColumn(ORDER_KEY, order_hash(columns, seed))
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row as often as ``times`` says. The copies are unfolded in pieces
     that are spread over the tasks, so a huge count is not one task's work."""
@@ -90,13 +98,15 @@ def mark_first(
 
     ``take`` holds one row per group ``by`` with the column ``take``; the groups
     are classes, few by nature. ``df`` is read a few times, so it should be
-    stored. Rows of the cut prefix are
+    stored, with its ``ORDER_KEY``, which is hashed here only where it is
+    missing. Rows of the cut prefix are
     collapsed to one row per distinct content with its number of copies, which
     keeps a large group of copies out of any single task.
     """
-    columns = df.columns
-    hashed = df.withColumn("order_key", order_hash(hash_columns, seed))
-    hashed = hashed.withColumn("prefix", F.substring("order_key", 1, PREFIX))
+    columns = [c for c in df.columns if c != ORDER_KEY]
+    kept = df.columns
+    hashed = with_order_key(df, hash_columns, seed)
+    hashed = hashed.withColumn("prefix", F.substring(ORDER_KEY, 1, PREFIX))
     cuts = cut_points(hashed, take, by)
     if by:
         placed = join_null_safe(hashed, cuts, by)
@@ -106,13 +116,13 @@ def mark_first(
         ).select("*", "at.*")
     inside, outside = F.col("prefix") < F.col("cut"), F.col("prefix") > F.col("cut")
     clear = placed.where(inside | outside if keep_rest else inside).select(
-        *columns, inside.alias("chosen")
+        *kept, inside.alias("chosen")
     )
 
-    first = Window.partitionBy(*by).orderBy("order_key", *columns)
+    first = Window.partitionBy(*by).orderBy(ORDER_KEY, *columns)
     tied = (
         placed.where(F.col("prefix") == F.col("cut"))
-        .groupBy(*columns, "order_key", "left_over")
+        .groupBy(*columns, ORDER_KEY, "left_over")
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn(
             "upto", F.sum("copies").over(first.rowsBetween(Window.unboundedPreceding, 0))
@@ -124,7 +134,7 @@ def mark_first(
     if keep_rest:
         rest = F.col("copies") - picked
         shares.append(F.struct(F.lit(False).alias("chosen"), rest.alias("times")))
-    tied = tied.select(*columns, F.inline(F.array(*shares)))
+    tied = tied.select(*kept, F.inline(F.array(*shares)))
     return clear.unionByName(repeat_rows(tied, "times"))
 
 
@@ -134,7 +144,7 @@ def sample_exact(
     """Exactly ``n`` rows, or all rows if there are no more than ``n``."""
     take = df.sparkSession.range(1).select(F.lit(n).cast("bigint").alias("take"))
     marked = mark_first(df, take, hash_columns or df.columns, seed, keep_rest=False)
-    return marked.drop("chosen")
+    return marked.drop("chosen", ORDER_KEY)
 
 
 def test_sizes(df: DataFrame, label: str, fraction: tuple[int, int]) -> DataFrame:

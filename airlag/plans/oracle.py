@@ -423,10 +423,45 @@ runs(task, model_type) AS (VALUES
   ('classification', 'RandomForestClassifier'))"""
 
 
+
+
+def stump(rows: str, label: str, gain: str, prediction: str) -> str:
+    """The best split of ``rows`` by one slot: every value of hour and weekday
+    may end the low side, and every category is a slot of zeros and ones."""
+    numbers = " UNION ALL ".join(
+        f"SELECT 'num__{c}' AS slot, CAST({c} AS DOUBLE) AS v, {label} AS y FROM {rows}" for c in ("hour", "day_of_week")
+    )
+    slots = " UNION ALL ".join(
+        f"SELECT 'cat__{c}_' || k.v, CASE WHEN r.{c} = k.v THEN 1.0::DOUBLE ELSE 0 END, {label} "
+        f"FROM {rows} r, (SELECT DISTINCT {c} AS v FROM parts WHERE NOT is_test) k"
+        for c in CATEGORICAL
+    )
+    return f"""
+cell AS (
+  SELECT slot, v, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS s
+  FROM ({numbers} UNION ALL {slots}) GROUP BY slot, v
+), side AS (
+  SELECT slot, v, sum(n) OVER up AS n1, sum(s) OVER up AS s1,
+         sum(n) OVER (PARTITION BY slot) - sum(n) OVER up AS n2,
+         sum(s) OVER (PARTITION BY slot) - sum(s) OVER up AS s2,
+         min(v) OVER (PARTITION BY slot) AS lowest, max(v) OVER (PARTITION BY slot) AS highest,
+         lead(v) OVER (PARTITION BY slot ORDER BY v) AS next
+  FROM cell WINDOW up AS (PARTITION BY slot ORDER BY v)
+), best AS (
+  SELECT * FROM side WHERE n2 > 0 ORDER BY {gain.format(n="n1", s="s1")} + {gain.format(n="n2", s="s2")} DESC, slot LIMIT 1
+)
+SELECT slot, 'low' AS side, lowest AS least, v AS most, n1::BIGINT AS rows, round({prediction.format(n="n1", s="s1")}, 6) AS prediction FROM best
+UNION ALL
+SELECT slot, 'high', next, highest, n2::BIGINT, round({prediction.format(n="n2", s="s2")}, 6) FROM best"""
+
+
 def baseline(value: str, name: str) -> str:
     return f"CASE WHEN model_type = '{name}' THEN round({value}, 6) END"
 
 
+# Each class weighs as many rows as the other one has.
+LATE = "({s} * (SELECT count(*) - sum(is_delayed) FROM fitted))"
+EARLY = "(({n} - {s}) * (SELECT sum(is_delayed) FROM fitted))"
 MEAN, MODE = "DummyMeanRegressor", "DummyMostFrequentClassifier"
 # Equal keys lie in one file, so only the row columns order equal keys.
 STAGED = f"""
@@ -491,6 +526,16 @@ LEARN = {
     "forest_classification": over_silver(
         f"SELECT {PREDICTED}, TRUE AS in_range FROM parts WHERE is_test", PARTS
     ),
+    "regression_stump": over_silver(
+        ", " + stump("(SELECT * FROM parts WHERE NOT is_test)", "arr_delay", "{s} * {s} / {n}", "{s} / {n}").lstrip(),
+        PARTS,
+    ),
+    "classification_stump": over_silver(
+        ", " + stump("fitted", "is_delayed", f"({LATE} * {LATE} + {EARLY} * {EARLY}) / ({LATE} + {EARLY})",
+                     f"{LATE} / ({LATE} + {EARLY})").lstrip(),
+        PARTS,
+        FITTED,
+    ),
     "classification_scores": over_silver(
         f"SELECT {PREDICTED}, TRUE AS in_range, TRUE AS decides FROM parts WHERE is_test", PARTS
     ),
@@ -512,7 +557,7 @@ LEARN = {
         RUNS,
     ),
     "regression_leaderboard": over_silver(
-        f"SELECT model_type AS model, TRUE AS in_order, {baseline('mae', MEAN)} AS mae, "
+        f"SELECT model_type AS model, TRUE AS in_order, TRUE AS as_predicted, {baseline('mae', MEAN)} AS mae, "
         f"{baseline('rmse', MEAN)} AS rmse FROM runs, guess_mean "
         "WHERE task = 'regression' AND model_type <> 'LinearRegression'",
         PARTS,
@@ -520,7 +565,7 @@ LEARN = {
         RUNS,
     ),
     "classification_leaderboard": over_silver(
-        f"SELECT model_type AS model, TRUE AS in_order, {baseline('accuracy', MODE)} AS accuracy, "
+        f"SELECT model_type AS model, TRUE AS in_order, TRUE AS as_predicted, {baseline('accuracy', MODE)} AS accuracy, "
         f"{baseline('f1', MODE)} AS f1, {baseline('0.5::DOUBLE', MODE)} AS roc_auc "
         "FROM runs, guess_mode WHERE task = 'classification'",
         PARTS,

@@ -347,11 +347,15 @@ FILES: dict[str, Query] = {
 }
 
 SAMPLE_QUERY_ROWS = 5_000
+#: Numbers of few values, between any two of which a tree may split.
+STUMP_NUMBERS = ["num__hour", "num__day_of_week"]
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table, stored as the model stage finds it."""
-    return materialize(QUERIES["ml_features"](spark, sf_dir))
+    """The feature table, stored as the model stage finds it, with the hash
+    that orders its rows."""
+    table = QUERIES["ml_features"](spark, sf_dir)
+    return materialize(ranking.with_order_key(table, table.columns, SEED))
 
 
 def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +364,7 @@ def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = feature_table(spark, sf_dir)
-    return ranking.stratified_split(table, models.LATE, SEED, TEST_FRACTION)
+    return ranking.stratified_split(table, models.LATE, SEED, TEST_FRACTION).drop(ranking.ORDER_KEY)
 
 
 def model_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,10 +372,11 @@ def model_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(split(spark, sf_dir))
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> models.Prepared:
+def prepared(spark: SparkSession, sf_dir: str, classify: bool = True) -> models.Prepared:
     table = feature_table(spark, sf_dir)
     settings = Settings()
-    return models.prepare(table, settings.sample_rows, materialize, settings.train_tasks)
+    rows = settings.sample_rows if classify else 0
+    return models.prepare(table, rows, materialize, settings.train_tasks)
 
 
 def with_gaps(parts: DataFrame) -> DataFrame:
@@ -413,11 +418,11 @@ def slot_totals(data: models.Prepared) -> DataFrame:
 
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows per category slot; the slots come from the training rows."""
-    return slot_totals(prepared(spark, sf_dir)).where(F.col("feature").startswith("cat__"))
+    return slot_totals(prepared(spark, sf_dir, classify=False)).where(F.col("feature").startswith("cat__"))
 
 
 def ml_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slot_totals(prepared(spark, sf_dir))
+    return slot_totals(prepared(spark, sf_dir, classify=False))
 
 
 PREDICTION_COLUMNS = ["flight_date", "airline", "route", "hour", models.DELAY, models.LATE]
@@ -440,7 +445,7 @@ def _residuals(build: Callable[[models.Prepared], Estimator], *by: str) -> Query
     model has a constant of its own, unpenalised, for every group."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        data = prepared(spark, sf_dir)
+        data = prepared(spark, sf_dir, classify=False)
         fitted = build(data).fit(data.train).transform(data.train)
         left = F.sum(F.col("prediction") - F.col(models.DELAY)) / F.count(F.lit(1))
         return fitted.groupBy(*by).agg(
@@ -454,8 +459,8 @@ def _residuals(build: Callable[[models.Prepared], Estimator], *by: str) -> Query
 
 def forest_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every test row, and whether its prediction lies among the training labels."""
-    data = prepared(spark, sf_dir)
-    model = models.forest_regression(**models.PIPELINE_FOREST).fit(data.train)
+    data = prepared(spark, sf_dir, classify=False)
+    model = models.forest_regression(**models.PIPELINE_FOREST).fit(models.forest_rows(data))
     low, high = data.train.agg(F.min(models.DELAY), F.max(models.DELAY)).first()
     inside = F.col("prediction").between(low, high).alias("in_range")
     return model.transform(data.test).select(*PREDICTION_COLUMNS, inside)
@@ -469,6 +474,24 @@ def forest_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(data.test).select(*PREDICTION_COLUMNS, known)
 
 
+def _stump(data: models.Prepared, rows: DataFrame, label: str) -> DataFrame:
+    slots = [n for n in data.features if n.startswith("cat__") or n in STUMP_NUMBERS]
+    found = models.best_split(rows, label, slots, data.features)
+    return found.withColumn("prediction", F.round("prediction", 6))
+
+
+def regression_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two sides of the first split of a tree over all training rows."""
+    data = prepared(spark, sf_dir, classify=False)
+    return _stump(data, data.train, models.DELAY)
+
+
+def classification_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over the rows that classifiers are fitted on."""
+    data = prepared(spark, sf_dir)
+    return _stump(data, data.fit, models.LATE)
+
+
 def logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, late flights and mean residual of the rows that were fitted; the
     constant is unpenalised, so probabilities sum to the late flights."""
@@ -525,7 +548,7 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The slots of both forests; importances of one forest sum to one."""
     data = prepared(spark, sf_dir)
     forests = {
-        "regression": models.forest_regression(**models.PIPELINE_FOREST).fit(data.train),
+        "regression": models.forest_regression(**models.PIPELINE_FOREST).fit(models.forest_rows(data)),
         "classification": models.forest_classification(**models.PIPELINE_FOREST).fit(data.fit),
     }
     ranked = [
@@ -553,22 +576,44 @@ def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _board(runs: list[models.Run], metric: str, descending: bool, *exact: str) -> DataFrame:
-    """A leaderboard's models, whether each stands in order, and how the
-    baseline does."""
-    board = models.leaderboard(runs, metric, descending)
-    place = F.row_number().over(Window.orderBy(F.desc(metric) if descending else F.asc(metric), "model"))
-    rows = [row.model for row in board.collect()]
-    order = F.array_position(F.array(*[F.lit(name) for name in rows]), F.col("model"))
-    baseline = F.col("model").startswith("Dummy")
-    return board.select(
-        "model",
-        (order == place).alias("in_order"),
-        *[F.when(baseline, F.round(m, 6)).alias(m) for m in exact],
-    )
+    """A leaderboard's models, whether the one before each is no worse, whether
+    each metric is that of the model's own test rows, and how the baseline does.
+
+    Both facts are taken anew, from where the models stand and from what they
+    predict, and not from the order by which the board was made.
+    """
+    rows = models.leaderboard(runs, metric, descending).collect()
+    values = [row[metric] for row in rows]
+    steps = [a >= b if descending else a <= b for a, b in zip(values, values[1:])]
+    label = models.LATE if descending else models.DELAY
+    again = {run.name: METRIC_AGAIN[metric](run.predicted, label) for run in runs}
+    facts = [
+        (
+            row.model, ordered, abs(again[row.model] - row[metric]) < 1e-9,
+            *[round(row[m], 6) if row.model.startswith("Dummy") else None for m in exact],
+        )
+        for row, ordered in zip(rows, [True, *steps])
+    ]
+    schema = "model string, in_order boolean, as_predicted boolean, " + ", ".join(f"{m} double" for m in exact)
+    return runs[0].predicted.sparkSession.createDataFrame(facts, schema)
+
+
+def _rmse_again(rows: DataFrame, label: str) -> float:
+    left = F.col("prediction") - F.col(label)
+    return rows.agg(F.sqrt(F.avg(left * left))).first()[0]
+
+
+def _f1_again(rows: DataFrame, label: str) -> float:
+    late, said = F.col(label) == 1, F.col("prediction") == 1
+    hit, either = rows.agg(F.count_if(late & said), F.count_if(late) + F.count_if(said)).first()
+    return 2 * hit / either if either else 0.0
+
+
+METRIC_AGAIN = {"rmse": _rmse_again, "f1": _f1_again}
 
 
 def regression_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = prepared(spark, sf_dir)
+    data = prepared(spark, sf_dir, classify=False)
     runs = models.regression_runs(data, models.REPORT_FOREST, with_linear=False)
     return _board(runs, "rmse", False, "mae", "rmse")
 
@@ -649,6 +694,8 @@ LEARN: dict[str, Query] = {
     "linear_regression": _residuals(lambda data: models.linear_regression(), "airline"),
     "ridge_regression": _residuals(lambda data: models.ridge_regression(data.train)),
     "forest_regression": forest_regression,
+    "regression_stump": regression_stump,
+    "classification_stump": classification_stump,
     "logistic_regression": logistic_regression,
     "forest_classification": forest_classification,
     "classification_scores": classification_scores,

@@ -92,13 +92,47 @@ def test_forests_do_not_depend_on_the_input_partitions(flights_table):
     found = []
     for parts in (2, 7):
         moved = materialize(flights_table.repartition(parts, "distance"))
-        data = models.prepare(moved, 5000, materialize, tasks=4)
-        forest = models.forest_regression(numTrees=5, maxDepth=3).fit(data.train)
+        data = models.prepare(moved, 0, materialize)
+        placed = models.forest_rows(data, tasks=2, rows_per_task=100)
+        # As many partitions as the rows ask for, wherever they lay.
+        assert placed.rdd.getNumPartitions() == 8
+        forest = models.forest_regression(numTrees=5, maxDepth=3).fit(placed)
         rows = forest.transform(data.test).select("id", "prediction").collect()
         found.append(sorted(map(tuple, rows)))
     assert found[0] == found[1]
 
 
+def test_only_classifier_rows_lie_in_fixed_partitions(flights_table):
+    data = models.prepare(flights_table, 100, materialize, tasks=3)
+    assert data.fit.rdd.getNumPartitions() == 3
+    for part in (data.train, data.test):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "FileScan" in plan
+    assert models.prepare(flights_table, 0, materialize).fit.isEmpty()
+
+
+def test_rows_are_hashed_once(spark, numbers):
+    keyed = ranking.with_order_key(numbers, numbers.columns, 42)
+    stored = materialize(keyed)
+    plan = ranking.sample_exact(stored, 100, 42)._jdf.queryExecution().executedPlan().toString()
+    assert "md5" not in plan
+    parts = ranking.stratified_split(stored, "late", 42)
+    assert "md5" not in parts._jdf.queryExecution().executedPlan().toString()
+    expected = ranking.stratified_split(numbers, "late", 42)
+    assert parts.drop(ranking.ORDER_KEY).exceptAll(expected).isEmpty()
+    assert ranking.sample_exact(stored, 100, 42).exceptAll(ranking.sample_exact(numbers, 100, 42)).isEmpty()
+
+
+def test_best_split(planted):
+    df, x, y = planted
+    rows = models.best_split(df, "arr_delay", ["a", "b"], ["a", "b", "c"]).orderBy("least").collect()
+    # Spark proposes a few dozen thresholds of a continuous feature.
+    low = x[:, 0] <= rows[0].most
+    assert rows[0].slot == "a" and [r.rows for r in rows] == [low.sum(), (~low).sum()]
+    assert [r.prediction for r in rows] == pytest.approx([y[low].mean(), y[~low].mean()])
+    assert rows[0].most < rows[1].least and [r.side for r in rows] == ["low", "high"]
+
+
 def test_large_counts_unfold(spark, monkeypatch):
     monkeypatch.setattr(ranking, "CHUNK", 10)
     df = spark.createDataFrame([("a", 3), ("b", 35), ("c", 0), ("d", 20)], "v string, n bigint")
