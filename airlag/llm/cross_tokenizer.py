@@ -26,9 +26,9 @@ from airlag.llm.common import balanced, materialize, strings, text_bytes
 from airlag.llm.encode import Encoder
 
 #: Bytes of text that are aligned at a time, parts that each encoder keeps,
-#: groups that are spelled at a time, and id pairs that a task sums before it
-#: passes them on.
-CHUNK_BYTES, KEEP, SPELL_GROUPS, SUM_PAIRS = 1 << 20, 400_000, 1 << 18, 1 << 21
+#: tokens that are listed, groups that are spelled at a time, and id pairs that
+#: a task sums before it passes them on.
+CHUNK_BYTES, KEEP, LISTED, SPELL_GROUPS, SUM_PAIRS = 4 << 20, 700_000, 1 << 20, 1 << 18, 1 << 21
 #: The id pairs of highest count, which every task has; all others are joined.
 HEAD_PAIRS = 1 << 18
 
@@ -122,69 +122,66 @@ def piece_side(path: str) -> Side:
     return Side(encoder, spelled)
 
 
-def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens of a per group, tokens of b per group, a index per link, b index
-    per link) of two int32 arrays of end offsets with the same last value."""
-    ends_a, ends_b = memoryview(a), memoryview(b)
-    raw_a, raw_b = ends_a.cast("B"), ends_b.cast("B")
+def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of a per group, tokens of b per group) of two int32 arrays of end
+    offsets with the same last value."""
+    # Lists are read faster; of very long texts they would be large.
+    ends_a, ends_b = (x.tolist() if len(x) < LISTED else memoryview(x) for x in (a, b))
+    raw_a, raw_b = a.tobytes(), b.tobytes()
     n, m = len(a), len(b)
-    sizes_a: list[int] = []
-    sizes_b: list[int] = []
-    times: list[int] = []
-    link_a: list[int] = []
-    link_b: list[int] = []
-    begin_a: list[int] = []
-    begin_b: list[int] = []
-    lengths: list[int] = []
+    # Where stretches and irregular groups begin, and the groups of each.
+    begins: list[tuple[int, int, int]] = []
     i = j = 0
     while i < n:
-        if ends_a[i] == ends_b[j]:
+        x, y = ends_a[i], ends_b[j]
+        if x == y:
             # How many ends from here agree at this shift: at least ``low``.
-            low, most = 1, min(n - i, m - j)
-            step = 1
+            low, step = 1, 1
+            most = n - i if n - i < m - j else m - j
             while low < most:
-                high = min(low + step, most)
-                if raw_a[4 * (i + low) : 4 * (i + high)] != raw_b[4 * (j + low) : 4 * (j + high)]:
+                high = low + step
+                if high > most:
+                    high = most
+                if step == 1:
+                    same = ends_a[i + low] == ends_b[j + low]
+                else:
+                    same = raw_a[4 * (i + low) : 4 * (i + high)] == raw_b[4 * (j + low) : 4 * (j + high)]
+                if not same:
+                    while high - low > 1:
+                        middle = (low + high) // 2
+                        if raw_a[4 * (i + low) : 4 * (i + middle)] == raw_b[4 * (j + low) : 4 * (j + middle)]:
+                            low = middle
+                        else:
+                            high = middle
                     break
                 low, step = high, step * 2
-            else:
-                high = low
-            while high - low > 1:
-                middle = (low + high) // 2
-                if raw_a[4 * (i + low) : 4 * (i + middle)] == raw_b[4 * (j + low) : 4 * (j + middle)]:
-                    low = middle
-                else:
-                    high = middle
-            begin_a.append(i)
-            begin_b.append(j)
-            lengths.append(low)
-            sizes_a.append(1)
-            sizes_b.append(1)
-            times.append(low)
-            i, j = i + low, j + low
+            begins.append((i, j, low))
+            i += low
+            j += low
         else:
-            from_a, from_b = i, j
-            x, y = ends_a[i], ends_b[j]
+            begins.append((i, j, 1))
             while x != y:
-                link_a.append(i)
-                link_b.append(j)
                 if x < y:
                     i += 1
                     x = ends_a[i]
                 else:
                     j += 1
                     y = ends_b[j]
-            link_a.append(i)
-            link_b.append(j)
-            i, j = i + 1, j + 1
-            sizes_a.append(i - from_a)
-            sizes_b.append(j - from_b)
-            times.append(1)
-    count = np.array(lengths, np.int64)
-    along = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    straight = (np.repeat(np.array(x, np.int64), count) + along for x in (begin_a, begin_b))
-    links = (np.concatenate([x, np.array(y, np.int64)]) for x, y in zip(straight, (link_a, link_b), strict=True))
-    return np.repeat(np.array(sizes_a, np.int64), times), np.repeat(np.array(sizes_b, np.int64), times), *links
+            i += 1
+            j += 1
+    table = np.array([*begins, (n, m, 0)], np.int64)
+    groups = table[:-1, 2]
+    sizes = np.diff(table[:, :2], axis=0) // groups[:, None]
+    size_a, size_b = (np.repeat(sizes[:, side], groups) for side in (0, 1))
+    return size_a, size_b
+
+
+def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index in a, index in b) of every two tokens whose ranges overlap: each
+    stretch between two neighbouring ends of either side lies in one of each."""
+    both = np.sort(np.concatenate([a, b]))
+    both = both[np.append(True, both[1:] != both[:-1])]
+    return np.searchsorted(a, both), np.searchsorted(b, both)
 
 
 def spelled_groups(
@@ -247,8 +244,9 @@ def _aligned_rows(a: Side, b: Side, texts: pa.Array) -> Iterator[tuple]:
         if not fine:
             yield 0, 0, 0, 0, "", b""
             continue
-        ends = (np.cumsum(side.sizes[ids]).astype(np.int32) for side, ids in ((a, x), (b, y)))
-        size_a, size_b, link_a, link_b = align(*ends)
+        ends = [np.cumsum(side.sizes[ids]).astype(np.int32) for side, ids in ((a, x), (b, y))]
+        size_a, size_b = align(*ends)
+        link_a, link_b = links(*ends)
         digest = hashlib.sha256()
         for part in spelled_groups(a, b, x, y, size_a, size_b):
             digest.update(part.encode())

@@ -124,18 +124,20 @@ class Encoder:
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         self.ids[self.used : self.used + len(ids)] = ids
 
-    def _store(self, table: dict[str, int], parts: list[str], ids: np.ndarray, sizes) -> None:
-        base, self.rows = self.rows, self.rows + len(parts)
+    def _store(self, ids: np.ndarray, sizes) -> int:
+        """Rows for more ids; the number of the first of them."""
+        base, self.rows = self.rows, self.rows + len(sizes)
         self._append(ids, self.rows)
         self.bounds[base + 1 : self.rows + 1] = self.used + np.cumsum(sizes)
         self.used += len(ids)
-        table.update(zip(parts, range(base, self.rows), strict=True))
+        return base
 
     def _learn(self, table: dict[str, int], parts: list[str], lead: str) -> None:
         new = [p for p in dict.fromkeys(parts) if p not in table]
         if new:
             encoded = self._library(new, lead)
-            self._store(table, new, np.concatenate(encoded), list(map(len, encoded)))
+            base = self._store(np.concatenate(encoded), list(map(len, encoded)))
+            table.update(zip(new, range(base, self.rows), strict=True))
 
     def _gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids per row) of rows of the table."""
@@ -145,22 +147,28 @@ class Encoder:
         return self.ids[at], size
 
     def _rows(self, parts: list[str], lead: str = "") -> np.ndarray:
-        """Row of each part in the table; new parts are encoded and added."""
+        """Row of each part in the table; new parts are encoded and added.
+
+        A part that is split once more gets a row, but is not looked up again:
+        most of these, such as words around a line break, come only once.
+        """
         table = self.row if lead else self.first
-        rows = np.array(list(map(table.get, parts, repeat(-1))), np.int64)
+        rows = np.fromiter(map(table.get, parts, repeat(-1)), np.int64, len(parts))
         new = np.flatnonzero(rows < 0)
         if len(new):
             added = list(dict.fromkeys(parts[i] for i in new.tolist()))
             pieces = [self.piece.split(p) for p in added]
             self._learn(table, [p[0] for p in pieces], lead)
             self._learn(self.first, [q for p in pieces for q in p[1:]], "")
-            longer = [(p, q) for p, q in zip(added, pieces, strict=True) if len(q) > 1 and p not in table]
+            longer = [(p, q) for p, q in zip(added, pieces, strict=True) if len(q) > 1]
+            found = table
             if longer:
                 at = [r for _, (h, *t) in longer for r in (table[h], *(self.first[x] for x in t))]
                 ids, size = self._gather(np.array(at))
-                sizes = _sums(size, np.array([len(q) for _, q in longer]))
-                self._store(table, [p for p, _ in longer], ids, sizes)
-            rows[new] = [table[parts[i]] for i in new.tolist()]
+                base = self._store(ids, _sums(size, np.array([len(q) for _, q in longer])))
+                own = dict(zip((p for p, _ in longer), range(base, self.rows), strict=True))
+                found = {p: own[p] if p in own else table[p] for p in added}
+            rows[new] = [found[parts[i]] for i in new.tolist()]
         return rows
 
     def _parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -191,7 +199,7 @@ class Encoder:
 
     def _trim(self) -> None:
         keep = self.keep or KEEP_PARTS
-        if self.rows > keep or self.used > 8 * keep:
+        if len(self.row) + len(self.first) > keep or self.used > 16 * keep:
             self._forget()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from airlag.llm.common import join_grown, materialize, strings
+from airlag.llm.common import join_grown, materialize, strings, text_bytes
 from airlag.llm.encode import encoder
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, part int, nth long"
@@ -162,7 +163,7 @@ class Slots:
         return self.sequence[at] + nth, self.offset[at] + slot * self.length[at]
 
 
-def place_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
+def place_pieces(pieces: DataFrame, capacity: int = 4096, id_bytes: int = 4) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a stored table of pieces.
 
     The table is read twice: once for counts per (task, length), which give
@@ -170,7 +171,8 @@ def place_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     summed before they move, and a length that a third of all pieces share is
     at most one row per task. Only the histogram, one row per length up to
     ``capacity``, reaches the driver. The counts per task grow with the input,
-    so they are joined, not broadcast. An empty table stays empty.
+    so they are joined, not broadcast. An empty table stays empty. ``ids`` of
+    two bytes come out as four.
     """
     spark = pieces.sparkSession
     counts = materialize(pieces.groupBy("part", "length").agg(F.count("*").alias("n")))
@@ -182,26 +184,37 @@ def place_pieces(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     ).select("part", "length", F.coalesce("first", F.lit(0)).alias("first"))
     ranked = join_grown(pieces, firsts, ["part", "length"]).withColumn("rank", F.col("first") + F.col("nth"))
     shared = spark.sparkContext.broadcast(slots)
+    kept = [c for c in pieces.columns if c not in ("part", "nth")]
 
-    @F.pandas_udf("struct<sequence_id: long, offset: long>")
-    def place(length, rank):
-        import pandas as pd
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {c: batch.column(c) for c in kept}
+            at = shared.value.place(batch.column("length").to_numpy(), batch.column("rank").to_numpy())
+            if id_bytes == 2:
+                columns["ids"] = _widened(columns["ids"])
+            columns |= {"sequence_id": pa.array(at[0]), "offset": pa.array(at[1])}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = StructType([f for f in pieces.schema if f.name in kept])
+    schema = schema.add("sequence_id", "long").add("offset", "long")
+    return ranked.select(*kept, "rank").mapInArrow(place, schema)
 
-        sequence, offset = shared.value.place(length.to_numpy(), rank.to_numpy())
-        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    placed = ranked.withColumn("at", place("length", "rank"))
-    return placed.select(
-        *[c for c in pieces.columns if c not in ("part", "nth")], "at.sequence_id", "at.offset"
-    )
+def _widened(held: pa.Array) -> pa.Array:
+    """Two-byte ids as four-byte ids."""
+    held = held.cast(pa.large_binary())
+    bounds, data = text_bytes(held)
+    ids = np.frombuffer(data.tobytes(), "<u2").astype("<u4")
+    buffers = [None, pa.py_buffer((2 * bounds).astype(np.int64)), pa.py_buffer(ids.tobytes())]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(held), buffers).cast(pa.binary())
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2) -> DataFrame:
     """Pieces of all documents, with their ids, sequence and offset.
 
-    ``ids`` holds little-endian unsigned integers of ``id_bytes`` bytes: two
-    where the tokenizer's ids and the end id fit 16 bits, else four.
+    On the way, ids are stored and moved in two bytes where those of the
+    tokenizer fit.
     """
     width = 2 if max(encoder(tokenizer).most(), end_id) < 1 << 16 else 4
     pieces = cut_pieces(docs, tokenizer, capacity, end_id, id_bytes=width)
-    return place_pieces(materialize(pieces), capacity).withColumn("id_bytes", F.lit(width))
+    return place_pieces(materialize(pieces), capacity, width)
