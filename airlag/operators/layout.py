@@ -17,18 +17,35 @@ def rebalance(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-def range_bucket(df: DataFrame, name: str, bits: int) -> DataFrame:
-    """(value, bucket): the distinct values cut into ``2**bits`` ordered ranges.
+def sortable(value: Column, kind: str) -> Column:
+    """Numbers as they are; text as a whole number that grows with its first
+    seven bytes."""
+    if kind != "string":
+        return value
+    head = F.substring(F.rpad(value.cast("binary"), 7, F.lit(bytes(7))), 1, 7)
+    return F.conv(F.hex(head), 16, 10).cast("bigint")
 
-    The range exchange numbers the ranges by value, so no task has to see all
-    values in one sorted run. A fixed partition count is never coalesced.
-    """
-    return (
-        df.select(F.col(name).alias("value"))
-        .where(F.col("value").isNotNull())
-        .distinct()
-        .repartitionByRange(1 << bits, "value")
-        .select("value", F.spark_partition_id().alias("bucket"))
+
+def range_bounds(df: DataFrame, names: Sequence[str], bits: int) -> dict[str, list]:
+    """The ends of ``2**bits`` ranges of about as many rows each, for every
+    column, from one scan and one aggregate. The driver gets the ends only."""
+    kinds, parts = dict(df.dtypes), 1 << bits
+    ends = [F.lit(i / parts) for i in range(1, parts)]
+    accuracy = F.lit(64 * parts)
+    found = df.agg(*[F.percentile_approx(sortable(F.col(n), kinds[n]), F.array(*ends), accuracy).alias(n) for n in names])
+    return {n: row or [] for n, row in found.first().asDict().items()}
+
+
+def bucket_of(value: Column, bounds: Sequence, bits: int) -> Column:
+    """How many of the bounds lie below a value, by halving: no join, and as
+    many steps as there are bits. Nulls are in bucket 0."""
+    if not bounds:
+        return F.lit(0)
+    ends = F.array(*[F.lit(b) for b in bounds])
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
+    return F.coalesce(
+        F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(ends, at + step - 1) < value, step).otherwise(0)),
+        F.lit(0),
     )
 
 
@@ -57,18 +74,12 @@ def zorder_layout(
     ``spread_by`` ends it: when one box holds a large share of the rows, the
     range exchange can still cut through it.
     """
-    placed = df
-    for name in cluster_by:
-        buckets = range_bucket(df, name, bits).select(
-            F.col("value").alias(name), F.col("bucket").alias(f"{name}__bucket")
-        )
-        placed = placed.join(buckets, name, "left")
-    bucket_columns = [
-        F.coalesce(F.col(f"{name}__bucket"), F.lit(0)) for name in cluster_by
-    ]
+    kinds, bounds = dict(df.dtypes), range_bounds(df, cluster_by, bits)
+    buckets = [bucket_of(sortable(F.col(n), kinds[n]), bounds[n], bits) for n in cluster_by]
     ranges = [*partition_by, "z", "spread"]
     return (
-        placed.withColumn("z", interleave(bucket_columns, bits))
+        df.withColumns({f"{n}__bucket": bucket for n, bucket in zip(cluster_by, buckets)})
+        .withColumn("z", interleave([F.col(f"{n}__bucket") for n in cluster_by], bits))
         .withColumn("spread", F.xxhash64(*spread_by))
         .repartitionByRange(files, *ranges)
         .sortWithinPartitions(*ranges)

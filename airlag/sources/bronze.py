@@ -41,7 +41,7 @@ def append_files(
     """Append inspected files; with a ``token``, at most once for each token."""
     added: list[int] = []
     filled = [f for f in files if not f.empty]
-    for _, run in groupby(filled, key=lambda f: (f.schema.json(), f.multi_line)):
+    for _, run in groupby(filled, key=lambda f: (f.schema.json(), f.layout)):
         batch = list(run)
         first = table.next_version()
         ids = [first + i for i in range(len(batch))]

@@ -6,7 +6,7 @@ import csv
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,18 +14,30 @@ from airlag.functions.columns import decoded_path
 from airlag.session import list_folder, path_exists
 
 QUOTE = '"'
+# Columns beside the cells, named so that no header has them.
+PATH, FILE = "__path", "__file"
 
 
 @dataclass(frozen=True)
 class CsvFile:
-    """One input file with the schema that all its cells fit."""
+    """One input file with the schema that all its cells fit.
+
+    ``layout`` tells how its records are found: each line is one (``LINES``),
+    lines are put together by their quotes (``QUOTED``), or the file is read
+    from its start to its end by one task (``WHOLE``).
+    """
 
     path: str
     name: str
     schema: T.StructType
     empty: bool
-    multi_line: bool = False
+    layout: str = "lines"
+
 
+LINES, QUOTED, WHOLE = "lines", "quoted", "whole"
+# A record whose quotes open and close cells and nothing else.
+_CELL = r'(?:[^",\n]*|"(?:[^"]|"")*")'
+STRICT = rf"(?s)^{_CELL}(?:,{_CELL})*$"
 
 # What a cell must look like, and be read as, for a column to
 # have the type. Narrower types come first; a column that fits none is text.
@@ -48,20 +60,56 @@ def list_csv(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
     return files
 
 
-def _heads(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, bool]]:
-    """Path -> (first line, whether a quoted cell may hold a line break), for
-    all files in one job. A line with an odd number of quotes opens or closes
-    such a cell."""
-    lines = spark.read.text(paths).select(
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``value, path, block, nth``: the lines of files with their places."""
+    return spark.read.text(paths).select(
         "value",
         decoded_path(F.col("_metadata.file_path")).alias("path"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("nth"),
     )
-    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))
-    found = lines.groupBy("path").agg(
-        F.min_by("value", "place").alias("head"), F.bool_or(quotes % 2 == 1).alias("broken")
-    )
-    return {row.path: (row.head, row.broken) for row in found.collect()}
+
+
+def _quotes(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(QUOTE), F.lit("")))
+
+
+def quoted_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``value, path, first``: the records of files whose quoted cells may hold
+    line breaks; ``first`` marks a file's header.
+
+    A line starts a record if an even number of quotes stands before it in its
+    file. Quotes are summed per block of a file; how many stand before a block
+    follows from these sums, one row per block, and inside a block from a
+    running sum. So a file is read by as many tasks as it has blocks, and a
+    record that crosses blocks is put together by the place where it starts.
+    """
+    lines = _lines(spark, paths).withColumn("quotes", _quotes(F.col("value")))
+    along = Window.partitionBy("path", "block").orderBy("nth")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    inside = lines.withColumn("ahead", F.coalesce(F.sum("quotes").over(before), F.lit(0)))
+
+    in_file = Window.partitionBy("path").orderBy("block")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    sums = lines.groupBy("path", "block").agg(F.sum("quotes").alias("sum"))
+    sums = sums.withColumn("odd", F.coalesce(F.sum("sum").over(earlier), F.lit(0)) % 2)
+    placed = inside.join(sums.select("path", "block", "odd"), ["path", "block"])
+    starts = (F.col("ahead") + F.col("odd")) % 2 == 0
+    placed = placed.withColumn("start", F.max(F.when(starts, F.col("nth"))).over(along)).drop("quotes", "ahead")
+
+    # Lines before the first start of a block end the last record before it.
+    last = placed.groupBy("path", "block").agg(F.max("start").alias("last"))
+    last = last.withColumn("carried", F.last("last", ignorenulls=True).over(earlier)).select("path", "block", "carried")
+    opened = F.when(F.col("start").isNull(), F.col("carried")).otherwise(F.col("start"))
+    whole = placed.join(last, ["path", "block"]).withColumn("record", opened)
+    # A task numbers lines in the order of a block; blocks are ordered by place.
+    ordered = F.array_sort(F.collect_list(F.struct("block", "nth", "value")))
+    records = whole.groupBy("path", "record").agg(ordered.alias("held"), F.min("block").alias("block"))
+    text = F.array_join(F.transform("held", lambda line: line["value"]), "\n")
+    # The header starts where block 0 does.
+    heads = F.min(F.when(F.col("block") == 0, F.col("record"))).over(Window.partitionBy("path", "block"))
+    first = (F.col("block") == 0) & (F.col("record") == heads)
+    return records.select(text.alias("value"), "path", first.alias("first")).where(F.length(F.trim("value")) > 0)
 
 
 def _names(cells: list[str | None]) -> list[str]:
@@ -73,17 +121,59 @@ def _names(cells: list[str | None]) -> list[str]:
     ]
 
 
-def _cells(spark: SparkSession, names: list[str], multi_line: bool, paths: list[str]) -> DataFrame:
-    """All cells as text, by place."""
+def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
+    """Records as text cells, beside their other columns."""
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    options = {"escape": QUOTE, "mode": "PERMISSIVE", "multiLine": "true"}
+    return records.withColumn("cells", F.from_csv("value", schema, options))
+
+
+def _cells(spark: SparkSession, names: list[str], layout: str, paths: list[str]) -> DataFrame:
+    """All cells as text, by place, with the ``path`` and the ``file`` they come from."""
+    if layout == QUOTED:
+        rows = _parsed(quoted_records(spark, paths).where("not first"), [f"c{i}" for i in range(len(names))])
+        return rows.select(
+            *[F.col("cells")[f"c{i}"].alias(n) for i, n in enumerate(names)],
+            F.col("path").alias(PATH), F.element_at(F.split("path", "/"), -1).alias(FILE),
+        )
     text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    return (
+    rows = (
         spark.read.schema(text)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("escape", QUOTE)
-        .option("multiLine", multi_line)
+        .option("multiLine", layout == WHOLE)
         .csv(paths)
     )
+    return rows.select(
+        "*",
+        decoded_path(F.col("_metadata.file_path")).alias(PATH),
+        decoded_path(F.col("_metadata.file_name")).alias(FILE),
+    )
+
+
+def _fits(cells: list[Column]) -> list[Column]:
+    """Per column: which of the types all its cells fit."""
+    return [
+        F.array(
+            *[
+                F.coalesce(
+                    F.bool_and(F.when(cell.isNotNull(), cell.rlike(look) & cell.try_cast(kind).isNotNull())),
+                    F.lit(False),
+                )
+                for kind, look in CELL_TYPES
+            ]
+        ).alias(f"f{i}")
+        for i, cell in enumerate(cells)
+    ]
+
+
+def _schema(names: list[str], row: Row) -> T.StructType:
+    kinds = [
+        next((kind for (kind, _), fit in zip(CELL_TYPES, row[f"f{i}"]) if fit), T.StringType())
+        for i in range(len(names))
+    ]
+    return T.StructType([T.StructField(n, k, True) for n, k in zip(names, kinds)])
 
 
 def _path_key(path: str) -> str:
@@ -95,63 +185,81 @@ def inspect_files(spark: SparkSession, listed: list[tuple[str, str]]) -> list[Cs
     """Schemas from all cells: a column takes a type only if every cell of the
     file fits it, so no cell is lost; else it stays text.
 
-    One job reads the heads of all files, one more per distinct header types
-    their cells. The driver gets a few flags per file and column.
+    One job over all lines finds each file's first line, whether its quotes
+    cross lines, and the types of its cells as far as its header is the first
+    file's. Files with another header, or with quotes that cross lines, take
+    one more job per distinct header. The driver gets a few flags per file and
+    column.
     """
-    heads = {_path_key(p): v for p, v in _heads(spark, [p for p, _ in listed]).items()}
+    paths = [p for p, _ in listed]
+    assumed = spark.read.text(paths[:1]).limit(1).collect()
+    head = assumed[0].value if assumed else ""
+    same = [f"c{i}" for i in range(len(next(csv.reader([head]), [])))]
+    lines = _parsed(_lines(spark, paths), same or ["c0"])
+    cell_of = [
+        F.when((F.col("value") != head) & (F.length(F.trim("value")) > 0), F.col("cells")[c]) for c in same
+    ]
+    found = lines.groupBy("path").agg(
+        F.min_by("value", F.struct("block", "nth")).alias("head"),
+        F.bool_or(_quotes(F.col("value")) % 2 == 1).alias("broken"),
+        F.count_if(F.col("value") == head).alias("heads"),
+        F.count_if(F.length(F.trim("value")) > 0).alias("lines"),
+        *_fits(cell_of),
+    )
+    first_pass = {_path_key(row.path): row for row in found.collect()}
+    schemas: dict[str, T.StructType] = {}
+    names_of: dict[str, list[str]] = {}
+    layout_of: dict[str, str] = {}
+    groups: dict[tuple, list[str]] = {}
     for path, name in listed:
-        if _path_key(path) not in heads:
+        row = first_pass.get(_path_key(path))
+        if row is None:
             raise ValueError(f"{name} has no header")
-    groups: dict[tuple, list[str]] = {}
-    names_of: dict[str, list[str]] = {}
-    for path, _ in listed:
-        head, broken = heads[_path_key(path)]
-        if broken and head.count(QUOTE) % 2:
+        layout_of[path] = QUOTED if row.broken else LINES
+        if row.broken and row.head.count(QUOTE) % 2:
             # The header itself holds a line break: its record is read whole.
             first = spark.read.option("header", False).option("multiLine", True).option("escape", QUOTE)
             names_of[path] = _names(list(first.csv(path).first()))
         else:
-            names_of[path] = _names(next(csv.reader([head])))
-        groups.setdefault((tuple(names_of[path]), broken), []).append(path)
-    schemas: dict[str, T.StructType] = {}
-    for (names, broken), paths in groups.items():
+            names_of[path] = _names(next(csv.reader([row.head])))
+        if not row.broken and row.head == head and row.heads == 1:
+            if row.lines > 1:
+                schemas[path] = _schema(names_of[path], row)
+        else:
+            groups.setdefault((tuple(names_of[path]), layout_of[path]), []).append(path)
+    for (names, layout), members in list(groups.items()):
+        if layout != QUOTED:
+            continue
+        kept = quoted_records(spark, members).groupBy("path").agg(F.bool_and(F.col("value").rlike(STRICT)).alias("good"))
+        good = {_path_key(row.path) for row in kept.collect() if row.good}
+        for path in members:
+            if _path_key(path) not in good:
+                # Quotes inside plain cells open nothing: only a whole read tells.
+                layout_of[path] = WHOLE
+                groups.setdefault((names, WHOLE), []).append(path)
+        groups[names, layout] = [p for p in members if layout_of[p] == QUOTED]
+    for (names, layout), members in groups.items():
+        if not members:
+            continue
         places = [f"c{i}" for i in range(len(names))]
-        cells = _cells(spark, places, broken, paths)
-        fits = []
-        for i, place in enumerate(places):
-            cell = F.col(place)
-            tests = [
-                F.coalesce(
-                    F.bool_and(F.when(cell.isNotNull(), cell.rlike(look) & cell.try_cast(kind).isNotNull())),
-                    F.lit(False),
-                )
-                for kind, look in CELL_TYPES
-            ]
-            fits.append(F.array(*tests).alias(f"f{i}"))
-        found = cells.groupBy(decoded_path(F.col("_metadata.file_path")).alias("path")).agg(*fits)
-        for row in found.collect():
-            kinds = [
-                next((kind for (kind, _), fit in zip(CELL_TYPES, row[f"f{i}"]) if fit), T.StringType())
-                for i in range(len(names))
-            ]
-            schemas[_path_key(row.path)] = T.StructType(
-                [T.StructField(n, k, True) for n, k in zip(names, kinds)]
-            )
+        cells = _cells(spark, places, layout, members)
+        rows = cells.groupBy(PATH).agg(*_fits([F.col(place) for place in places])).collect()
+        by_path = {_path_key(row[PATH]): _schema(list(names), row) for row in rows}
+        schemas |= {p: by_path[_path_key(p)] for p in members if _path_key(p) in by_path}
     result = []
     for path, name in listed:
-        schema = schemas.get(_path_key(path))
         text = T.StructType([T.StructField(n, T.StringType(), True) for n in names_of[path]])
-        broken = heads[_path_key(path)][1]
-        result.append(CsvFile(path, name, schema or text, schema is None, broken))
+        schema = schemas.get(path)
+        result.append(CsvFile(path, name, schema or text, schema is None, layout_of[path]))
     return result
 
 
 def read_csv(spark: SparkSession, like: CsvFile, paths: list[str]) -> DataFrame:
     """Rows of files that share the schema and the layout of ``like``, with
     ``source_file``. Every cell fits its type."""
-    cells = _cells(spark, like.schema.names, like.multi_line, paths)
+    cells = _cells(spark, like.schema.names, like.layout, paths)
     typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in like.schema]
-    return cells.select(*typed, decoded_path(F.col("_metadata.file_name")).alias("source_file"))
+    return cells.select(*typed, F.col(FILE).alias("source_file"))
 
 
 def write_report_csv(df: DataFrame, path: str, rows: int) -> None:

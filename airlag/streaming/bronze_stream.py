@@ -5,12 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlag.functions.columns import decoded_path
 from airlag.sources.bronze import append_files
 from airlag.sources.csv_files import inspect_files
 from airlag.sources.tables import AppendTable
 
 
+def new_files(spark: SparkSession, folder: str, files_per_batch: int) -> DataFrame:
+    """A stream of ``path, name`` of arriving CSV files. Of a binary file only
+    the columns asked for are read, and its content is not."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("pathGlobFilter", "*.csv")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(folder)
+    )
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+
+
 def ingest_stream(
     spark: SparkSession,
     folder: str,
@@ -20,25 +32,19 @@ def ingest_stream(
 ) -> None:
     """Process all files not seen before by this checkpoint, then stop.
 
-    The stream tells which files are new; each micro-batch types its files from
-    all their cells and appends them, as a load of the folder does. What names a
+    The stream tells which files are new, by name and time alone: it reads no
+    content. Each micro-batch types its files from all their cells and appends
+    them, as a load of the folder does. What names a
     micro-batch is this checkpoint with the batch number, kept beside the
     version: a batch replayed after a failure adds nothing twice, and rows that
     came into the table another way stand in nobody's way. Files without rows
     add nothing.
     """
-    files = (
-        spark.readStream.format("text")
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(folder)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"))
-    )
+    files = new_files(spark, folder, files_per_batch)
 
     def append(batch: DataFrame, number: int) -> None:
         # At most files_per_batch names.
-        names = batch.distinct().select(decoded_path(F.col("path")), decoded_path(F.col("name")))
-        found = sorted((tuple(row) for row in names.collect()), key=lambda pair: pair[1])
+        found = sorted((tuple(row) for row in batch.collect()), key=lambda pair: pair[1])
         if found:
             append_files(spark, inspect_files(spark, found), table, token=f"{checkpoint}#{number}")
 

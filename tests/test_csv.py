@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airlag.config import Settings
+from airlag.operators.layout import bucket_of, range_bounds, sortable
 from airlag.plans.stages import (
     Lakehouse,
     load_bronze,
@@ -19,7 +20,7 @@ from airlag.session import materialize, path_exists, run_scratch
 from airlag.sources.bronze import append_files, ingest_csv, inspect_all
 from airlag.sources.csv_files import list_csv
 from airlag.sources.tables import AppendTable
-from airlag.streaming.bronze_stream import ingest_stream
+from airlag.streaming.bronze_stream import ingest_stream, new_files
 
 
 @pytest.fixture
@@ -237,3 +238,72 @@ def test_a_run_leaves_no_scratch_behind(spark):
         assert root in stored.inputFiles()[0]
     assert not path_exists(spark, root)
     assert not materialize(spark.range(3)).inputFiles()[0].startswith(root)
+
+
+def test_a_quoted_file_is_read_by_many_tasks(spark, raw, table, monkeypatch):
+    """Records that cross lines and blocks; blocks of 300 bytes."""
+    rows = [(i, f'cell {i}\n"say" {"x" * (i % 40)}\n\nend' if i % 3 else f"plain {i}") for i in range(200)]
+    lines = ["n,t"]
+    lines += [f'{n},"{t.replace(chr(34), chr(34) * 2)}"' if "\n" in t else f"{n},{t}" for n, t in rows]
+    put(raw, "a.csv", *lines)
+    put(raw, "b.csv", "n,t", '7,"x', 'y"')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        files = inspect_all(spark, str(raw))
+        assert [f.layout for f in files] == ["quoted", "quoted"]
+        assert [f.dataType.simpleString() for f in files[0].schema] == ["bigint", "string"]
+        assert spark.read.text(files[0].path).rdd.getNumPartitions() > 20
+        ingest_csv(spark, str(raw), table)
+        found = sorted((r.n, r.t) for r in table.read().where("source_file = 'a.csv'").collect())
+        assert found == rows
+        assert [r.t for r in table.read().where("source_file = 'b.csv'").collect()] == ["x\ny"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quotes_inside_plain_cells(spark, raw, table):
+    """They open nothing; such a file is read from its start to its end."""
+    put(raw, "a.csv", "n,t", '1,5" pipe', "2,x", '3,"two', 'lines"')
+    assert inspect_all(spark, str(raw))[0].layout == "whole"
+    ingest_csv(spark, str(raw), table)
+    assert {r.n: r.t for r in table.read().collect()} == {1: '5" pipe', 2: "x", 3: "two\nlines"}
+
+
+def test_headers_that_come_again(spark, raw, table):
+    put(raw, "a.csv", "n,t", "1,x", "n,t", "2,y")
+    put(raw, "b.csv", "t,n", "x,1")
+    put(raw, "c.csv", "n,t", "3,z")
+    found = inspect_all(spark, str(raw))
+    assert [[f.dataType.simpleString() for f in x.schema] for x in found] == [
+        ["string", "string"], ["string", "bigint"], ["bigint", "string"],
+    ]
+    ingest_csv(spark, str(raw), table)
+    assert table.read().count() == 5
+
+
+def test_the_stream_reads_no_content(spark, raw, tmp_path):
+    put(raw, "a 1.csv", "n", "1")
+    put(raw, "b.txt", "n", "1")
+    query = new_files(spark, str(raw), 1).writeStream.format("memory").queryName("names")
+    query = query.option("checkpointLocation", str(tmp_path / "names")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [(r.name, r.path.endswith("/raw/a 1.csv")) for r in spark.table("names").collect()] == [("a 1.csv", True)]
+    plan = query._jsq.explainInternal(False)
+    assert "ReadSchema: struct<path:string>" in plan
+
+
+def test_sortable_text_keeps_its_order(spark):
+    words = ["", "A", "AB", "ABCDEFG", "ABCDEFH", "B", "a", "zz", "é", "日本"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").withColumn("k", sortable(F.col("w"), "string"))
+    rows = sorted(df.collect(), key=lambda r: r.w.encode())
+    assert [r.k for r in rows] == sorted(r.k for r in rows)
+
+
+def test_buckets_follow_bounds(spark):
+    df = spark.range(1000).withColumn("v", F.pmod(F.xxhash64("id"), F.lit(100)).cast("int"))
+    bounds = range_bounds(df, ["v"], 3)["v"]
+    placed = df.withColumn("b", bucket_of(F.col("v"), bounds, 3)).collect()
+    assert len(bounds) == 7
+    assert all(r.b == sum(x < r.v for x in bounds) for r in placed)
+    assert {r.b for r in placed} == set(range(8))
