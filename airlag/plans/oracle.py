@@ -606,6 +606,9 @@ LEARN = {
     "stages_end_to_end": "WITH "
     + ", ".join([FLIGHTS, FLOWN, cleaned(), STAGED, AIRLINE])
     + " SELECT * FROM airline_mart",
+    "incremental_run": "WITH "
+    + ", ".join([FLIGHTS, FLOWN, cleaned(), STAGED, AIRLINE])
+    + " SELECT * FROM airline_mart",
     "pipeline_end_to_end": "WITH "
     + ", ".join([FLIGHTS, FLOWN, cleaned(), STAGED, AIRLINE, AIRPORT, ROUTE, TIME, FEATURES])
     + "".join(

@@ -94,9 +94,15 @@ def process_silver(house: Lakehouse, coalesce_layouts: bool = False) -> int | No
     rows = C.clean(house.bronze.read(), BATCH_ORDER, coalesce_layouts)
     if rows.isEmpty():  # before the dedup, so that the first row found answers
         return None
+    mark = merged_mark(house.bronze.version())
     if house.silver.exists():
-        return house.silver.merge(materialize(earliest(rows)), BUSINESS_KEY, PARTITIONS)
-    return house.silver.write(earliest(rows), PARTITIONS)
+        return house.silver.merge(materialize(earliest(rows)), BUSINESS_KEY, PARTITIONS, mark)
+    return house.silver.write(earliest(rows), PARTITIONS, token=mark)
+
+
+def merged_mark(batch: int) -> str:
+    """What a silver version is marked with: the last batch that is in it."""
+    return f"bronze:{batch}"
 
 
 def maintain_silver(house: Lakehouse) -> None:

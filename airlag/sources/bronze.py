@@ -35,10 +35,38 @@ def ingest_csv(spark: SparkSession, folder: str, table: AppendTable) -> list[int
     return append_files(spark, inspect_all(spark, folder), table)
 
 
+def new_files(spark: SparkSession, folder: str, table: AppendTable) -> dict[str, tuple[str, str]]:
+    """Name -> (path, mark) of the files that the table has not loaded yet. A
+    file is known by its name, size and time, so a changed one is new. Files are
+    listed, not read, and held against the log in Spark."""
+    listed = dict((name, path) for path, name in list_csv(spark, folder))
+    files = spark.read.format("binaryFile").load(list(listed.values()))
+    seen = F.concat_ws("|", F.element_at(F.split("path", "/"), -1), "length", F.unix_millis("modificationTime"))
+    marked = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), seen.alias("token"))
+    log = table.log()
+    if log is not None:
+        marked = marked.join(log.select("token"), "token", "left_anti")
+    return {row.name: (listed[row.name], row.token) for row in marked.collect()}
+
+
+def ingest_new(spark: SparkSession, folder: str, table: AppendTable) -> list[int]:
+    """Append the files that are not in the table yet, as ``ingest_csv`` does."""
+    found = new_files(spark, folder, table)
+    if not found:
+        return []
+    files = inspect_files(spark, sorted(((path, name) for name, (path, _) in found.items()), key=lambda x: x[1]))
+    return append_files(spark, files, table, tokens={name: mark for name, (_, mark) in found.items()})
+
+
 def append_files(
-    spark: SparkSession, files: list[CsvFile], table: AppendTable, token: str | None = None
+    spark: SparkSession,
+    files: list[CsvFile],
+    table: AppendTable,
+    token: str | None = None,
+    tokens: dict[str, str] | None = None,
 ) -> list[int]:
-    """Append inspected files; with a ``token``, at most once for each token."""
+    """Append inspected files; with a ``token``, or ``tokens`` by file name, at
+    most once for each token."""
     added: list[int] = []
     filled = [f for f in files if not f.empty]
     for _, run in groupby(filled, key=lambda f: (f.schema.json(), f.layout)):
@@ -46,9 +74,9 @@ def append_files(
         first = table.next_version()
         ids = [first + i for i in range(len(batch))]
         rows = tag_batches(spark, batch, ids)
-        tokens = None if token is None else [f"{token}/{f.name}" for f in batch]
+        marks = [f"{token}/{f.name}" for f in batch] if token else tokens and [tokens[f.name] for f in batch]
         operation = "stream" if token else "append" if first else "overwrite"
-        added += table.append(rows, ids, operation, tokens)
+        added += table.append(rows, ids, operation, marks)
     return added
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from airlag.functions.columns import decoded_path
 from airlag.operators.layout import rebalance, zorder_layout
 from airlag.operators.merge import merge_upsert, never_null
-from airlag.session import path_exists
+from airlag.session import materialize, path_exists
 
 TARGET_BYTES = 256 * 1024 * 1024
 LOG_SCHEMA = T.StructType(
@@ -177,14 +177,17 @@ class AppendTable(VersionedTable):
             .parquet(*folders)
         )
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """Batches up to ``version``, with ``batch_id`` as last column.
+    def read(self, version: int | None = None, after: int | None = None) -> DataFrame:
+        """Batches up to ``version``, or those ``after`` one, with ``batch_id``
+        as last column.
 
         The schemas come from the log, so no file footers are merged.
         """
         log = self.log()
         if log is None:
             raise FileNotFoundError(f"no table at {self.path}")
+        if after is not None:
+            log = log.where(F.col("version") > after)
         if version is not None:
             log = log.where(F.col("version") <= version)
         groups: dict[str, list[int]] = {}
@@ -261,8 +264,10 @@ class SnapshotTable(VersionedTable):
         operation: str = "overwrite",
         keep: Sequence[str] = (),
         arranged: bool = False,
+        token: str | None = None,
     ) -> int:
-        """Commit ``df`` plus the ``keep`` folders of the newest version.
+        """Commit ``df`` plus the ``keep`` folders of the newest version, with a
+        ``token`` that names what the version was made from.
 
         Partitioned rows are rebalanced by partition first: a small partition
         becomes one file, and a hot one is split over several tasks. Rows that
@@ -289,12 +294,20 @@ class SnapshotTable(VersionedTable):
             new = [r.folder for r in listed.collect() if r.folder != f"commit={version}"]
         rows = self._read(schema, new).count()  # from file footers
         self._record(
-            [(version, operation, rows, utc_now(), schema.json(), sorted([*keep, *new]), None)]
+            [(version, operation, rows, utc_now(), schema.json(), sorted([*keep, *new]), token)]
         )
         return version
 
+    def folders(self) -> list[str]:
+        """The folders of the newest version."""
+        return list(self._entry(None).folders)
+
     def merge(
-        self, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()
+        self,
+        source: DataFrame,
+        keys: Sequence[str],
+        partition_by: Sequence[str] = (),
+        token: str | None = None,
     ) -> int:
         """Upsert ``source``, which must be stored and unique on ``keys``.
 
@@ -318,7 +331,39 @@ class SnapshotTable(VersionedTable):
             raise ValueError(f"folders {sorted(unknown)} are not part of the table")
         result = merge_upsert(self._read(schema, sorted(touched)), source, keys)
         keep = [f for f in entry.folders if f not in touched]
-        return self.write(result, partition_by, operation="merge", keep=keep)
+        return self.write(result, partition_by, operation="merge", keep=keep, token=token)
+
+    def insert(
+        self,
+        source: DataFrame,
+        keys: Sequence[str],
+        partition_by: Sequence[str] = (),
+        token: str | None = None,
+    ) -> DataFrame:
+        """Add the rows of ``source``, which must be stored, whose key the table
+        does not have; a null key part matches nothing. No folder is rewritten:
+        new rows go beside the old ones. Returns what was added, stored; without
+        such rows there is no new version."""
+        full = never_null(keys)
+        known = self.read().select(*keys).where(full)
+        fresh = source.where(full).join(known, list(keys), "left_anti").select(*source.columns)
+        fresh = materialize(fresh.unionByName(source.where(~full)))
+        if not fresh.isEmpty():
+            self.write(fresh, partition_by, operation="merge", keep=self.folders(), token=token)
+        return fresh
+
+    def replace_partitions(
+        self, rows: DataFrame, partition_by: Sequence[str], parts: Sequence[tuple]
+    ) -> int:
+        """A version in which the partitions ``parts`` hold ``rows``; the folders
+        of all others pass into it by name. A table that has no partitions yet
+        must get all its rows."""
+        gone = {_part_folder(partition_by, part) for part in parts}
+        keep = [f for f in self.folders() if _partition(f) and _partition(f) not in gone] if self.exists() else []
+        return self.write(rows, partition_by, operation="overwrite", keep=keep)
+
+    def partitioned(self) -> bool:
+        return self.exists() and all(_partition(f) for f in self.folders())
 
     def compact(self, partition_by: Sequence[str], target_bytes: int = TARGET_BYTES) -> int:
         """Rewrite partitions that hold two or more files below the target size.
@@ -373,6 +418,11 @@ class SnapshotTable(VersionedTable):
         return self.write(arranged, partition_by, operation="zorder", keep=keep, arranged=True)
 
 
+def _part_folder(names: Sequence[str], values: tuple) -> str:
+    spelled = ("__HIVE_DEFAULT_PARTITION__" if v is None else v for v in values)
+    return "".join(f"/{n}={v}" for n, v in zip(names, spelled))
+
+
 def _partition(folder: str) -> str:
     """The partition part of a folder name."""
     return re.sub("^commit=[0-9]+", "", folder)
