@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -48,10 +49,18 @@ NEEDS = {
     "phone": (lambda t: F.instr(t, "+") > 0, lambda t: t.rlike(r"[0-9]{3}\)?[\x20.-]\x20?[0-9]{3}")),
 }
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+# Endings of mail hosts, generic ones and those of countries.
+ENDINGS = (
+    "com org net edu gov mil int info biz name pro mobi io ai app dev cloud online site store shop tech blog news "
+    "ac ae al am ar at au az ba be bg bo br by ca cc ch ci cl cm cn co cr cu cy cz de dk do dz ec ee eg es et eu fi fr "
+    "ge gh gr gt hk hn hr hu id ie il in iq ir is it jm jo jp ke kh kr kw kz lb li lk lt lu lv ly ma md me mk mn mo mt "
+    "mu mx my na ng ni nl no np nz om pa pe ph pk pl pr ps pt py qa ro rs ru sa se sg si sk sn sv sy th tn tr tv tw tz "
+    "ua ug uk us uy uz ve vn za zm zw"
+).split()
 #: Gazetteers, as patterns over a candidate's text: endings of mail hosts, card
 #: issuers' first digits, calling codes, and address blocks that are in use.
 KNOWN = {
-    "email": r"(?i)(?:\.|dot\x20?[\])]\x20?)(?:com|org|net|edu|gov|info|io|eu|de|fr|es|it|uk|us|ch|at|nl)$",
+    "email": rf"(?i)(?:\.|dot\x20?[\])]\x20?)(?:{'|'.join(ENDINGS)})$",
     "ip": r"^(?:[1-9]|[1-9][0-9]|1[0-9]{2}|2[01][0-9]|22[0-3])\.|:",
     "card": r"^(?:4|5[1-5]|2[2-7]|3[045678]|6[045])",
     "phone": r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])|^\(?[2-9][0-9]{2}",
@@ -113,11 +122,22 @@ def _votes(kind: str, exact: bool, value: Column, before: Column, after: Column)
     ]
 
 
+#: Matches that are placed one after the other; their places follow from the
+#: lengths of such stretches, so the work grows with the number of matches.
+STRETCH = 64
 SPAN = "array<struct<begin: int, end: int, value: string, before: string, after: string>>"
 
 
-def _placed(hits: str, gaps: str) -> Column:
-    """Matches with their places, from the matches and the text between them."""
+def _zipped(hits: str, gaps: str) -> Column:
+    """Matches with the text before and after each."""
+    count = F.size(hits)
+    return F.arrays_zip(
+        F.slice(gaps, 1, count).alias("0"), F.col(hits).alias("1"), F.slice(gaps, 2, count).alias("2")
+    )
+
+
+def _stretches(zipped: str) -> Column:
+    """Stretches of matches, placed from the start of each, and their lengths."""
 
     def step(state: Column, at: Column) -> Column:
         begin = state["place"] + F.length(at["0"])
@@ -128,14 +148,47 @@ def _placed(hits: str, gaps: str) -> Column:
         )
         return F.struct(F.concat(state["spans"], F.array(span)).alias("spans"), end.alias("place"))
 
-    count = F.size(hits)
-    zipped = F.arrays_zip(
-        F.slice(gaps, 1, count).alias("0"), F.col(hits).alias("1"), F.slice(gaps, 2, count).alias("2")
-    )
     start = F.struct(F.array().cast(SPAN).alias("spans"), F.lit(0).alias("place"))
-    return F.when(count > 0, F.aggregate(zipped, start, step, lambda s: s["spans"])).otherwise(
-        F.array().cast(SPAN)
-    )
+    count = F.floor((F.size(zipped) + STRETCH - 1) / STRETCH).cast("int")
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(numbers, lambda i: F.aggregate(F.slice(zipped, i * STRETCH + 1, STRETCH), start, step))
+
+
+def _placed(parts: str) -> Column:
+    """All matches with their places in the text."""
+    start = F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("place"))
+    begins = F.aggregate(
+        parts, start,
+        lambda s, p: F.struct(
+            F.concat(s["at"], F.array(s["place"])).alias("at"), (s["place"] + p["place"]).alias("place")
+        ),
+        lambda s: s["at"],
+    )
+
+    def moved(part: Column, by: Column) -> Column:
+        return F.transform(
+            part["spans"],
+            lambda s: F.struct(
+                (s["begin"] + by).alias("begin"), (s["end"] + by).alias("end"),
+                s["value"].alias("value"), s["before"].alias("before"), s["after"].alias("after"),
+            ),
+        )
+
+    return F.flatten(F.zip_with(parts, begins, moved))
+
+
+def _number_before(spans: str, bound: Column, field: str) -> Column:
+    """How many of the spans, which are in order, have ``field`` below a bound:
+    by halving, in as many steps as a number of spans can have bits."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(STEPS))])
+    return F.aggregate(
+        steps, F.lit(0),
+        lambda at, step: at + F.when(F.get(spans, at + step - 1)[field] < bound, step).otherwise(0),
+    )
+
+
+#: Bits of the largest number of spans of one kind in a text.
+STEPS = 26
 
 
 def _described(kind: str, exact: bool):
@@ -148,7 +201,7 @@ def _described(kind: str, exact: bool):
         base = _valid(kind, value) if exact else F.lit(False)
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"), span["begin"].alias("begin"),
-            span["end"].alias("end"), base.alias("base"),
+            span["end"].alias("end"), F.lit(exact).alias("exact"), base.alias("base"),
             *_votes(kind, exact, value, span["before"], span["after"]),
             F.least(digits, F.lit(20)).alias("digits"),
             F.least(F.length(value), F.lit(40)).alias("size"),
@@ -161,30 +214,63 @@ def _described(kind: str, exact: bool):
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, spans``: every candidate of each text, with its votes.
 
-    One row per input row, no shuffle. A span has kind (its number), begin, end
-    (code points, end exclusive), ``base`` (a valid match of an exact pattern),
-    the labelers' votes (1, 0 or -1) and its shape. Null text has none.
+    One row per input row, no shuffle; rows that repeat and null ids are rows
+    like others, and only the two named columns are read. A span has kind (its
+    number), begin, end (code points, end exclusive), ``exact`` (which of the two
+    patterns), ``base`` (a valid match of an exact one), the labelers' votes (1,
+    0 or -1) and its shape. Null and empty texts have none. Texts are read whole,
+    and the work grows with the number of matches, however long a text is.
     """
     text = F.col("text")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     sources = [(k, e) for e in (True, False) for k in KINDS]
-    columns, placed, spans = ["doc_id"], ["doc_id"], []
+    found, zipped, parts, placed, spans = [["doc_id"] for _ in range(4)] + [[]]
     for kind, exact in sources:
         name = f"{kind}_{'exact' if exact else 'loose'}"
         hits, gaps = _matches(text, (EXACT if exact else LOOSE)[kind], NEEDS[kind][0 if exact else 1](text))
-        columns += [hits.alias(f"{name}_hits"), gaps.alias(f"{name}_gaps")]
-        found = _placed(f"{name}_hits", f"{name}_gaps")
+        found += [hits.alias(f"{name}_hits"), gaps.alias(f"{name}_gaps")]
+        # A column for each step: an expression inside a lambda would be
+        # evaluated again for every element.
+        zipped.append(_zipped(f"{name}_hits", f"{name}_gaps").alias(name))
+        parts.append(_stretches(name).alias(name))
+        spot = _placed(name)
         if exact and kind == "card":
             # Short numbers are no candidates, only ones of a card's length are.
-            found = F.filter(
-                found, lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", "")).between(12, 19)
+            spot = F.filter(
+                spot, lambda s: F.length(F.regexp_replace(s["value"], "[^0-9]", "")).between(12, 19)
             )
-        placed.append(found.alias(name))
-
+        placed.append(spot.alias(name))
         spans.append(F.transform(name, _described(kind, exact)))
-    return rows.select(*columns).select(*placed).select("doc_id", F.concat(*spans).alias("spans"))
+    for step in (found, zipped, parts, placed):
+        rows = rows.select(*step)
+    return rows.select("doc_id", F.concat(*spans).alias("spans"))
+
+
+def clear_spans(stored: DataFrame) -> DataFrame:
+    """The base spans, and of the others those that overlap none of them.
+
+    Base spans of one kind are in order and do not overlap, so the last one that
+    begins before a span's end is the only one of its kind to be looked at.
+    """
+    names = [f"base_{kind}" for kind in KINDS]
+
+    def of_kind(kind: int) -> Column:
+        return F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+
+    sides = [of_kind(kind) for kind in range(len(KINDS))]
+    split = stored.select("doc_id", "spans", *[side.alias(n) for n, side in zip(names, sides, strict=True)])
+
+    def hit(span: Column, name: str) -> Column:
+        last = F.get(name, _number_before(name, span["end"], "begin") - 1)
+        return (F.size(name) > 0) & F.coalesce(last["end"] > span["begin"], F.lit(False))
+
+    def clear(span: Column) -> Column:
+        touched = reduce(lambda a, b: a | b, [hit(span, name) for name in names])
+        return span["base"] | ~touched
+
+    return split.select("doc_id", F.filter("spans", clear).alias("spans"))
 
 
 @dataclass
@@ -301,45 +387,63 @@ def find_pii(
     input row; the texts are read once and not shuffled, candidates are stored
     in between. Texts without candidates, empty and null ones have empty arrays.
     """
-    stored = materialize(candidates(docs, id_col, text_col))
+    stored = materialize(clear_spans(candidates(docs, id_col, text_col)))
     probability = train(stored)
 
-    def overlap(a: Column, b: Column) -> Column:
-        return (a["begin"] < b["end"]) & (b["begin"] < a["end"])
-
     def short(span: Column) -> Column:
         return F.struct(span["begin"].alias("begin"), span["kind"].alias("kind"), span["end"].alias("end"))
 
     base = F.filter("spans", lambda s: s["base"])
-    split = stored.select("doc_id", "spans", base.alias("base"))
     if probability is None:
-        added = F.filter("spans", lambda s: F.lit(False))
+        split = stored.select("doc_id", base.alias("base"), F.filter("spans", lambda s: F.lit(False)).alias("added"))
     else:
-
-        def likely(s: Column) -> Column:
-            apart = ~F.exists("base", lambda b: overlap(s, b))
-            return ~s["base"] & apart & (probability(s) >= threshold)
-
-        others = F.filter("spans", likely)
-        split = split.withColumn(
-            "added", F.transform(others, lambda s: F.struct(probability(s).alias("p"), s.alias("s")))
-        )
-        # Likelier first; of equals, the earlier, then the lower kind.
-        better = lambda a, b: (b["p"] > a["p"]) | (
-            (b["p"] == a["p"])
-            & (F.struct(b["s"]["begin"], b["s"]["kind"]) < F.struct(a["s"]["begin"], a["s"]["kind"]))
-        )
-        kept = F.filter(
-            "added", lambda a: ~F.exists("added", lambda b: overlap(a["s"], b["s"]) & better(a, b))
-        )
-        added = F.transform(kept, lambda a: a["s"])
+        scored = F.transform(
+            F.filter("spans", lambda s: ~s["base"]),
+            lambda s: F.struct(
+                probability(s).alias("p"), s["begin"].alias("begin"), s["end"].alias("end"),
+                s["kind"].alias("kind"), s["exact"].alias("exact"),
+            ),
+        )
+        likely = F.filter("scored", lambda s: s["p"] >= threshold)
+        split = stored.select("doc_id", base.alias("base"), scored.alias("scored"))
+        split = split.select("doc_id", "base", "scored", likely.alias("likely"))
+        split = _best_of_overlapping(split)
     return split.select(
         "doc_id",
         F.array_sort(F.transform("base", short)).alias("base"),
-        F.array_sort(F.transform(added, short)).alias("added"),
+        F.array_sort(F.transform("added", short)).alias("added"),
     )
 
 
+def _best_of_overlapping(split: DataFrame) -> DataFrame:
+    """Adds ``added``: the spans of ``likely`` that no likelier span overlaps.
+
+    Spans of one pattern are in order and do not overlap, so those that touch a
+    span are neighbours, and halving finds the first and the last of them.
+    """
+    names = {f"likely_{k}_{e}": (k, e) for k in range(len(KINDS)) for e in (True, False)}
+
+    def of_pattern(kind: int, exact: bool) -> Column:
+        return F.filter("likely", lambda s: (s["kind"] == kind) & (s["exact"] == F.lit(exact)))
+
+    parts = [of_pattern(*pattern).alias(name) for name, pattern in names.items()]
+
+    def beaten(a: Column, name: str) -> Column:
+        first = _number_before(name, a["begin"] + 1, "end")
+        touching = F.slice(name, first + 1, F.greatest(_number_before(name, a["end"], "begin") - first, F.lit(0)))
+        # Of equals, the earlier is better, then the lower kind.
+        return F.exists(
+            touching,
+            lambda b: (b["p"] > a["p"])
+            | ((b["p"] == a["p"]) & (F.struct(b["begin"], b["kind"]) < F.struct(a["begin"], a["kind"]))),
+        )
+
+    def kept(a: Column) -> Column:
+        return ~reduce(lambda x, y: x | y, [(F.size(n) > 0) & beaten(a, n) for n in names])
+
+    return split.select("*", *parts).select(*split.columns, F.filter("likely", kept).alias("added"))
+
+
 def joined(spans: Column) -> Column:
     """Spans as ``kind:start:end``, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

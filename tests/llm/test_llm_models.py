@@ -226,3 +226,43 @@ def test_reliabilities_are_recovered():
     for p, table in zip(right, known.chance[0], strict=True):
         assert table[1][0] == pytest.approx(p, abs=0.06)
         assert table[-1][1] == pytest.approx(p, abs=0.06)
+
+
+def test_personal_data_in_odd_texts(spark, odd):
+    more = [(30, "write to a.b@c.org, or +1 (202) 555 0147"), (30, "write to a.b@c.org, or +1 (202) 555 0147"), (None, "x@y.zz")]
+    docs = odd.select("doc_id", "text").unionAll(spark.createDataFrame(more, "doc_id long, text string"))
+    docs = docs.withColumns({c: F.lit("clash") for c in ("base", "spans", "added", "likely", "kind")})
+    rows = pii.find_pii(docs).collect()
+    assert len(rows) == len(ODD) + 3
+    of = Counter((r.doc_id, tuple((s.begin, s.kind, s.end) for s in r.base)) for r in rows)
+    assert of[30, ((9, 0, 18), (23, 3, 40))] == 2 and of[None, ((0, 0, 6),)] == 1
+    assert sum(len(r.base) for r in rows) == 5
+
+
+def test_personal_data_in_long_texts(spark, monkeypatch):
+    """Matches are placed in stretches; the work grows with their number."""
+    words = [f"word user{i}@mail{i % 7}.example.com" if i % 4 else f"call 202-555-{i % 10000:04d} now" for i in range(20_000)]
+    text = " ".join(words)
+    docs = spark.createDataFrame([(1, text), (2, "no data"), (3, " ".join(words[:100]))], "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find_pii(docs).collect()}
+    expected = [(m.start(), 0, m.end()) for m in re.finditer(r"user\S+", text)]
+    assert [tuple(s) for s in found[1].base] == expected
+    assert found[2].base == [] and len(found[3].base) == 75
+    phones = {(m.start(), m.end()) for m in re.finditer(r"202-555-\d{4}", text)}
+    assert all(s.kind == 3 and (s.begin, s.end) in phones for s in found[1].added)
+
+
+def test_loose_matches_inside_base_spans_are_no_candidates(spark):
+    docs = spark.createDataFrame([(1, "call +1 202 555 0147 or 303 555 0199")], "doc_id long, text string")
+    every = pii.candidates(docs)
+    kept = pii.clear_spans(every).first().spans
+    assert len(every.first().spans) == 3
+    assert [(s.begin, s.base) for s in sorted(kept, key=lambda s: s.begin)] == [(5, True), (24, False)]
+
+
+def test_the_likeliest_of_overlapping_spans_stays(spark):
+    spans = [(0.95, 0, 10, 0, True), (0.97, 5, 12, 1, True), (0.99, 11, 20, 2, False), (0.91, 30, 40, 0, True), (0.91, 35, 37, 3, False)]
+    kind = "array<struct<p: double, begin: int, end: int, kind: int, exact: boolean>>"
+    df = spark.createDataFrame([(1, spans), (2, [])], f"doc_id long, likely {kind}")
+    found = {r.doc_id: [s.begin for s in r.added] for r in pii._best_of_overlapping(df).collect()}
+    assert found == {1: [11, 30], 2: []}
