@@ -223,10 +223,12 @@ def remove_contaminated(
     docs: DataFrame, items: DataFrame, width: int = 10, block_chars: int = BLOCK_CHARS, text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs``, as they are, without any window of an item. Each
-    block of items is one automaton that the rows pass."""
+    block of items is one automaton that the rows pass; what passed is stored
+    before the next, so a task holds one automaton at a time."""
     keyed = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    for block in item_blocks(keyed, width, block_chars):
-        docs = keep_rows(docs, _Clean(docs.sparkSession.sparkContext.broadcast(block), width), text_col)
+    for number, block in enumerate(item_blocks(keyed, width, block_chars)):
+        passed = materialize(docs) if number else docs
+        docs = keep_rows(passed, _Clean(docs.sparkSession.sparkContext.broadcast(block), width), text_col)
     return docs
 
 

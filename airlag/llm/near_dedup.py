@@ -29,7 +29,7 @@ WORDS, SIMILARITY = 5, 0.8
 #: with one of 8e-8.
 SKETCHES, SAMPLE, GROUPED = 64, 2, 16
 #: Shared sketches below which a pair of a small group is not aligned: at
-#: similarity 0.8 fewer than 18 of 64 have a chance of 3e-9.
+#: similarity 0.8 fewer than 18 of 64 have a chance of 1e-9.
 LEAST_SHARED = 18
 #: Up to so many texts in a group, its pairs are candidates one by one.
 SMALL_GROUP = 16
