@@ -175,7 +175,10 @@ def forest_rows(data: Prepared, tasks: int = 16, rows_per_task: int = ROWS_PER_T
     follows from the number of rows alone, so it grows with the table and does
     not depend on the cluster. (One fit of all trees passes over the rows once
     for each level; a tree by itself, bagged by hash, would do so for each tree.)
+    Rows without the hash column were not prepared here and lie as they come.
     """
+    if ORDER_KEY not in data.train.columns:
+        return data.train
     return in_fixed_order(data.train, max(tasks, -(-data.train_rows // rows_per_task)))
 
 
