@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlag.llm.common import balanced, materialize, strings, text_bytes
-from airlag.llm.encode import Encoder
+from airlag.llm.encode import Encoder, cut_words
 
 #: Bytes of text that are aligned at a time, parts that each encoder keeps,
 #: tokens that are listed, groups that are spelled at a time, and id pairs that
 #: a task sums before it passes them on.
-CHUNK_BYTES, KEEP, LISTED, SPELL_GROUPS, SUM_PAIRS = 4 << 20, 700_000, 1 << 20, 1 << 18, 1 << 21
+CHUNK_BYTES, KEEP, LISTED, SPELL_GROUPS, SUM_PAIRS = 2 << 20, 600_000, 1 << 20, 1 << 18, 1 << 21
 #: The id pairs of highest count, which every task has; all others are joined.
 HEAD_PAIRS = 1 << 18
 
@@ -88,7 +88,16 @@ class Side:
         self.encoder = encoder
         self.bytes = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
         self.sizes = np.array([len(b) for b in self.bytes], np.int64)
-        self.after = {mark: np.array([f"{i}{mark}" for i in range(len(self.bytes))], object) for mark in ",|;"}
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.pool = np.frombuffer(b"".join(self.bytes), np.uint8)
+        # Each id in decimal digits with a mark after it, in bytes of one width.
+        self.after = {mark: np.array([f"{i}{mark}".encode() for i in range(len(self.bytes))]) for mark in ",|;"}
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ids, joined."""
+        size = self.sizes[ids]
+        ends = np.cumsum(size)
+        return self.pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[ids] - ends + size, size)]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -130,7 +139,7 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     raw_a, raw_b = a.tobytes(), b.tobytes()
     n, m = len(a), len(b)
     # Where stretches and irregular groups begin, and the groups of each.
-    begins: list[tuple[int, int, int]] = []
+    begins: list[int] = []
     i = j = 0
     while i < n:
         x, y = ends_a[i], ends_b[j]
@@ -155,11 +164,11 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                             high = middle
                     break
                 low, step = high, step * 2
-            begins.append((i, j, low))
+            begins += (i, j, low)
             i += low
             j += low
         else:
-            begins.append((i, j, 1))
+            begins += (i, j, 1)
             while x != y:
                 if x < y:
                     i += 1
@@ -169,7 +178,8 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                     y = ends_b[j]
             i += 1
             j += 1
-    table = np.array([*begins, (n, m, 0)], np.int64)
+    begins += (n, m, 0)
+    table = np.array(begins, np.int64).reshape(-1, 3)
     groups = table[:-1, 2]
     sizes = np.diff(table[:, :2], axis=0) // groups[:, None]
     size_a, size_b = (np.repeat(sizes[:, side], groups) for side in (0, 1))
@@ -186,21 +196,22 @@ def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def spelled_groups(
     a: Side, b: Side, ids_a: np.ndarray, ids_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray
-) -> Iterator[str]:
-    """``a1,a2|b1;a3|b2,b3``, in strings of some groups each."""
+) -> Iterator[bytes]:
+    """``a1,a2|b1;a3|b2,b3``, in pieces of some groups each."""
     stop_a, stop_b = np.cumsum(size_a), np.cumsum(size_b)
     for g in range(0, len(size_a), SPELL_GROUPS):
         h = min(g + SPELL_GROUPS, len(size_a))
         from_a, from_b = stop_a[g] - size_a[g], stop_b[g] - size_b[g]
         x, y = ids_a[from_a : stop_a[h - 1]], ids_b[from_b : stop_b[h - 1]]
         end_a, end_b = stop_a[g:h] - from_a, stop_b[g:h] - from_b
-        words = np.empty(len(x) + len(y), object)
+        words = np.empty(len(x) + len(y), max(a.after[","].dtype, b.after[","].dtype, key=lambda d: d.itemsize))
         # Tokens of the other side that stand before each token.
         at_a = np.arange(len(x)) + np.repeat(end_b - size_b[g:h], size_a[g:h])
         at_b = np.arange(len(y)) + np.repeat(end_a, size_b[g:h])
         words[at_a], words[at_b] = a.after[","][x], b.after[","][y]
         words[at_a[end_a - 1]], words[at_b[end_b - 1]] = a.after["|"][x[end_a - 1]], b.after[";"][y[end_b - 1]]
-        joined = "".join(words.tolist())
+        # Shorter numbers are filled up with zero bytes.
+        joined = words.tobytes().replace(b"\0", b"")
         yield joined if h < len(size_a) else joined[:-1]
 
 
@@ -223,12 +234,11 @@ def _same_bytes(side: Side, ids: np.ndarray, sizes: np.ndarray, bounds: np.ndarr
     ends = np.cumsum(sizes)
     total = np.concatenate([[0], np.cumsum(side.sizes[ids])])
     good = total[ends] - total[ends - sizes] == np.diff(bounds)
-    spelled = side.bytes
-    if good.all() and b"".join([spelled[i] for i in ids.tolist()]) == data.tobytes():
+    if good.all() and np.array_equal(side.spell(ids), data):
         return good
     for i in np.flatnonzero(good).tolist():
-        own = ids[ends[i] - sizes[i] : ends[i]].tolist()
-        good[i] = b"".join([spelled[x] for x in own]) == data[bounds[i] : bounds[i + 1]].tobytes()
+        own = ids[ends[i] - sizes[i] : ends[i]]
+        good[i] = np.array_equal(side.spell(own), data[bounds[i] : bounds[i + 1]])
     return good
 
 
@@ -236,7 +246,8 @@ def _aligned_rows(a: Side, b: Side, texts: pa.Array) -> Iterator[tuple]:
     """The columns of ``ALIGNED`` after ``row`` for each text."""
     led = pa.array([" " + t for t in texts.to_pylist()], pa.large_string())
     bounds, data = text_bytes(led)
-    (ids_a, sizes_a), (ids_b, sizes_b) = a.encoder.encode(led), b.encoder.encode(led)
+    words = cut_words(led)
+    (ids_a, sizes_a), (ids_b, sizes_b) = a.encoder.encode(led, words), b.encoder.encode(led, words)
     good = (np.diff(bounds) > 1) & _same_bytes(a, ids_a, sizes_a, bounds, data)
     good &= _same_bytes(b, ids_b, sizes_b, bounds, data)
     each_a, each_b = np.split(ids_a, np.cumsum(sizes_a)[:-1]), np.split(ids_b, np.cumsum(sizes_b)[:-1])
@@ -249,7 +260,7 @@ def _aligned_rows(a: Side, b: Side, texts: pa.Array) -> Iterator[tuple]:
         link_a, link_b = links(*ends)
         digest = hashlib.sha256()
         for part in spelled_groups(a, b, x, y, size_a, size_b):
-            digest.update(part.encode())
+            digest.update(part)
         pairs = x[link_a].astype(np.int64) << _ID_BITS | y[link_b]
         distinct, n = np.unique(pairs, return_counts=True)
         yield len(x), len(y), len(size_a), len(pairs), digest.hexdigest(), pack_pairs(distinct, n)

@@ -67,6 +67,20 @@ def split_safely(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+class Words:
+    """A column of texts, cut at every space: the distinct words, which of them
+    end in white space or are empty, and each text's words by number."""
+
+    def __init__(self, texts: pa.Array):
+        lists = pc.split_pattern(texts, " ")
+        self.counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        words, self.codes = coded.dictionary, coded.indices.to_numpy()
+        self.blank = pc.match_substring_regex(words, _ENDS_BLANK).to_numpy(zero_copy_only=False)
+        self.empty = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+        self.spelled = words.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Encodes columns of texts by one tokenizer file, one per Python worker.
 
@@ -171,19 +185,14 @@ class Encoder:
             rows[new] = [found[parts[i]] for i in new.tolist()]
         return rows
 
-    def _parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _parts(self, texts: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """(row of each part, number of parts per text) of a column."""
-        lists = pc.split_pattern(texts, " ")
-        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = lists.flatten().dictionary_encode()
-        words, codes = coded.dictionary, coded.indices.to_numpy()
+        counts, codes, spelled = words.counts, words.codes, words.spelled
         ends = np.cumsum(counts)
         first, last = ends - counts, ends - 1
-        blank = pc.match_substring_regex(words, _ENDS_BLANK).to_numpy(zero_copy_only=False)
-        empty = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
-        spelled = words.to_numpy(zero_copy_only=False).tolist()
         rows = self._rows(spelled, " ")[codes]
         rows[first] = self._rows([spelled[i] for i in codes[first].tolist()])
+        blank, empty = words.blank, words.empty
         if blank.any() or empty.any():
             unsafe = (blank | empty)[codes]
             unsafe[first] = blank[codes[first]]
@@ -202,10 +211,11 @@ class Encoder:
         if len(self.row) + len(self.first) > keep or self.used > 16 * keep:
             self._forget()
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, number of ids per text)."""
+    def encode(self, texts: pa.Array, words: list[Words] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids per text). ``words``: what ``cut_words`` gives
+        for the texts, where several encoders share it."""
         found, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        for ids, size in self._wholes(texts) if self.whole else map(self._joined, self._each(texts)):
+        for ids, size in self._wholes(texts) if self.whole else map(self._joined, self._each(texts, words)):
             found.append(ids)
             sizes.append(size)
         return np.concatenate(found), np.concatenate(sizes)
@@ -224,10 +234,10 @@ class Encoder:
         ids, size = self._gather(rows)
         return ids, _sums(size, counts)
 
-    def _each(self, texts: pa.Array):
+    def _each(self, texts: pa.Array, words: list[Words] | None = None):
         texts = strings(texts)
-        for part in balanced(texts, SPLIT_BYTES):
-            yield self._parts(texts[part])
+        for i, part in enumerate(balanced(texts, SPLIT_BYTES)):
+            yield self._parts(texts[part], words[i] if words else Words(texts[part]))
             self._trim()
 
     def _wholes(self, texts: pa.Array):
@@ -237,6 +247,12 @@ class Encoder:
             yield np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
 
 
+def cut_words(texts: pa.Array) -> list[Words]:
+    """The words of each stretch of a column that encoders take at once."""
+    texts = strings(texts)
+    return [Words(texts[part]) for part in balanced(texts, SPLIT_BYTES)]
+
+
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])
     ends = np.cumsum(counts)
