@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -32,10 +33,14 @@ def get_spark(app: str = "airlag", master: str | None = None, **conf: str) -> Sp
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where that is not set, one
-    beside the tables in ``spark.sql.warehouse.dir``. All executors see both."""
+    """The folder named by ``spark.checkpoint.dir``; where that is not set, on a
+    single machine, one beside the tables in ``spark.sql.warehouse.dir``. On a
+    cluster that may be a local path that other executors do not see, so there
+    the setting is needed."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base and not re.match(r"local(\[|$)", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
