@@ -11,12 +11,12 @@ equal bits by accident is taken out.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlag.llm.common import balanced, partitions, strings, text_bytes
@@ -24,8 +24,13 @@ from airlag.llm.common import balanced, partitions, strings, text_bytes
 BINS, BITS, WORDS = 512, 4, 5
 #: Bytes of text, and texts, that are hashed at once.
 CHUNK_BYTES, CHUNK_ROWS = 2 << 20, 2_048
+#: Bytes, and shingles, of one long text that are worked on at once.
+BLOCK_BYTES, BLOCK_SHINGLES = 4 << 20, 1 << 20
+#: Characters of a text that order rows of one id before their hash does.
+HEAD = 16
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_BLANK = np.isin(np.arange(256), [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20])
 _SPREAD = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(256)], np.uint64)
 
 
@@ -37,23 +42,44 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, words per text); words are parted by ASCII white space."""
+    """(hash of every word, words per text); words are parted by ASCII white
+    space. Texts are hashed in blocks of bytes; a word that a block cuts goes on
+    in the next with its sum and place, so 8 bytes a word are held, not what
+    hashing takes for each byte."""
     bounds, data = text_bytes(texts)
-    first = np.zeros(len(data) + 1, bool)
-    first[bounds[:-1]] = True
-    solid = (data > 0x20) | ((data < 0x09) | ((data > 0x0D) & (data < 0x20)))
-    heads = solid.copy()
-    heads[1:] &= ~solid[:-1] | first[1:-1]
-    heads = np.flatnonzero(heads)
-    if not len(heads):
-        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
-    spans = np.diff(heads, append=len(data))
-    place = np.arange(len(data)) - np.concatenate([np.arange(heads[0]), np.repeat(heads, spans)])
-    # Blocks of a long word differ by their number, so no place is used twice.
-    spread = _SPREAD[place & 255] + (place >> 8).astype(np.uint64) * _M2
-    mixed = np.where(solid, mix(data.astype(np.uint64) + spread), np.uint64(0))
-    counts = np.diff(np.searchsorted(heads, bounds))
-    return mix(np.add.reduceat(mixed, heads)), counts
+    sums, heads = [], []
+    open_length = 0
+    for begin in range(0, len(data), BLOCK_BYTES):
+        part = data[begin : begin + BLOCK_BYTES]
+        fresh = np.zeros(len(part), bool)
+        low, high = np.searchsorted(bounds, [begin, begin + len(part)])
+        fresh[bounds[low:high] - begin] = True
+        solid = ~_BLANK[part]
+        at = solid.copy()
+        at[1:] &= ~solid[:-1] | fresh[1:]
+        at = np.flatnonzero(at)
+        goes_on = bool(open_length and solid[0] and not fresh[0])
+        if len(at):
+            spans = np.diff(at, append=len(part))
+            place = np.arange(len(part)) - np.concatenate([np.arange(at[0]), np.repeat(at, spans)])
+            if goes_on:
+                place[: spans[0]] += open_length
+            # Stretches of a long word differ by their number, so no place is used twice.
+            spread = _SPREAD[place & 255] + (place >> 8).astype(np.uint64) * _M2
+            mixed = np.where(solid, mix(part.astype(np.uint64) + spread), np.uint64(0))
+            found = np.add.reduceat(mixed, at)
+            open_length = int(place[-1]) + 1 if solid[-1] else 0
+            if goes_on:
+                sums[-1][-1:] += found[:1]
+                found, at = found[1:], at[1:]
+            if len(at):
+                sums.append(found)
+                heads.append(at + begin)
+        else:
+            open_length = 0
+    hashes = mix(np.concatenate(sums)) if sums else np.empty(0, np.uint64)
+    starts = np.concatenate(heads) if heads else np.empty(0, np.int64)
+    return hashes, np.diff(np.searchsorted(starts, bounds))
 
 
 def shingle_hashes(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -61,15 +87,18 @@ def shingle_hashes(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.
     a shingle, but not none, is one shingle."""
     hashes, counts = word_hashes(texts)
     sizes = np.where(counts >= words, counts - words + 1, np.minimum(counts, 1))
-    begins = np.cumsum(counts) - counts
-    at = np.arange(sizes.sum()) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
-    last = np.repeat(begins + counts, sizes)
-    total = np.zeros(len(at), np.uint64)
-    for k in range(words):
-        inside = at + k < last
-        value = hashes[np.minimum(at + k, len(hashes) - 1)] if len(hashes) else hashes
-        total += np.where(inside, mix(value + _SPREAD[k]), np.uint64(0))
-    return mix(total), sizes
+    ends, shift = np.cumsum(sizes), np.cumsum(counts) - counts - (np.cumsum(sizes) - sizes)
+    stops = np.cumsum(counts)
+    total = np.zeros(int(sizes.sum()), np.uint64)
+    for low in range(0, len(total), BLOCK_SHINGLES):
+        place = np.arange(low, min(low + BLOCK_SHINGLES, len(total)))
+        owner = np.searchsorted(ends, place, "right")
+        at, last = place + shift[owner], stops[owner]
+        for k in range(words):
+            value = hashes[np.minimum(at + k, len(hashes) - 1)]
+            total[place] += np.where(at + k < last, mix(value + _SPREAD[k]), np.uint64(0))
+        total[place] = mix(total[place])
+    return total, sizes
 
 
 def _probe_orders(bins: int) -> np.ndarray:
@@ -117,8 +146,11 @@ def sketch(texts: pa.Array, bins: int = BINS, bits: int = BITS) -> np.ndarray:
             hashes, sizes = shingle_hashes(some)
             least = np.full(len(some) * bins, 0xFFFFFFFFFFFFFFFF, np.uint64)
             shift = np.uint64(64 - (bins.bit_length() - 1))
-            key = np.repeat(np.arange(len(some)) * bins, sizes) + (hashes >> shift).astype(np.int64)
-            np.minimum.at(least, key, hashes)
+            ends = np.cumsum(sizes)
+            for low in range(0, len(hashes), BLOCK_SHINGLES):
+                block = hashes[low : low + BLOCK_SHINGLES]
+                owner = np.searchsorted(ends, np.arange(low, low + len(block)), "right")
+                np.minimum.at(least, owner * bins + (block >> shift).astype(np.int64), block)
             out.append(pack_bits(densify(least.reshape(len(some), bins)), bits))
     return np.concatenate(out) if out else np.empty((0, bins * bits // 8), np.uint8)
 
@@ -163,45 +195,46 @@ def with_follower(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Returns ``doc_id, text, range_no, follower``: every document in its range,
     and once more, marked ``follower``, the first document of the next range
-    (after the last range: the first of all). Within a range, ids ascend and
-    equal ids are ordered by text. So a task that walks a range sees every
-    document's next one. Ranges come from a pass over ids alone; texts are
-    shuffled once. Rows with a null id take part before all others.
+    (after the last range: the first of all). Within a range rows are ordered
+    as ``in_order`` says. So a task that walks a range sees every document's
+    next one. Ranges come from a pass over ids, heads and hashes of texts; texts
+    are shuffled once. Ranges end between rows of one id, too, so an id that
+    very many texts share is cut; only rows that repeat id and text stay in one
+    range. Rows with a null id come before all others.
     """
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    ids = rows.select("doc_id").repartitionByRange(partitions(spark), "doc_id")
-    grouped = ids.groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("low"))
-    # One row per range.
-    lows = sorted({r.low for r in grouped.collect() if r.low is not None})
-    lows = lows or [0]
-    edges = [-float("inf"), *map(float, lows[1:]), float("inf")]
-    edges = [e for i, e in enumerate(edges) if i == 0 or e > edges[i - 1]]
-    if len(edges) < 3:
-        ranged = rows.withColumn("range_no", F.lit(0))
-    else:
-        bucket = Bucketizer(splits=edges, inputCol="place", outputCol="bucket", handleInvalid="keep")
-        place = F.coalesce(F.col("doc_id"), F.lit(lows[0])).cast("double")
-        placed = bucket.transform(rows.withColumn("place", place))
-        ranged = placed.select("doc_id", "text", F.col("bucket").cast("int").alias("range_no"))
-    last = max(len(edges) - 2, 0)
-    # As doubles, like the edges: large ids that round to one edge stay together.
-    starts = ranged.where(
-        F.col("doc_id").isNull() | F.col("doc_id").cast("double").isin([float(lows[0]), *edges[1:-1]])
+    keys = rows.select("doc_id", F.substring("text", 1, HEAD).alias("head"), F.xxhash64("text").alias("hash"))
+    dealt = keys.repartitionByRange(partitions(spark), "doc_id", "head", "hash")
+    low = F.min(F.struct("doc_id", "head", "hash")).alias("low")
+    # One short row per range.
+    lows = dealt.groupBy(F.spark_partition_id().alias("p")).agg(low).select("low.*").orderBy("doc_id", "head", "hash")
+    found = [tuple(r) for r in lows.collect()]
+    schema = "array<struct<doc_id: bigint, head: string, hash: bigint>>"
+    listed = json.dumps([dict(zip(("doc_id", "head", "hash"), r, strict=True)) for r in found])
+    begins_at = F.from_json(F.lit(listed), schema)
+    key = F.struct("doc_id", F.substring("text", 1, HEAD).alias("head"), F.xxhash64("text").alias("hash"))
+    # How many ranges begin at or before a row, by halving.
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(max(len(found), 1).bit_length()))])
+    passed = F.aggregate(
+        steps, F.lit(0), lambda at, step: at + F.when(F.get(begins_at, at + step - 1) <= key, step).otherwise(0)
     )
-    begins = starts.groupBy("range_no").agg(
-        F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "text")).alias("low")
-    )
-    closing = begins.select(
-        "low.doc_id", "low.text",
-        F.when(F.col("range_no") == 0, last).otherwise(F.col("range_no") - 1).alias("range_no"),
-        F.lit(True).alias("follower"),
-    )
+    ranged = rows.withColumn("range_no", F.greatest(passed - 1, F.lit(0)))
+    starts = ranged.where(key.eqNullSafe(F.get(begins_at, F.col("range_no"))))
+    begins = starts.groupBy("range_no").agg(F.min(F.struct("doc_id", "text")).alias("low"))
+    before = F.when(F.col("range_no") == 0, len(found) - 1).otherwise(F.col("range_no") - 1)
+    closing = begins.select("low.doc_id", "low.text", before.alias("range_no"), F.lit(True).alias("follower"))
     return ranged.withColumn("follower", F.lit(False)).unionByName(closing)
 
 
+def in_order() -> list[Column]:
+    """Rows by ascending id; those of one id by the head of their text, then by
+    its hash."""
+    return [F.col("doc_id"), F.substring("text", 1, HEAD), F.xxhash64("text"), F.col("text")]
+
+
 PAIRS = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, "
     "edited_fingerprint binary, near_edited double, near_next double"
@@ -235,7 +268,7 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ranged = with_follower(docs, id_col, text_col)
     dealt = ranged.repartitionByRange(partitions(docs.sparkSession), "range_no")
-    ordered = dealt.sortWithinPartitions("range_no", "follower", "doc_id", "text")
+    ordered = dealt.sortWithinPartitions("range_no", "follower", *in_order())
     return ordered.mapInArrow(walk, PAIRS)
 
 

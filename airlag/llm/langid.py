@@ -32,24 +32,16 @@ def _letter_table() -> np.ndarray:
 _LETTERS: list[np.ndarray] = []
 
 
-def grams(texts: pa.Array, orders=ORDERS, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets of all n-grams, number of them per text).
-
-    Characters are lower-cased letters; each run of anything else is one space,
-    and so are both ends of a text. Grams of all orders start at each place.
-    """
+def _letters(text: str) -> np.ndarray:
+    """Code points of a text: lower-cased letters, and spaces for all else."""
     if not _LETTERS:
         _LETTERS.append(_letter_table())
-    spelled = [" " + t + " " for t in texts.to_pylist()]
-    points = np.frombuffer("".join(spelled).encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.arange(len(spelled), dtype=np.int32), np.fromiter(map(len, spelled), np.int64))
-    low = _LETTERS[0][np.minimum(points, 0xFFFF)]
-    letters = np.where(points > 0xFFFF, points, low)
-    # Of neighbouring spaces in one text the first stays.
-    space = letters == 0x20
-    keep = np.ones(len(letters), bool)
-    keep[1:] = ~(space[1:] & space[:-1] & (owner[1:] == owner[:-1]))
-    letters, owner = letters[keep], owner[keep]
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where(points > 0xFFFF, points, _LETTERS[0][np.minimum(points, 0xFFFF)])
+
+
+def _gram_table(letters: np.ndarray, owner: np.ndarray, orders, buckets: int) -> np.ndarray:
+    """A row of buckets per place: the grams of all orders that start there."""
     found = []
     count = len(letters)
     mixed = np.zeros(count, np.uint32)
@@ -63,8 +55,52 @@ def grams(texts: pa.Array, orders=ORDERS, buckets: int = BUCKETS) -> tuple[np.nd
             inside = np.zeros(count, bool)
             inside[: max(0, count - order + 1)] = owner[order - 1 :] == owner[: max(0, count - order + 1)]
             found.append(np.where(inside, mixed % np.uint32(buckets), buckets).astype(np.int32))
-    table = np.stack(found, axis=1) if found else np.empty((count, 0), np.int32)
-    return table, np.bincount(owner, minlength=len(spelled))
+    return np.stack(found, axis=1) if found else np.empty((count, 0), np.int32)
+
+
+def grams(texts: pa.Array, orders=ORDERS, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of all n-grams, number of them per text).
+
+    Characters are lower-cased letters; each run of anything else is one space,
+    and so are both ends of a text. Grams of all orders start at each place.
+    """
+    spelled = [" " + t + " " for t in texts.to_pylist()]
+    letters = _letters("".join(spelled))
+    owner = np.repeat(np.arange(len(spelled), dtype=np.int32), np.fromiter(map(len, spelled), np.int64))
+    # Of neighbouring spaces in one text the first stays.
+    space = letters == 0x20
+    keep = np.ones(len(letters), bool)
+    keep[1:] = ~(space[1:] & space[:-1] & (owner[1:] == owner[:-1]))
+    letters, owner = letters[keep], owner[keep]
+    return _gram_table(letters, owner, orders, buckets), np.bincount(owner, minlength=len(spelled))
+
+
+def windows(text: str, orders=ORDERS, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
+    """The n-grams of one long text, as ``grams`` gives them, a window at a time.
+
+    The last places of a window, whose grams reach beyond it, open the next one.
+    """
+    ahead = max(orders) - 1
+    left = _letters(" ")
+    for begin in range(0, max(len(text), 1), CHUNK_BYTES):
+        last = begin + CHUNK_BYTES >= len(text)
+        letters = np.concatenate([left, _letters(text[begin : begin + CHUNK_BYTES] + (" " if last else ""))])
+        space = letters == 0x20
+        keep = np.ones(len(letters), bool)
+        keep[1:] = ~(space[1:] & space[:-1])
+        letters = letters[keep]
+        done = len(letters) if last else max(len(letters) - ahead, 0)
+        yield _gram_table(letters, np.zeros(len(letters), np.int8), orders, buckets)[:done]
+        left = letters[done:]
+
+
+def _is_long(texts: pa.Array) -> bool:
+    """Whether these are one text of more than a chunk."""
+    return len(texts) == 1 and texts.nbytes > CHUNK_BYTES
+
+
+def _only(texts: pa.Array) -> str:
+    return texts[0].as_py()
 
 
 @dataclass
@@ -75,16 +111,25 @@ class Model:
     prior: np.ndarray
     log_prob: np.ndarray
 
+    def _places(self, table: np.ndarray) -> np.ndarray:
+        """Sums of log probabilities of the grams at each place, by language."""
+        places = np.zeros((len(table), len(self.langs)), np.float32)
+        for column in table.T:
+            places += self.log_prob[column]
+        return places
+
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(index of the best language, its posterior probability) per text."""
         best, posterior = [], []
+        buckets = len(self.log_prob) - 1
         for part in balanced(texts, CHUNK_BYTES):
-            table, counts = grams(texts[part], buckets=len(self.log_prob) - 1)
-            places = np.zeros((len(table), len(self.langs)), np.float32)
-            for column in table.T:
-                places += self.log_prob[column]
-            ends = np.cumsum(counts)
-            total = np.add.reduceat(places, ends - counts, axis=0, dtype=np.float64) + self.prior
+            if _is_long(texts[part]):
+                sums = [self._places(t).sum(axis=0, dtype=np.float64) for t in windows(_only(texts[part]), buckets=buckets)]
+                total = np.sum(sums, axis=0)[None, :] + self.prior
+            else:
+                table, counts = grams(texts[part], buckets=buckets)
+                begins = np.cumsum(counts) - counts
+                total = np.add.reduceat(self._places(table), begins, axis=0, dtype=np.float64) + self.prior
             total -= total.max(axis=1, keepdims=True)
             weight = np.exp(total)
             best.append(total.argmax(axis=1))
@@ -130,6 +175,10 @@ def fit(
             owners = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
             texts = strings(batch.column(1))
             for part in balanced(texts, CHUNK_BYTES):
+                if _is_long(texts[part]):
+                    for table in windows(_only(texts[part]), buckets=buckets):
+                        sums[owners[part]] += np.bincount(table.ravel(), minlength=buckets + 1)
+                    continue
                 table, counts = grams(texts[part], buckets=buckets)
                 key = np.repeat(owners[part], counts) * (buckets + 1)
                 for column in table.T:
@@ -159,7 +208,8 @@ def predict_language(
 
     ``und`` with score 0 where the text is null or has no letter, or where the
     model knows no language. The matrix (buckets by languages) is broadcast;
-    there is no shuffle. Repeated rows are each predicted.
+    there is no shuffle. Repeated rows are each predicted. A text of more than
+    ``CHUNK_BYTES`` is scored in windows, whose sums add up to those of the whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     has_letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))

@@ -108,6 +108,36 @@ def line_features(texts: pa.Array) -> Lines:
     return Lines(features.astype(np.float32), lengths, counts)
 
 
+def _line_windows(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Byte ranges of whole lines, without the break behind the last; a line of
+    more than ``CHUNK_BYTES`` is a range of its own."""
+    breaks = np.flatnonzero(data == 0x0A)
+    begin = 0
+    while begin <= len(data):
+        end = len(data)
+        if end - begin > CHUNK_BYTES:
+            # The last break within reach, else the next one.
+            within = np.searchsorted(breaks, begin + CHUNK_BYTES, "right") - 1
+            at = max(within, np.searchsorted(breaks, begin))
+            end = int(breaks[at]) if at < len(breaks) else end
+        yield begin, end
+        begin = end + 1
+
+
+def features_of(texts: pa.Array) -> Lines:
+    """``line_features``; those of one long text are made in windows of lines,
+    so a few numbers a line are held, not several arrays over its bytes."""
+    _, data = text_bytes(texts)
+    if len(texts) != 1 or len(data) <= CHUNK_BYTES:
+        return line_features(texts)
+    found = [
+        line_features(pa.array([data[begin:end].tobytes()], pa.large_binary()).view(pa.large_string()))
+        for begin, end in _line_windows(data)
+    ]
+    lengths = np.concatenate([x.lengths for x in found])
+    return Lines(np.concatenate([x.features for x in found]), lengths, np.array([len(lengths)]))
+
+
 def with_neighbours(lines: Lines, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     """Standardised features of each line, of its neighbours, and a constant."""
     own = (lines.features - mean) / scale
@@ -172,7 +202,7 @@ class Crf:
     def score(self, texts: pa.Array) -> np.ndarray:
         found = [np.empty(0)]
         for part in balanced(texts, CHUNK_BYTES):
-            lines = line_features(texts[part])
+            lines = features_of(texts[part])
             weight = lines.lengths + 1.0
             good = self.line_marginals(lines) * weight
             begins = np.cumsum(lines.counts) - lines.counts
@@ -243,7 +273,7 @@ def fit(
         for batch in batches:
             column = strings(batch.column(0))
             for part in balanced(column, CHUNK_BYTES):
-                lines = line_features(column[part])
+                lines = features_of(column[part])
                 begins = np.cumsum(lines.counts) - lines.counts
                 flat, lengths = [], []
                 for a, n in zip(begins.tolist(), lines.counts.tolist(), strict=True):
@@ -278,7 +308,8 @@ def score_quality(
 
     A map without a shuffle; the model (a few hundred numbers) travels with the
     task. Null and empty texts are scored as one empty line; without a model
-    every score is 0.5. Repeated rows are each scored.
+    every score is 0.5. Repeated rows are each scored. Long texts are read in
+    windows of whole lines and scored as one chain; a single line is not cut.
     """
     kept = keep or []
     rows = docs.select(

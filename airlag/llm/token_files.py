@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from airlag.llm.common import materialize, partitions, scratch_dir, strings
 from airlag.llm.encode import encoder
+from airlag.llm.fingerprints import in_order
 
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "part int, ids_file string, index_file string, n_docs long, n_tokens long, id_bits int"
@@ -81,13 +82,13 @@ def write_token_files(
 ) -> DataFrame:
     """Encode all texts in ascending document order; returns the manifest.
 
-    Rows are dealt by ranges of the id, so file after file holds the global
-    order; each task streams its texts into one pair of files and keeps one
+    Rows are dealt by ranges of the id, and of the text's head and hash within
+    an id that many texts share, so file after file holds the global order; each task streams its texts into one pair of files and keeps one
     batch in memory. A task that is run again writes under a new name, and only
     the names in the manifest (written once, by committed tasks) count, so a
     lost executor leaves unnamed files behind but no wrong ones. Null text is
-    empty: only the end id. Equal ids follow one another, ordered by text;
-    null ids come first. An empty table gives an empty manifest. ``folder`` must
+    empty: only the end id. Equal ids follow one another, ordered
+    by the head of the text, then by its hash; null ids come first. An empty table gives an empty manifest. ``folder`` must
     be one that all executors can write to.
     """
 
@@ -135,8 +136,8 @@ def write_token_files(
     spark = docs.sparkSession
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        .repartitionByRange(partitions(spark), "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .repartitionByRange(partitions(spark), *in_order()[:-1])
+        .sortWithinPartitions(*in_order())
     )
     return materialize(ordered.mapInArrow(write, MANIFEST))
 
