@@ -23,7 +23,7 @@ from airlag.llm.common import balanced, partitions, strings, text_bytes
 
 BINS, BITS, WORDS = 512, 4, 5
 #: Bytes of text, and texts, that are hashed at once.
-CHUNK_BYTES, CHUNK_ROWS = 2 << 20, 2_048
+CHUNK_BYTES, CHUNK_ROWS = 2 << 20, 512
 #: Bytes, and shingles, of one long text that are worked on at once.
 BLOCK_BYTES, BLOCK_SHINGLES = 4 << 20, 1 << 20
 #: Characters of a text that order rows of one id before their hash does.
@@ -221,8 +221,12 @@ def with_follower(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     passed = F.aggregate(
         steps, F.lit(0), lambda at, step: at + F.when(F.get(begins_at, at + step - 1) <= key, step).otherwise(0)
     )
-    ranged = rows.withColumn("range_no", F.greatest(passed - 1, F.lit(0)))
-    starts = ranged.where(key.eqNullSafe(F.get(begins_at, F.col("range_no"))))
+    range_no = F.greatest(passed - 1, F.lit(0)).alias("range_no")
+    ranged = rows.select("doc_id", "text", range_no)
+    # Only rows with an id that begins a range are looked at more closely.
+    ids = [r[0] for r in found if r[0] is not None]
+    maybe = rows.where(F.col("doc_id").isNull() | F.col("doc_id").isin(ids)).select("doc_id", "text", range_no)
+    starts = maybe.where(key.eqNullSafe(F.get(begins_at, F.col("range_no"))))
     begins = starts.groupBy("range_no").agg(F.min(F.struct("doc_id", "text")).alias("low"))
     before = F.when(F.col("range_no") == 0, len(found) - 1).otherwise(F.col("range_no") - 1)
     closing = begins.select("low.doc_id", "low.text", before.alias("range_no"), F.lit(True).alias("follower"))
@@ -261,13 +265,14 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 texts = pa.concat_arrays([carry[1], texts])
                 follower = np.concatenate([carry[2], follower])
             carry = ids[-1:], texts[-1:], follower[-1:]
-            for part in balanced(texts, 4 * CHUNK_BYTES):
+            for part in balanced(texts, CHUNK_BYTES):
                 # With the row after the last, the next of the last.
                 some = slice(part.start, min(part.stop + 1, len(texts)))
                 yield from _pairs(ids[some], texts[some], follower[some])
 
     ranged = with_follower(docs, id_col, text_col)
-    dealt = ranged.repartitionByRange(partitions(docs.sparkSession), "range_no")
+    # Ranges are numbered from 0, below the number of partitions.
+    dealt = ranged.repartitionById(partitions(docs.sparkSession), F.col("range_no"))
     ordered = dealt.sortWithinPartitions("range_no", "follower", *in_order())
     return ordered.mapInArrow(walk, PAIRS)
 
