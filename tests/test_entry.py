@@ -5,13 +5,15 @@ from __future__ import annotations
 import shutil
 import subprocess
 import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
-from conftest import ROOT
 
 from airlag.session import checkpoint_folder
 
+ROOT = Path(__file__).resolve().parents[1]
+
 
 def test_entry_without_the_text_operators(tmp_path):
     """In a copy without both of their folders the rest is registered."""
