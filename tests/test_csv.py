@@ -17,7 +17,7 @@ from airlag.plans.stages import (
     write_time_travel_sample,
 )
 from airlag.session import materialize, path_exists, run_scratch
-from airlag.sources.bronze import append_files, ingest_csv, inspect_all
+from airlag.sources.bronze import append_files, ingest_csv, inspect_all, tag_batches
 from airlag.sources.csv_files import list_csv
 from airlag.sources.tables import AppendTable
 from airlag.streaming.bronze_stream import ingest_stream, new_files
@@ -307,3 +307,31 @@ def test_buckets_follow_bounds(spark):
     assert len(bounds) == 7
     assert all(r.b == sum(x < r.v for x in bounds) for r in placed)
     assert {r.b for r in placed} == set(range(8))
+
+
+def test_types_of_cells_need_no_sort(spark, raw, monkeypatch):
+    """Lines are typed by sums that fit in place, whatever the headers."""
+    put(raw, "a.csv", "n,m", "1,123456789012345678901", "+2,1")
+    put(raw, "b.csv", "n,m", "1.5,2024-01-15")
+    put(raw, "c.csv", "m", "2024-01-15 10:00:00", "")
+    plans, collect = [], type(spark.range(0)).collect
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(type(spark.range(0)), "collect", kept)
+    found = inspect_all(spark, str(raw))
+    assert [[k.dataType.typeName() for k in f.schema] for f in found] == [
+        ["long", "double"], ["double", "date"], ["timestamp_ntz"],
+    ]
+    typed = [p for p in plans if "bit_and" in p]
+    assert typed and not any("SortAggregate" in p for p in typed)
+
+
+def test_loading_shuffles_no_rows(spark, raw, table):
+    put(raw, "a.csv", "n", "1")
+    put(raw, "b.csv", "n", "2")
+    rows = tag_batches(spark, inspect_all(spark, str(raw)), [4, 5])
+    assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.n, r.batch_id) for r in rows.collect()) == [(1, 4), (2, 5)]
