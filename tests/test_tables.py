@@ -12,6 +12,7 @@ from airlag.operators.layout import interleave
 from airlag.operators.merge import merge_upsert
 from airlag.plans.queries import silver
 from airlag.session import materialize
+from airlag.sources import tables
 from airlag.sources.tables import (
     AppendTable,
     SnapshotTable,
@@ -191,3 +192,13 @@ def test_expired_versions(spark):
     )
     found = expired_versions(log, F.lit(now).cast("timestamp_ntz"), 168)
     assert {(r.table, r.version) for r in found.collect()} == {("t", 0), ("t", 1)}
+
+
+def test_clustering_tasks_are_small_beside_its_files(rows, snapshot, monkeypatch):
+    snapshot.write(rows, PARTITIONS)
+    size = snapshot.files().agg(F.sum("length")).first()[0]
+    monkeypatch.setattr(tables, "TASK_BYTES", size // 6)
+    asked, plain = [], tables.zorder_layout
+    monkeypatch.setattr(tables, "zorder_layout", lambda *a: asked.append(a[4]) or plain(*a))
+    snapshot.cluster(CLUSTER_BY, PARTITIONS, BUSINESS_KEY, bits=3)
+    assert asked[0] >= 6 and snapshot.read().exceptAll(rows).isEmpty()
