@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
 
+from airlag.operators import features
 from airlag.operators.features import FEATURE_COLUMNS, LOAD_COUNTS, ml_features
+from airlag.session import materialize
 
 
 def silver_rows(spark, n=900):
@@ -60,3 +63,10 @@ def test_one_exchange_serves_all_windows(spark):
     ]
     assert sum("REPARTITION" in line for line in by_date) == 1
     assert plan.count("Window [") + plan.count("Window(") >= 1
+
+
+def test_tasks_of_load_counts_follow_the_rows(spark, monkeypatch):
+    rows = materialize(silver_rows(spark))
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 30)
+    plan = features.load_counts(rows)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(flight_date#\d+, 30\), REPARTITION_BY_NUM", plan)
