@@ -18,7 +18,7 @@ from airlag.plans.stages import (
 )
 from airlag.session import materialize, path_exists, run_scratch
 from airlag.sources.bronze import append_files, ingest_csv, inspect_all, tag_batches
-from airlag.sources.csv_files import list_csv
+from airlag.sources.csv_files import CELL_TYPES, _kinds_of, list_csv
 from airlag.sources.tables import AppendTable
 from airlag.streaming.bronze_stream import ingest_stream, new_files
 
@@ -335,3 +335,21 @@ def test_loading_shuffles_no_rows(spark, raw, table):
     rows = tag_batches(spark, inspect_all(spark, str(raw)), [4, 5])
     assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.n, r.batch_id) for r in rows.collect()) == [(1, 4), (2, 5)]
+
+
+ODD_CELLS = [
+    "0", "7", "-7", "+7", "007", "-0", "999999999999999999", "9223372036854775807", "9223372036854775808",
+    "1" * 400, "1.", ".5", "-.5e3", "1e5", "123e-5", "1.5x", "NaN", "nan", "Infinity", "-Infinity", "I", "1,5",
+    "2024-01-15", "2024-1-5", "2024-02-31", "2024-01-15 10:00", "2024-01-15T10:00:00.5", "2024-01-15T25", "true",
+    "TRUE", "fAlse", "f", "", " 1", "1 ", "1\n", "+", "-", ".", "x", "\u0661", None,
+]
+
+
+def test_quick_looks_find_the_same_types(spark):
+    df = spark.createDataFrame([(c,) for c in ODD_CELLS], "c string")
+    cell, bits = F.col("c"), F.lit(0)
+    for place, (kind, look) in enumerate(CELL_TYPES):
+        bits = bits + F.when(cell.rlike(look) & cell.try_cast(kind).isNotNull(), 1 << place).otherwise(0)
+    plain = F.when(cell.isNotNull(), bits)
+    rows = materialize(df).select("c", _kinds_of(cell).alias("found"), plain.alias("plain")).collect()
+    assert [r for r in rows if r.found != r.plain] == [] and len({r.plain for r in rows}) >= 6
