@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlag.session import materialize, scratch_dir
+from airlag.session import let_workers_import, materialize, scratch_dir
 
 __all__ = [
     "balanced", "crc_remainder", "join_grown", "keep_rows", "let_workers_import", "materialize", "partitions",
@@ -19,15 +17,6 @@ __all__ = [
 ]
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Python workers that share this machine find the package where the driver
-    did; on a cluster the package is installed or sent with ``--py-files``."""
-    root = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

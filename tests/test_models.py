@@ -9,9 +9,10 @@ import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from airlag.operators import impute, metrics, models, ranking
+from airlag.operators import forest, impute, metrics, models, ranking
 from airlag.session import materialize
 
 
@@ -243,3 +244,70 @@ def test_importance_names_every_slot(planted):
     ranked = models.feature_importance(forest, ["a", "b", "c"]).collect()
     assert ranked[0].feature == "a" and sum(r.importance for r in ranked) == pytest.approx(1)
     assert models.feature_importance(models.linear_regression().fit(df), ["a"]) is None
+
+
+def grown_by_hand(x, y, w, cuts, depth):
+    """Predictions of a tree that tries all slots and cuts, row by row."""
+    mean = (w * y).sum() / w.sum()
+    best, found = 1e-9, None
+    for slot in range(x.shape[1] if depth else 0):
+        for cut in cuts[slot]:
+            left = x[:, slot] <= cut
+            a, b = w[left].sum(), w[~left].sum()
+            if a and b:
+                gain = (w * y)[left].sum() ** 2 / a + (w * y)[~left].sum() ** 2 / b - mean**2 * w.sum()
+                if gain > best + 1e-9:
+                    best, found = gain, left
+    if found is None:
+        return np.full(len(y), mean)
+    out = np.empty(len(y))
+    for side in (found, ~found):
+        out[side] = grown_by_hand(x[side], y[side], w[side], cuts, depth - 1)
+    return out
+
+
+def test_forest_is_that_of_all_slots_and_cuts(spark):
+    rng = np.random.default_rng(5)
+    kind = rng.integers(0, 30, 500)
+    x = np.zeros((500, 33))
+    x[:, 0], x[:, 1] = rng.integers(-20, 60, 500), rng.integers(0, 3, 500)
+    x[np.arange(500), 3 + kind] = 1
+    y = np.round(10 * (kind % 3) + 5 * (x[:, 0] > 7) * x[:, 1] + rng.normal(size=500), 2) * 4
+    at = [np.flatnonzero(row) for row in x]
+    vectors = [Vectors.dense(x[i]) if i % 5 == 0 else Vectors.sparse(33, at[i], x[i][at[i]]) for i in range(500)]
+    rows = spark.createDataFrame([(v, float(b)) for v, b in zip(vectors, y)], ["features", "label"]).coalesce(1)
+    cuts = forest.thresholds(rows, 33)
+    assert list(cuts[1]) == [0.5, 1.5] and list(cuts[2]) == [] and list(cuts[3]) == [0.5]
+    assert len(cuts[0]) == 31
+    parts = np.searchsorted(cuts[0], x[:, 0])
+    assert np.bincount(parts).max() < 500 / 32 + np.bincount((x[:, 0] + 20).astype(int)).max()
+    bins = forest.Bins(cuts)
+    stored = forest.binned(rows, bins, 3, 42).collect()
+    # Of 33 slots, a row keeps those alone in which it lies elsewhere than 0 does.
+    assert max(len(r.codes) for r in stored) <= 3
+    drawn = np.array([list(r.drawn) for r in stored])
+    model = forest.ForestRegression("label", 3, 3, 42).fit(rows)
+    by_hand = np.mean([grown_by_hand(x, y, drawn[:, t], cuts, 3) for t in range(3)], axis=0)
+    found = [r.prediction for r in model.transform(rows).collect()]
+    assert found == pytest.approx(by_hand)
+    assert sum(model.featureImportances.toArray()) == pytest.approx(1)
+
+
+def test_forest_is_as_good_as_that_of_spark(planted):
+    df, _, y = planted
+    ours = models.forest_regression(20, 5).fit(df).transform(df)
+    theirs = RandomForestRegressor(
+        labelCol=models.DELAY, featureSubsetStrategy="all", seed=42, numTrees=20, maxDepth=5
+    ).fit(df).transform(df)
+    errors = [metrics.regression_metrics(p, models.DELAY).first().rmse for p in (ours, theirs)]
+    assert errors[0] == pytest.approx(errors[1], rel=0.15)
+
+
+def test_forest_refuses_rows_without_a_label(spark):
+    rows = spark.createDataFrame([(Vectors.dense(1.0), 1.0), (Vectors.dense(2.0), None)], ["features", "label"])
+    with pytest.raises(Exception, match="labels must not be null"):
+        forest.ForestRegression("label", 2, 2, 42).fit(rows)
+    same = rows.select("features", F.lit(3.0).alias("label"))
+    model = forest.ForestRegression("label", 2, 2, 42).fit(same)
+    assert {r.prediction for r in model.transform(same).collect()} == {3.0}
+    assert not model.featureImportances.toArray().any()
