@@ -51,6 +51,20 @@ def test_split_is_stratified(numbers):
     assert parts.groupBy().sum("k").first()[0] == numbers.groupBy().sum("k").first()[0]
 
 
+def test_split_does_not_deal_rows_by_class(spark, numbers):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    # As for a table of any size: Spark may not take the cuts for small.
+    spark.conf.set(key, "-1")
+    try:
+        parts = ranking.stratified_split(numbers, "late", 42)
+        plan = parts._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert parts.where("is_test").count() == 200
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_split_with_one_class(spark):
     parts = ranking.stratified_split(spark.range(11).withColumn("late", F.lit(0)), "late", 1)
     assert parts.where("is_test").count() == 3
