@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from airlag.llm.common import join_grown, materialize, strings, text_bytes
-from airlag.llm.encode import encoder
+from airlag.llm.encode import SPLIT_BYTES, encoder
+from airlag.session import arrow_batch_bytes
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, part int, nth long"
 #: Ids that one Arrow batch of pieces holds at most (a single piece may exceed it).
@@ -217,4 +218,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2)
     """
     width = 2 if max(encoder(tokenizer).most(), end_id) < 1 << 16 else 4
     pieces = cut_pieces(docs, tokenizer, capacity, end_id, id_bytes=width)
-    return place_pieces(materialize(pieces), capacity, width)
+    # Each task holds a batch of texts in the JVM and twice in Python.
+    with arrow_batch_bytes(docs.sparkSession, SPLIT_BYTES):
+        stored = materialize(pieces)
+    return place_pieces(stored, capacity, width)

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from airlag.llm import packing
 from airlag.llm.common import materialize
-from airlag.llm.encode import encoder, split_safely
+from airlag.llm.encode import Encoder, encoder, split_safely
 from airlag.llm.token_counts import token_counts
 from airlag.llm.token_files import TokenFile, read_token_files, scratch_token_folder, write_token_files
 
@@ -40,6 +40,38 @@ def test_parts_encode_as_wholes(path, texts):
     assert all("".join(split_safely(t)) == t for t in texts)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@given(texts=st.lists(st.text(alphabet=st.sampled_from("aBÉéßØµªĀİIıΣ$*&#@%^~+=,'\u0338́ <|>2²Ⅷ"), max_size=40)))
+@settings(max_examples=150, deadline=None)
+def test_words_of_any_case_and_marks_encode_as_wholes(path, texts):
+    texts = [*texts, "THÉ thé$$$ x<|ENDOFTEXT|>y <|endoftext|>", "ALL'S all's=\u0338 É=\u0338"]
+    ids, sizes = encoder(path).encode(pa.array(texts, pa.large_string()))
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(x) for x in expected]
+    assert ids.tolist() == [x for e in expected for x in e]
+
+
+def test_words_of_one_form_go_to_the_library_once_and_together(monkeypatch):
+    encode, handed = Encoder(WORD), []
+    call = encode._call
+    monkeypatch.setattr(encode, "_call", lambda texts: handed.extend(texts) or call(texts))
+    text = "Thé THÉ thé thé$$ other Other& THÉ*** thé"
+    assert encode.encode(pa.array([text]))[0].tolist() == ids_of(WORD, text)
+    assert sorted(handed) == ["$$", "&", "***", "thé other"]
+
+
+def test_packing_hands_tasks_batches_of_bounded_bytes(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = materialize(spark.range(400, numPartitions=1).selectExpr("id as doc_id", "repeat('word ', 10000) as text"))
+    seen = []
+    store = packing.materialize
+    monkeypatch.setattr(packing, "materialize", lambda df: seen.append(spark.conf.get(key)) or store(df))
+    pieces = packing.pack(docs, WORD)
+    assert int(seen[0]) <= 8 << 20 and spark.conf.get(key) == before
+    assert pieces.select("doc_id").distinct().count() == 400
+
+
 def test_forgotten_parts_are_learned_again(monkeypatch):
     from airlag.llm import encode
 
