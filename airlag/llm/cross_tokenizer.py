@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlag.llm.common import balanced, materialize, strings, text_bytes
-from airlag.llm.encode import Encoder, cut_words
+from airlag.llm.encode import Encoder
 
 #: Bytes of text that are aligned at a time, parts that each encoder keeps,
 #: tokens that are listed, groups that are spelled at a time, and id pairs that
@@ -48,8 +48,6 @@ class PieceEncoder(Encoder):
     text with the mark U+2581 of its own is spelled by no ids, however it is cut.)
     """
 
-    piece = re.compile(r"(?=\n)")
-
     def __init__(self, path: str, keep: int | None = None):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2 as spec
@@ -77,8 +75,9 @@ class PieceEncoder(Encoder):
                 ids[i] = ids[i][1:]
         return ids
 
-    def split(self, text: str) -> list[str]:
-        return re.split(r"(?<=[^ ])(?= +[^ ])", text)
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        space, line = data == 0x20, data == 0x0A
+        return np.flatnonzero(space[1:] & ~space[:-1] | line[1:]) + 1
 
 
 class Side:
@@ -246,8 +245,7 @@ def _aligned_rows(a: Side, b: Side, texts: pa.Array) -> Iterator[tuple]:
     """The columns of ``ALIGNED`` after ``row`` for each text."""
     led = pa.array([" " + t for t in texts.to_pylist()], pa.large_string())
     bounds, data = text_bytes(led)
-    words = cut_words(led)
-    (ids_a, sizes_a), (ids_b, sizes_b) = a.encoder.encode(led, words), b.encoder.encode(led, words)
+    (ids_a, sizes_a), (ids_b, sizes_b) = a.encoder.encode(led), b.encoder.encode(led)
     good = (np.diff(bounds) > 1) & _same_bytes(a, ids_a, sizes_a, bounds, data)
     good &= _same_bytes(b, ids_b, sizes_b, bounds, data)
     each_a, each_b = np.split(ids_a, np.cumsum(sizes_a)[:-1]), np.split(ids_b, np.cumsum(sizes_b)[:-1])

@@ -179,3 +179,13 @@ def test_a_hot_length_is_ranked_without_gaps(spark):
     assert Counter((p.sequence_id, p.offset) for p in placed) == Counter(
         (s, o) for s in range(500) for o in (0, 7)
     )
+
+
+def test_what_a_worker_keeps_is_bounded():
+    """Lower-case forms count, too; a text's words are looked up as bytes."""
+    from airlag.llm import encode
+
+    assert encode.KEEP_PARTS <= 500_000 and encode.SPLIT_BYTES <= 4 << 20
+    held = Encoder(WORD, keep=100)
+    held.encode(pa.array([" ".join(f"{a}{b}" for a in "abcdefgh" for b in "ABCDEFGH")]))
+    assert len(held.row) + len(held.folded) <= 100
