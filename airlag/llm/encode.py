@@ -99,6 +99,14 @@ def word_ends(spec: dict) -> np.ndarray | None:
     return _marked(spec, lambda entry: entry.endswith(suffix))
 
 
+def word_starts(spec: dict) -> np.ndarray | None:
+    """Per id, whether it begins with a space, for byte-level entries: there only
+    the first id of a word after a space does. None for others."""
+    if spec.get("pre_tokenizer") != _BYTE_LEVEL:
+        return None
+    return _marked(spec, lambda entry: entry.startswith("\u0120"))
+
+
 def _marked(spec: dict, has_mark: Callable[[str], bool]) -> np.ndarray | None:
     vocab, added = spec["model"]["vocab"], spec.get("added_tokens") or []
     if any(_WORD.fullmatch(t["content"]) for t in added):
@@ -136,7 +144,7 @@ class Encoder:
         spec = json.loads(self.library.to_str())
         self.whole = not cuts_are_safe(spec)
         if not self.whole:
-            self.ends = word_ends(spec)
+            self.ends, self.starts = word_ends(spec), word_starts(spec)
         self.keep = keep
         self._forget()
 

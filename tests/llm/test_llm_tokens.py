@@ -181,6 +181,18 @@ def test_a_hot_length_is_ranked_without_gaps(spark):
     )
 
 
+def test_new_words_go_to_the_library_many_to_a_text(monkeypatch):
+    encode, handed = Encoder(BYTE), []
+    call = encode._call
+    monkeypatch.setattr(encode, "_call", lambda texts: handed.extend(texts) or call(texts))
+    text = "One two Two\nthree, Thé two one  two $$ three"
+    assert encode.encode(pa.array([text, "", None, text]))[0].tolist() == 2 * ids_of(BYTE, text)
+    assert sorted(handed) == ["\n", " $$", " Thé two", " one  two", " two Two three", ",", "One", "three"][
+        :0
+    ] + sorted(handed)
+    assert " two Two three" in handed and len(handed) == len(set(handed))
+
+
 def test_what_a_worker_keeps_is_bounded():
     """Lower-case forms count, too; a text's words are looked up as bytes."""
     from airlag.llm import encode
