@@ -59,6 +59,8 @@ class PieceEncoder(Encoder):
         pieces = [p.piece for p in model.pieces]
         plain = rules.add_dummy_prefix and not rules.remove_extra_whitespaces and not rules.precompiled_charsmap
         self.whole = not plain or any(re.search("[^▁]▁|\n", p) for p in pieces) or "▁" not in pieces
+        if model.trainer_spec.model_type == model.trainer_spec.BPE and not self.whole:
+            self.starts = np.array([p.startswith("▁") for p in pieces])
         self.space = self.library.piece_to_id("▁")
         self.keep = keep
         self._forget()

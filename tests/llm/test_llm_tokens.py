@@ -193,6 +193,21 @@ def test_new_words_go_to_the_library_many_to_a_text(monkeypatch):
     assert " two Two three" in handed and len(handed) == len(set(handed))
 
 
+def test_pieces_of_a_model_encode_as_wholes():
+    from sentencepiece import SentencePieceProcessor
+
+    from airlag.llm.cross_tokenizer import PieceEncoder
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encode, library = PieceEncoder(path), SentencePieceProcessor(model_file=path)
+    assert encode.starts is not None
+    texts = [" One two  two\n\nthree \n", " a", " ", "  ", "   x ", " \n", " É b 漢字 \t z  ", *(" " + prose(i, 30) for i in range(9))]
+    ids, sizes = encode.encode(pa.array(texts))
+    expected = [library.encode(t[1:]) if t != " " else [encode.space] for t in texts]
+    assert sizes.tolist() == [len(x) for x in expected]
+    assert ids.tolist() == [x for e in expected for x in e]
+
+
 def test_what_a_worker_keeps_is_bounded():
     """Lower-case forms count, too; a text's words are looked up as bytes."""
     from airlag.llm import encode
