@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from airlag.config import Settings
-from airlag.operators.layout import bucket_of, range_bounds, sortable
+from airlag.operators.layout import bucket_of, range_bounds, sortable, zorder_layout
+from airlag.plans.queries import RAW_KEY, by_raw_key
 from airlag.plans.stages import (
     Lakehouse,
     load_bronze,
@@ -309,6 +310,24 @@ def test_buckets_follow_bounds(spark):
     assert {r.b for r in placed} == set(range(8))
 
 
+def test_a_row_is_made_sortable_once(spark):
+    words = spark.range(100).select((F.col("id") % 7).cast("string").alias("w"), F.lit("p").alias("p"))
+    placed = zorder_layout(words, ["w"], ["p"], ["w"], files=2, bits=3)
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    steps = [line for line in plan.splitlines() if "aggregate(" in line]
+    # The steps to a bucket look at a column, and do not take the text apart again.
+    assert steps and not [line for line in steps if "conv(" in line]
+    assert sorted(r.w for r in placed.collect()) == sorted(r.w for r in words.collect())
+
+
+def test_csv_files_are_dealt_without_a_look_at_all_rows(spark):
+    rows = spark.range(60).select(*[(F.col("id") % 20).alias(name) for name in RAW_KEY], "id")
+    dealt = by_raw_key(rows)
+    assert "rangepartitioning" not in dealt._jdf.queryExecution().executedPlan().toString()
+    places = dealt.withColumn("at", F.spark_partition_id()).groupBy(*RAW_KEY).agg(F.count_distinct("at").alias("n"))
+    assert [r.n for r in places.collect()] == [1] * 20
+
+
 def test_types_of_cells_need_no_sort(spark, raw, monkeypatch):
     """Lines are typed by sums that fit in place, whatever the headers."""
     put(raw, "a.csv", "n,m", "1,123456789012345678901", "+2,1")
