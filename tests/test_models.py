@@ -216,6 +216,24 @@ def test_ridge_meets_the_closed_form(planted):
     assert model.intercept == pytest.approx(y.mean() - x.mean(0) @ weights, abs=1e-5)
 
 
+@pytest.mark.parametrize("most, solver", [(4096, "normal"), (2, "l-bfgs")])
+def test_ridge_takes_one_pass_where_slots_allow(planted, monkeypatch, most, solver):
+    monkeypatch.setattr(models, "NORMAL_SLOTS", most)
+    df, x, y = planted
+    ridge = models.ridge_regression(df, alpha=50.0)
+    assert ridge.getSolver() == solver
+    xc, yc = x - x.mean(0), y - y.mean()
+    weights = np.linalg.solve(xc.T @ xc + 50 * np.eye(3), xc.T @ yc)
+    assert np.allclose(ridge.fit(df).coefficients.toArray(), weights, atol=1e-5)
+
+
+def test_scoring_reads_no_training_row(flights_table):
+    data = models.prepare(flights_table, 100, materialize, tasks=4)
+    train, test = (set(rows.inputFiles()) for rows in (data.train, data.test))
+    assert train and test and not train & test
+    assert data.train.columns == data.test.columns == [*flights_table.columns, ranking.ORDER_KEY, "features"]
+
+
 def test_logistic_meets_its_optimum(planted):
     df, x, y = planted
     model = models.logistic_regression(len(y)).fit(df)
